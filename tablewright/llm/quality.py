@@ -22,11 +22,11 @@ from pyspark.sql import functions as F
 from tablewright.llm.common import JAVA_BLANKS, stored
 
 #: Chi-squared with six degrees of freedom: its median, and the cut-off that one regular document
-#: in about ten million exceeds.
-MEDIAN, CUTOFF = 5.348, 43.0
+#: in about 25,000 exceeds.
+MEDIAN, CUTOFF = 5.348, 30.0
 P, SHARE, WINDOW = 6, 0.75, 5
 #: Least standard deviations of the six statistics in their transformed units (hundredths).
-FLOOR = (80.0, 6.0, 60.0, 40.0, 50.0, 50.0)
+FLOOR = (80.0, 6.0, 35.0, 40.0, 50.0, 50.0)
 
 
 def once(value: Column, use) -> Column:

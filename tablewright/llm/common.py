@@ -64,13 +64,13 @@ class WordHashes(dict):
         super().__init__()
         self.limit = limit
 
-    def __missing__(self, word: str) -> int:
+    def __missing__(self, word: str | bytes) -> int:
         if len(self) >= self.limit:
             self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word.encode("utf-8", "surrogatepass"))
+        value = self[word] = xxhash.xxh3_64_intdigest(word)
         return value
 
-    def of(self, words: list[str]) -> np.ndarray:
+    def of(self, words: list) -> np.ndarray:
         return np.fromiter(map(self.__getitem__, words), np.uint64, len(words))
 
 

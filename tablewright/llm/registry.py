@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.runtime import ship_package
-from tablewright.llm import line_dedup, packing, quality, token_counts, token_files
+from tablewright.llm import decontaminate, line_dedup, lm_scoring, near_dedup, packing, quality, secrets, substring_dedup, token_counts, token_files
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -35,7 +35,29 @@ def op9_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op4_line_dedup, op5_token_orc, op6_token_counts, op8_quality_rules, op9_best_fit_packing)}
+def op2_setsketch_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_dedup.near_duplicates(documents(spark, sf_dir))
+
+
+def op7_trigram_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.summary(secrets.find_secrets(documents(spark, sf_dir)))
+
+
+def op3_template_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return decontaminate.contaminated(documents(spark, sf_dir), benchmark)
+
+
+def op10_chained_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.repeated_passages(documents(spark, sf_dir))
+
+
+def op1_masked_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm_scoring.score_documents(documents(spark, sf_dir))
+
+
+QUERIES = {f.__name__: f for f in (op1_masked_lm_scoring, op2_setsketch_dedup, op3_template_decontamination, op4_line_dedup, op5_token_orc, op6_token_counts, op7_trigram_secrets, op8_quality_rules, op9_best_fit_packing, op10_chained_passages)}
 
 SQL = {
     "op4_line_dedup": """
@@ -49,4 +71,24 @@ SQL = {
         SELECT doc_id, count(*) AS n_lines, count(*) FILTER (lost) AS n_dropped,
                sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT lost), '')) AS kept_sha256
         FROM marked GROUP BY doc_id""",
+    "op2_setsketch_dedup": """
+        WITH RECURSIVE words AS (
+            SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), w -> w <> '') AS w
+            FROM documents),
+        shingles AS (
+            SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN []
+                   WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                   ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) END) AS s
+            FROM words),
+        sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+        shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+                   FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+        links AS (SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+                  WHERE 100 * shared.n >= 75 * (x.n + y.n - shared.n)),
+        reach AS (SELECT doc_id AS a, doc_id AS b FROM documents
+                  UNION SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b)
+        SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, r.c AS component_id, d.doc_id = r.c AS kept
+        FROM documents d LEFT JOIN sizes s USING (doc_id)
+        JOIN (SELECT a AS doc_id, min(b) AS c FROM reach GROUP BY a) r USING (doc_id)""",
 }

@@ -143,12 +143,13 @@ def judged(docs: DataFrame, min_group: int = 60, steps: int = 2, cutoff: float =
 
     for _ in range(steps):  # a concentration step: the nearest 75 % of each group, estimated anew
         placed = with_distance(both.join(fit, ["g", "start"])).select("g", "start", *x, level().alias("level"))
-        most = placed.groupBy("g", "start").agg(F.percentile("level", F.lit(SHARE)).alias("most"))
+        # stored, so that the join below deals out both sides anew and can split a hot group
+        most = stored(placed.groupBy("g", "start").agg(F.percentile("level", F.lit(SHARE)).alias("most")), "quality-levels")
         near = placed.join(most, ["g", "start"]).where(F.col("level") <= F.col("most"))
         fit = stored(estimate(near.groupBy("g", "start").agg(*moments()), "g", "start"), "quality-fit")
 
     best = fit.groupBy("g").agg(F.min_by("start", F.struct("logdet", "start")).alias("start"))
-    fit = fit.join(best, ["g", "start"]).drop("start", "logdet")
+    fit = stored(fit.join(best, ["g", "start"]).drop("start", "logdet"), "quality-best")
     placed = with_distance(points.select("g", *x).join(fit, "g"))
     scale = placed.groupBy("g").agg(F.greatest(F.lit(1.0), (F.pow(F.lit(2.0), F.percentile(level(), F.lit(0.5)) / 32) - 0.01) / MEDIAN).alias("scale"))
     final = stored(fit.join(scale, "g").join(center.select("g", "size"), "g"), "quality-final")

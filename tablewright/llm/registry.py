@@ -74,12 +74,12 @@ SQL = {
     "op2_setsketch_dedup": """
         WITH RECURSIVE words AS (
             SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
-                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), w -> w <> '') AS w
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda w: w <> '') AS w
             FROM documents),
         shingles AS (
             SELECT DISTINCT doc_id, unnest(CASE WHEN len(w) = 0 THEN []
                    WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
-                   ELSE list_transform(range(1, len(w) - 3), i -> array_to_string(w[i:i + 4], ' ')) END) AS s
+                   ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
             FROM words),
         sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
         shared AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n

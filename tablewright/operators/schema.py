@@ -69,11 +69,26 @@ def require_values(df: DataFrame, schema: T.StructType) -> DataFrame:
     uses the column. null_violations() counts them instead."""
 
     def checked(f: T.StructField):
-        return col(f.name) if f.nullable else F.coalesce(col(f.name), F.raise_error(f"null in column {f.name}").cast(f.dataType)).alias(f.name)
+        if f.nullable:
+            return col(f.name)
+        # the last value is never reached; it tells Spark that the column can't be null
+        return F.coalesce(col(f.name), F.raise_error(f"null in column {f.name}").cast(f.dataType), _some_value(f.dataType)).alias(f.name)
 
     return df.select(*(checked(f) for f in schema))
 
 
+def _some_value(kind: T.DataType):
+    if isinstance(kind, T.StructType):
+        return F.struct(*(F.lit(None).cast(f.dataType).alias(f.name) for f in kind))
+    if isinstance(kind, T.MapType):
+        return F.create_map().cast(kind)
+    if isinstance(kind, T.ArrayType):
+        return F.array().cast(kind)
+    if isinstance(kind, (T.DateType, T.TimestampType, T.TimestampNTZType)):
+        return F.lit("1970-01-01").cast("date").cast(kind)
+    return F.lit("" if isinstance(kind, (T.StringType, T.BinaryType)) else False if isinstance(kind, T.BooleanType) else 0).cast(kind)
+
+
 def null_violations(df: DataFrame, schema: T.StructType) -> DataFrame:
     """One row: for each non-nullable field the number of nulls."""
     return df.agg(*(F.count_if(col(f.name).isNull()).alias(f.name) for f in schema if not f.nullable))

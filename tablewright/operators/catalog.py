@@ -51,6 +51,11 @@ def with_last_change(tables: DataFrame, changes: DataFrame, at: str) -> DataFram
     return tables.join(newest, list(TABLE_KEY), "left")
 
 
+def in_order(df: DataFrame) -> DataFrame:
+    """By schema, table and, for columns, position."""
+    return df.orderBy(*(c for c in ("lib_schema", "lib_table", "order_column") if c in df.columns))
+
+
 # features
 def source_by_prefix(df: DataFrame, known: tuple[str, ...] = SOURCES, default: str = "orbis") -> DataFrame:
     prefix = F.regexp_extract("lib_table", "^([^_]+)_.*$", 1)

@@ -388,3 +388,38 @@ def catalog_load(spark, sf):
     found = n.where("n_nationkey % 4 <> 0").selectExpr("n_nationkey AS lib_table", "n_regionkey AS region")
     lookup = table(spark, sf, "region").selectExpr("r_regionkey AS region", "r_name AS parent")
     return catalog.load_level(old, found, ["lib_table"], [(lookup, ["region"])]).drop("region")
+
+
+@query(f"WITH {TARGET_SQL}, {SOURCE_SQL} SELECT coalesce(t.k, s.k) AS k, coalesce(s.v, t.v) AS v FROM t FULL JOIN s ON t.k = s.k")
+def merge_hash_gated(spark, sf):
+    """Updates gated by a stored hash of the tracked columns."""
+    target, source = merge_sides(spark, sf)
+    hashed = lambda df: df.select("k", "v", scalars.row_digest(F.col("k"), F.col("v")).alias("hash"))
+    return versioning.scd1(hashed(target), hashed(source), ["k"], compare=["hash"]).select("k", "v")
+
+
+@query(f"WITH {CATALOG_SQL} SELECT t AS lib_table, lib_column, order_column, row_number() OVER (ORDER BY t, order_column) AS place FROM cat")
+def catalog_ordered(spark, sf):
+    ordered = catalog.in_order(column_catalog(spark, sf)).withColumn("key", F.concat_ws("/", "lib_table", F.format_string("%04d", "order_column")))
+    return schema.with_sequence(ordered.select("key", "lib_table", "lib_column", "order_column"), "place").drop("key")
+
+
+@query(f"SELECT DISTINCT * FROM ({_EQUAL})")
+def catalog_references(spark, sf):
+    s = catalog.STRATEGIES["omop"]
+    refs = s.references(s.keys(s.source(column_catalog(spark, sf))))
+    return catalog.distinct_references(refs.union(refs)).select("lib_table_source", "lib_column_source", "lib_table_target", "lib_column_target", "lib_reference")
+
+
+@query("SELECT o_orderkey, n_name AS name, c_nationkey AS nation FROM orders JOIN customer ON c_custkey = o_custkey LEFT JOIN nation ON n_nationkey = c_nationkey AND n_nationkey < 12")
+def lookup_join(spark, sf):
+    o = table(spark, sf, "orders").join(table(spark, sf, "customer"), F.col("o_custkey") == F.col("c_custkey")).select("o_orderkey", F.col("c_nationkey").alias("nation"))
+    lookup = table(spark, sf, "nation").where("n_nationkey < 12").selectExpr("n_nationkey AS nation", "n_name AS name")
+    return catalog.looked_up(o, lookup, ["nation"])
+
+
+@query("SELECT 'c_name' AS field, 'required' AS \"constraint\", 1.0 AS ratio, true AS fatal, count(c_name) / count(*) AS value, count(c_name) = count(*) AS passed FROM customer UNION ALL SELECT 'c_acctbal', 'minimum', 0.99, false, count(*) FILTER (c_acctbal >= 0) / count(*), count(*) FILTER (c_acctbal >= 0) / count(*) >= 0.99 FROM customer")
+def quality_verdicts(spark, sf):
+    checks = quality.from_yaml("fields: [{name: c_name, required: true}, {name: c_acctbal, minimum: 0, ratio: 0.99, fatal: false}]")
+    limits = spark.createDataFrame([(f.name, f.ratio, f.fatal) for f in checks], "field string, ratio double, fatal boolean")
+    return quality.metrics(table(spark, sf, "customer"), checks).join(limits, "field").withColumn("passed", F.col("value") >= F.col("ratio"))

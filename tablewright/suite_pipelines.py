@@ -283,3 +283,61 @@ def streaming_upsert(spark, sf):
     stream = spark.readStream.schema(e.schema).parquet(f"{path}/in")
     upsert.upsert_stream(stream, path, "latest", ["user_id"], "ts", f"{path}/checkpoint").awaitTermination()
     return tables.read(spark, path, "latest").select("user_id", "value")
+
+
+@query("SELECT n_nationkey AS k, n_regionkey AS v, NULL::TIMESTAMP AS e FROM nation WHERE n_nationkey < 15 AND n_nationkey % 2 = 1 UNION ALL SELECT n_nationkey, n_regionkey, TIMESTAMP '2020-01-01' FROM nation WHERE n_nationkey < 15 AND n_nationkey % 2 = 0 UNION ALL SELECT n_nationkey, n_regionkey + 100, NULL FROM nation WHERE n_nationkey % 2 = 0")
+def jdbc_scd2_load(spark, sf):
+    db = derby("scd2")
+    n = table(spark, sf, "nation").selectExpr("n_nationkey AS id", "n_nationkey AS k", "n_regionkey AS v")
+    load = jdbc.Load("scd2", ("k",), "id", "e")
+    jdbc.load_table(n.where("k < 15"), db, "t", load)
+    jdbc.load_table(n.where("k % 2 = 0").selectExpr("id + 1000 AS id", "k", "v + 100 AS v"), db, "t", load, F.lit("2020-01-01").cast("timestamp"))
+    return jdbc.read_query(spark, db, "SELECT * FROM t").select("k", "v", F.col("e").cast("timestamp_ntz").alias("e"))
+
+
+@query("SELECT c_custkey, c_nationkey FROM customer WHERE c_custkey % 4 = 0")
+def sync_database_to_files(spark, sf):
+    path, db = folder(spark, "sync"), derby("sync")
+    jdbc.write_table(table(spark, sf, "customer").where("c_custkey % 4 = 0").select("c_custkey", "c_nationkey"), db, "customer", partitions=2)
+    source = sync.Place("jdbc", database={"url": db.url, "driver": db.driver}, partitions=3)
+    job = sync.Job(source, sync.Place("parquet", f"{path}/out", "scd1"), (sync.TableJob("customer", "customer", ("c_custkey",), hash=False),))
+    sync.sync(spark, job)
+    return tables.read(spark, f"{path}/out", "customer")
+
+
+@query("SELECT c_custkey, c_nationkey FROM customer WHERE c_custkey % 4 = 0")
+def sync_files_to_database(spark, sf):
+    path, db = folder(spark, "sync"), derby("sync")
+    swap_in(table(spark, sf, "customer").where("c_custkey % 4 = 0").select("c_custkey", "c_nationkey"), f"{path}/in/customer")
+    target = sync.Place("jdbc", load="full", database={"url": db.url, "driver": db.driver})
+    sync.sync(spark, sync.Job(sync.Place("parquet", f"{path}/in"), target, (sync.TableJob("customer", "customer", hash=False),)))
+    return jdbc.read_query(spark, db, "SELECT * FROM customer")
+
+
+@query("SELECT c_custkey, c_name FROM customer")
+def sync_to_documents(spark, sf):
+    path = folder(spark, "sync")
+    c = table(spark, sf, "customer").select("c_custkey", "c_name")
+    swap_in(c, f"{path}/in/customer")
+    job = sync.Job(sync.Place("parquet", f"{path}/in"), sync.Place("json", f"{path}/out", "scd1"), (sync.TableJob("customer", "customer", ("c_custkey",), hash=False),))
+    for _ in range(2):  # by document id: the second run changes nothing
+        sync.sync(spark, job)
+    return csvio.read_documents(spark, f"{path}/out/customer", c.schema)
+
+
+@query("SELECT n_name AS lib_table, n_nationkey % 3 <> 0 AS is_active FROM nation")
+def sync_catalog_levels(spark, sf):
+    path = folder(spark, "catalog")
+    n = table(spark, sf, "nation")
+    columns = n.select(F.lit("db").alias("lib_database"), F.lit("omop").alias("lib_schema"), F.col("n_name").alias("lib_table"), F.concat(F.lower("n_name"), F.lit("_id")).alias("lib_column"), F.lit(1).alias("order_column"), "n_nationkey")
+    for found in (columns, columns.where("n_nationkey % 3 <> 0")):
+        sync.sync_catalog(spark, [{"name": "nations", "strategy": "omop", "schemas": "omop"}], path, lambda conf, found=found: found.drop("n_nationkey"))
+    return tables.read(spark, path, "meta_table").select("lib_table", "is_active")
+
+
+@query("SELECT column_name, column_type FROM (VALUES ('c_custkey', 'bigint'), ('c_acctbal', 'double')) v(column_name, column_type)")
+def jdbc_schema_probe(spark, sf):
+    db = derby("probe")
+    jdbc.write_table(table(spark, sf, "customer").select("c_custkey", "c_acctbal"), db, "customer", partitions=1)
+    probed = jdbc.query_schema(spark, db, "SELECT * FROM customer")
+    return spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in probed], "column_name string, column_type string")

@@ -43,7 +43,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     only the tasks that it was running.
     """
     path = new_path(df.sparkSession, name)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -97,7 +97,7 @@ def batch(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
 
 
-def slices(record: pa.RecordBatch, chars: int = 4_000_000):
+def slices(record: pa.RecordBatch, chars: int = 1_500_000):
     """A batch as smaller ones of about so many characters of ``text``, one row at least."""
     sizes = np.diff(np.frombuffer(record.column("text").buffers()[1], np.int32 if record.schema.field("text").type == pa.string() else np.int64)[record.column("text").offset :][: record.num_rows + 1]) if record.num_rows else []
     start, held = 0, 0

@@ -97,10 +97,29 @@ def completion(left: dict[int, int], sizes: list[int], room: int, nodes: int, sk
     return best[1]
 
 
+def least_sequences(counts: dict[int, int], capacity: int) -> int:
+    """A number of sequences that no packing can beat.
+
+    For each size k: lengths over capacity - k stand alone, those over half of the capacity never
+    share one, and lengths from k on must fit beside the latter or need more.
+    """
+    n, volume = np.zeros(capacity + 2, np.int64), np.zeros(capacity + 2, np.int64)
+    for x, c in counts.items():
+        n[x], volume[x] = c, c * x
+    upto_n, upto = np.cumsum(n), np.cumsum(volume)
+    half, best = capacity // 2, -(-int(upto[-1]) // capacity)
+    for k in range(1, half + 1):
+        alone = int(upto_n[-1] - upto_n[capacity - k])
+        big, big_volume = int(upto_n[capacity - k] - upto_n[half]), int(upto[capacity - k] - upto[half])
+        small = int(upto[half] - upto[k - 1])
+        best = max(best, alone + big + max(0, -(-(small - (big * capacity - big_volume)) // capacity)))
+    return best
+
+
 def pack_histogram(counts: dict[int, int], capacity: int, nodes: int = 1500, branches: int = 4) -> list[tuple[list[int], int]]:
     """Patterns (lengths in one sequence, how many sequences) that use up ``counts`` exactly."""
     volume = sum(n * x for x, n in counts.items())
-    bound = -(-volume // capacity)
+    bound = least_sequences(counts, capacity)
 
     def branch(nodes: int, skip: int, most: float) -> list[tuple[list[int], int]] | None:
         left = {x: n for x, n in counts.items() if n}

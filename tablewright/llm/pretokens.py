@@ -11,8 +11,10 @@ from __future__ import annotations
 import json
 import os
 import re
+from itertools import islice
+from struct import pack
+from unicodedata import is_normalized
 
-import numpy as np
 import public_tokenizers
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -21,7 +23,21 @@ os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 _SPACED = re.compile(r"[ \n]*[^ \n]+|[ \n]+")
 _ODD_BLANK = re.compile(r"[^\S \n]")
 #: Letters and a run of marks after them are always split, so both halves can be looked up.
-_MARKED = re.compile(r"(.*[A-Za-z])([.,!*#$%&]+)", re.DOTALL)
+_MARKS = ".,!*#$%&"
+#: Longer keys are not kept, so the cache is bounded in bytes too; letters from here on are left to
+#: the library, whose tables may know others.
+_LONGEST, _NEW = 64, "\u2000"
+
+
+def _shown() -> dict[int, str]:
+    """Byte-level vocabularies write a byte as its Latin-1 character if that is visible, and the
+    others, in order, as the characters from U+0100 on."""
+    visible = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    others = [b for b in range(256) if b not in visible]
+    return {b: chr(b) for b in visible} | {b: chr(256 + i) for i, b in enumerate(others)}
+
+
+_SHOWN = _shown()
 
 
 def plain(text: str) -> bool:
@@ -31,19 +47,20 @@ def plain(text: str) -> bool:
 
 
 class PieceIds(dict):
-    """piece -> its ids as little-endian unsigned 32-bit integers; emptied at ``limit`` pieces.
+    """piece -> its ids as little-endian unsigned 32-bit integers; half of it goes at ``limit`` pieces.
 
     ``split`` gives the keys of a text and ``piece`` the text that a key stands for.
     """
 
-    def __init__(self, path: str, limit: int = 800_000):
+    def __init__(self, path: str, limit: int = 600_000):
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer, self.limit = Tokenizer.from_file(path), limit
+        self.merges = self.tokenizer.model.tokenize
         model = json.loads(self.tokenizer.to_str())["model"]
-        word_ends = bool(model.get("end_of_word_suffix"))
-        self.split, self.piece = (self.words, self.decoded) if word_ends else (self.spaced, self.unspaced)
+        self.word_ends = bool(model.get("end_of_word_suffix"))
+        self.split, self.piece = (self.words, self.decoded) if self.word_ends else (self.spaced, self.unspaced)
 
     @staticmethod
     def words(text: str) -> list[bytes]:
@@ -68,28 +85,41 @@ class PieceIds(dict):
     def unspaced(key: str) -> str:
         return key[1:] if key[0] == "\0" else key if key[0] == "\n" else " " + key
 
-    def learn(self, keys: list) -> None:
-        for start in range(0, len(keys), 4096):
-            some = keys[start : start + 4096]
-            for key, found in zip(some, self.tokenizer.encode_batch_fast([self.piece(k) for k in some], add_special_tokens=False), strict=True):
-                self[key] = np.array(found.ids, "<u4").tobytes()
+    def __missing__(self, key) -> bytes:
+        value = self.learned(key)
+        if len(key) <= _LONGEST:
+            self[key] = value
+        return value
+
+    def learned(self, key) -> bytes:
+        """The ids of a key by the library: all of it, or for a word of letters, which its splitting
+        never cuts and its normalizer doesn't change, by its merges alone."""
+        if not self.word_ends and key[0] == "\n" and len(key) > 1:  # a line feed is a pre-token
+            return self["\0\n"] + self["\0" + key[1:]]
+        piece = self.piece(key)
+        if piece[-1] in _MARKS:
+            base = piece.rstrip(_MARKS)
+            if base[-1:].isalpha() and base[-1] < _NEW and "<|" not in base:
+                marks = piece[len(base) :]
+                return self[base.encode()] + self[marks.encode()] if self.word_ends else self[key[: -len(marks)]] + self["\0" + marks]
+        word = piece[1:] if piece[0] == " " else piece
+        if word.isalpha() and max(word) < _NEW and (not self.word_ends or (word.islower() and is_normalized("NFC", word))):
+            ids = [t.id for t in self.merges(piece.encode().decode("latin-1").translate(_SHOWN))]
+        else:
+            ids = self.tokenizer.encode(piece, add_special_tokens=False).ids
+        return pack(f"<{len(ids)}I", *ids)
 
     def encode(self, texts: list[str]) -> list[bytes]:
         """The ids of each text."""
-        cut = [self.split(t) for t in texts]
-        if len(self) > self.limit:
-            self.clear()
-        missing = [k for k in set().union(*cut) if k not in self]
-        halves = {}
-        for key in missing:
-            found = _MARKED.fullmatch(self.piece(key))
-            if found and "<|" not in found[1]:
-                base, marks = found.groups()
-                halves[key] = (base.encode(), marks.encode()) if isinstance(key, bytes) else (key[: -len(marks)], "\0" + marks)
-        self.learn([k for k in {*missing, *(h for own in halves.values() for h in own)} if k not in halves and k not in self])
-        for key, own in halves.items():
-            self[key] = self[own[0]] + self[own[1]]
-        return [b"".join(map(self.__getitem__, own)) for own in cut]
+        out = []
+        for text in texts:
+            if len(self) > self.limit:
+                # frequent pieces are met early, and a dict keeps its order
+                first = list(islice(self.items(), self.limit // 2))
+                self.clear()
+                self.update(first)
+            out.append(b"".join(map(self.__getitem__, self.split(text))))
+        return out
 
 
 _loaded: dict[str, PieceIds] = {}

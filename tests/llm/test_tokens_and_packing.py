@@ -9,7 +9,7 @@ from tablewright.llm import packing, pretokens, token_counts, token_files
 from tablewright.llm.common import new_path
 from tests.llm.data import frame, odd_documents
 
-ODD = ["a\tb", "x  y \n\n z ", "<|endoftext|> a <|startoftext|>b", "<|ENDOFTEXT|>", "İİ É É ́", "!\x1c a\x1cb", "a  b  c", "▁a▁ ▁b", " lead", "trail ", "\n", "\n\n a", "don't I'LL 'S we're.", "ß ﬁ Σ ΑΣ. 𝒳 12.5% a\r\nb", "<s> </s><unk>x", "", " ", "a \x85 b", "�\x00 z", " \x00x y", "word... wOrd!! ***x*** naïve. Ünder, ÀB"]
+ODD = ["a\tb", "x  y \n\n z ", "<|endoftext|> a <|startoftext|>b", "<|ENDOFTEXT|>", "see <|endoftext|> Hello WORLD. Émile", "x" * 200 + ". y", "日本語 テキスト。", "İİ É É ́", "!\x1c a\x1cb", "a  b  c", "▁a▁ ▁b", " lead", "trail ", "\n", "\n\n a", "don't I'LL 'S we're.", "ß ﬁ Σ ΑΣ. 𝒳 12.5% a\r\nb", "<s> </s><unk>x", "", " ", "a \x85 b", "�\x00 z", " \x00x y", "word... wOrd!! ***x*** naïve. Ünder, ÀB"]
 
 
 def texts():

@@ -63,7 +63,10 @@ class Lengths(dict):
             self.update(self.fixed)
         missing = [p for p in set().union(*cut) if p not in self]
         self.update(zip(missing, self.lengths(missing), strict=True))
-        return [sum(map(self.__getitem__, own)) for own in cut]
+        counts = [sum(map(self.__getitem__, own)) for own in cut]
+        for long in [p for p in missing if len(p) > 64]:  # so the cache is bounded in bytes too
+            del self[long]
+        return counts
 
 
 def pack(table: dict[str, int]) -> tuple[bytes, bytes, bytes]:

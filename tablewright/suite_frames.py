@@ -418,7 +418,7 @@ def lookup_join(spark, sf):
     return catalog.looked_up(o, lookup, ["nation"])
 
 
-@query("SELECT 'c_name' AS field, 'required' AS \"constraint\", 1.0 AS ratio, true AS fatal, count(c_name) / count(*) AS value, count(c_name) = count(*) AS passed FROM customer UNION ALL SELECT 'c_acctbal', 'minimum', 0.99, false, count(*) FILTER (c_acctbal >= 0) / count(*), count(*) FILTER (c_acctbal >= 0) / count(*) >= 0.99 FROM customer")
+@query("SELECT 'c_name' AS field, 'required' AS \"constraint\", 1.0::DOUBLE AS ratio, true AS fatal, count(c_name) / count(*) AS value, count(c_name) = count(*) AS passed FROM customer UNION ALL SELECT 'c_acctbal', 'minimum', 0.99::DOUBLE, false, count(*) FILTER (c_acctbal >= 0) / count(*), count(*) FILTER (c_acctbal >= 0) / count(*) >= 0.99 FROM customer")
 def quality_verdicts(spark, sf):
     checks = quality.from_yaml("fields: [{name: c_name, required: true}, {name: c_acctbal, minimum: 0, ratio: 0.99, fatal: false}]")
     limits = spark.createDataFrame([(f.name, f.ratio, f.fatal) for f in checks], "field string, ratio double, fatal boolean")

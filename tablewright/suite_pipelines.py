@@ -150,7 +150,7 @@ def catalog_analyze(spark, sf):
 
 
 # splits
-@query("""SELECT least(7, (o_orderkey - lo) * 8 // (hi - lo + 1)) AS part, count(*) AS n FROM orders, (SELECT min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM orders) GROUP BY 1""")
+@query("""SELECT ((o_orderkey - lo) * 8 + 7) // (hi - lo + 1) AS part, count(*) AS n FROM orders, (SELECT min(o_orderkey) AS lo, max(o_orderkey) AS hi FROM orders) GROUP BY 1""")
 def key_range_split(spark, sf):
     o = table(spark, sf, "orders")
     low, high = jdbc.min_max(o, "o_orderkey")

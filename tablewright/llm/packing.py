@@ -17,6 +17,7 @@ read.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_right
 
 import numpy as np
 import pyarrow as pa
@@ -60,41 +61,40 @@ def completion(left: dict[int, int], sizes: list[int], room: int, nodes: int, sk
     larger length could take an item's place is dominated and passed over. ``skip`` passes over
     as many perfect fillings, for another branch.
     """
-    from bisect import bisect_right
-
-    best: list = [room + 1, []]
+    best: list = [room + 1, None]
     state = [nodes, skip]
 
-    def undominated(items: list[int], waste: int) -> bool:
-        for x in set(items):
-            k = bisect_right(sizes, x + waste) - 1
-            if sizes[k] > x and left[sizes[k]] > items.count(sizes[k]):
+    def undominated(taken: dict[int, int], waste: int) -> bool:
+        for x in taken:
+            larger = sizes[bisect_right(sizes, x + waste) - 1]
+            if larger > x and left[larger] > taken.get(larger, 0):
                 return False
         return True
 
-    def fill(rest: int, top: int, items: list[int]) -> bool:
+    def fill(rest: int, k: int, taken: dict[int, int]) -> bool:
+        """Fill ``rest`` with lengths up to sizes[k]; one level for each length, however often it is
+        taken, so the depth is below the root of twice the capacity."""
         state[0] -= 1
-        k = bisect_right(sizes, min(rest, top)) - 1
+        k = min(k, bisect_right(sizes, rest) - 1)
         fitted = False
         while k >= 0:
             x = sizes[k]
-            if left[x] > items.count(x):
+            k -= 1
+            for copies in range(min(left[x], rest // x), 0, -1):
                 fitted = True
-                if fill(rest - x, x, [*items, x]):
+                if fill(rest - copies * x, k, taken | {x: copies}):
                     return True
-            if state[0] <= 0 and best[1]:
-                return True
-            k -= 1
-            # what is still to come can't fill better than by its own multiples
-        if not fitted and rest < best[0] and (not items or rest == 0 or undominated(items, rest)):
+                if state[0] <= 0 and best[1] is not None:
+                    return True
+        if not fitted and rest < best[0] and (not taken or rest == 0 or undominated(taken, rest)):
             if rest == 0 and state[1] > 0:
                 state[1] -= 1
                 return False
-            best[:] = [rest, items]
+            best[:] = [rest, taken]
         return best[0] == 0
 
-    fill(room, room, [])
-    return best[1]
+    fill(room, len(sizes) - 1, {})
+    return [x for x, copies in (best[1] or {}).items() for _ in range(copies)]
 
 
 def least_sequences(counts: dict[int, int], capacity: int) -> int:

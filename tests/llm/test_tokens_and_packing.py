@@ -114,6 +114,19 @@ def test_bin_completion_beats_best_fit():
     assert used == packing.least_sequences(counts, 100) == -(-sum(x * n for x, n in counts.items()) // 100)
 
 
+def test_many_tiny_pieces():
+    """More pieces of one token in a sequence than Python's stack is deep."""
+    for counts in ({1: 9000, 700: 3, 2048: 2}, {1: 100_000, 2: 5}, {3: 40_000, 1000: 1}):
+        patterns = packing.pack_histogram(counts, 2048)
+        left = dict(counts)
+        for items, times in patterns:
+            assert sum(items) <= 2048
+            for x in set(items):
+                left[x] -= times * items.count(x)
+        assert not any(left.values())
+        assert sum(n for _, n in patterns) == packing.least_sequences(counts, 2048)
+
+
 def test_lower_bound():
     assert packing.least_sequences({6: 5, 5: 1}, 10) == 6  # more than the volume asks for
     assert packing.least_sequences({}, 10) == 0

@@ -51,20 +51,28 @@ def write_tokens(docs: DataFrame, path: str, vocab: str = "word_bpe_49k.json", e
     )
 
 
-def read_tokens(spark: SparkSession, path: str, doc_ids: list[int] | None = None) -> DataFrame:
-    """doc_id, start (ids of all documents before it), ids. ``doc_ids`` prunes by metadata."""
-    files = spark.read.schema(SCHEMA).orc(path).select("*", F.col("_metadata.file_path").alias("file"))
-    sums = files.groupBy("file").agg(F.max(F.col("start") + F.size("ids")).alias("n"), F.min("doc_id").alias("first"), F.min("start"))
+def opened(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(SCHEMA).orc(path).select("*", F.col("_metadata.file_path").alias("file"))
+
+
+def with_base(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """``rows`` (with file and start in it) with start counted over all files."""
+    sums = files.groupBy("file").agg(F.max(F.col("start") + F.size("ids")).alias("n"), F.min("doc_id").alias("first"))
     # one row a file, so this window stays small
     order = Window.orderBy(F.col("first").asc_nulls_first(), "file").rowsBetween(Window.unboundedPreceding, -1)
     base = sums.select("file", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("base"))
-    if doc_ids is not None:
-        files = files.where(F.col("doc_id").isin(doc_ids))
-    return files.join(base, "file").select("doc_id", (F.col("base") + F.col("start")).alias("start"), "ids")
+    return rows.join(base, "file").withColumn("start", F.col("base") + F.col("start")).drop("file", "base")
+
+
+def read_tokens(spark: SparkSession, path: str, doc_ids: list[int] | None = None) -> DataFrame:
+    """doc_id, start (ids of all documents before it), ids. ``doc_ids`` prunes by metadata."""
+    files = opened(spark, path)
+    rows = files.where(F.col("doc_id").isin(doc_ids)) if doc_ids is not None else files
+    return with_base(rows, files)
 
 
 def token_digest(tokens: DataFrame) -> DataFrame:
-    """doc_id, start, n_tokens and the unsigned crc32 of the ids as little-endian 32-bit integers."""
+    """doc_id, start, file, n_tokens and the unsigned crc32 of the ids as little-endian 32-bit integers."""
 
     def digests(records):
         for record in records:
@@ -72,13 +80,14 @@ def token_digest(tokens: DataFrame) -> DataFrame:
             ends = np.asarray(ids.offsets)
             flat = np.asarray(ids.values).astype("<u4")
             crc = [zlib.crc32(flat[a:b].tobytes()) for a, b in zip(ends[:-1], ends[1:], strict=True)]
-            yield pa.RecordBatch.from_arrays([record.column("doc_id"), record.column("start"), pa.array(np.diff(ends).astype(np.int64)), pa.array(crc, pa.int64())], names=["doc_id", "start", "n_tokens", "ids_crc32"])
+            yield pa.RecordBatch.from_arrays([record.column("doc_id"), record.column("start"), record.column("file"), pa.array(np.diff(ends).astype(np.int64)), pa.array(crc, pa.int64())], names=["doc_id", "start", "file", "n_tokens", "ids_crc32"])
 
-    return tokens.mapInArrow(digests, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return tokens.mapInArrow(digests, "doc_id long, start long, file string, n_tokens long, ids_crc32 long")
 
 
 def encode_and_read_back(docs: DataFrame, vocab: str = "word_bpe_49k.json", end_id: int = 2) -> DataFrame:
     spark = docs.sparkSession
     path = new_path(spark, "tokens-orc")
     write_tokens(docs, path, vocab, end_id)
-    return token_digest(read_tokens(spark, path))
+    files = opened(spark, path)
+    return with_base(token_digest(files), files).select("doc_id", "start", "n_tokens", "ids_crc32")

@@ -1,7 +1,7 @@
 """The corpus pipeline: five stages, each on all that its predecessor kept.
 
-``run`` applies them in memory of Spark's plan; a driver that writes every stage's result and reads
-it again gets the same rows. Every stage but the last returns the columns of ``documents``; the
+``run`` stores each stage's result and goes on from the files, as a driver does that writes and
+rereads them. Every stage but the last returns the columns of ``documents``; the
 last returns the packed pieces.
 """
 
@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tablewright.llm import decontaminate, line_dedup, near_dedup, packing, quality
+from tablewright.llm.common import stored
 from tablewright.runtime import ship_package
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -59,8 +60,6 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from tablewright.llm.common import stored
-
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
         docs = stored(stage(spark, docs, sf_dir), f"stage-{name.replace(' ', '-')}")

@@ -21,20 +21,19 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tablewright.llm import bloom
 from tablewright.llm.common import WORD, mixed, slices, stored, texts_of, window_hashes
 
-import xxhash
-
 WINDOW = 8
 #: Common units of measure and money, as written after a number.
 UNITS = frozenset("mm cm m km in ft yd mi g kg mg lb oz t ml l cl s sec min h hr hrs day days week weeks month months year years mph kmh km/h m/s % ° °c °f c f usd eur gbp $ € £ dollars euros pounds cents percent meters metres kilometers kilometres miles feet inches hours minutes seconds grams kilograms liters litres".split())
 _OUTER = re.compile(r"^[^\w%$€£°]+|[^\w%$€£°]+$")
 _NUMBER = re.compile(r"[-+$€£]?\d[\d.,:/]*(?:st|nd|rd|th)?(%|°?[a-zA-Z/%°]{0,4})")
-_ENDS = re.compile(r"[.!?:;\"”)\]|]$")
 
 
 class Templates(dict):
@@ -59,7 +58,6 @@ class Templates(dict):
 
 
 _templates = Templates()
-_ends: dict[str, bool] = {}
 
 
 def templates(text: str) -> tuple[np.ndarray, list[str | None]]:
@@ -112,8 +110,6 @@ def matches(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, share: f
     bits = bloom.bits_for(items.count(), 16, max_filter_bits)
 
     def seen(records):
-        from pyspark import TaskContext
-
         filters = bloom.Seen(bits)
         for record in records:
             filters.add(np.repeat(record.column("hash").to_numpy().astype(np.uint64), 2))  # seen twice: the filter that merge() gives

@@ -13,9 +13,9 @@ Nothing here pairs up a large group:
   members that share most buckets with others;
 * only pairs that could still join two components are confirmed;
 * members of large buckets that are still apart from the bucket's main component meet members of it
-  and of other components drawn by hash, in up to three turns while these find links. A document
-  meets other draws in each of its 32 buckets. A link inside large buckets can only be lost if none
-  of up to some hundred members met shows a way to it.
+  and of other components drawn by hash, in up to three turns while these find links;
+* whatever is still apart in large buckets after that is joined on the rarest shingles of the full
+  sets: two sets of the wanted similarity share one of them, so no link is left to chance.
 
 Defined cases: a null or empty text, or one without words, has an empty set and stays alone; fewer
 words than a shingle has make one shingle; rows that share a doc_id are one document that has the
@@ -187,6 +187,52 @@ def still_apart(large: DataFrame, turn: int) -> DataFrame:
     return in_order(met.where(F.col("c") != F.col("one.c")).select(F.col("doc").alias("x"), F.col("one.doc").alias("y")))
 
 
+def rarest_pairs(large: DataFrame, docs: DataFrame, percent: int, width: int) -> DataFrame:
+    """All pairs (a, b) of different components that can reach ``percent``, among the members
+    (key, doc, c) of large buckets that hold several components.
+
+    Sets are put in one order, rarest shingles first. A smaller set that reaches the threshold with
+    a larger one shares a shingle among its first n - 2p / (100 + p) * n + 1, which is among the
+    larger one's first n - p / 100 * n + 1; the first one shared leaves enough behind it on both
+    sides. Members of a shingle's main component do not meet each other; a frequent shingle is
+    dealt to several tasks.
+    """
+    large = stored(large, "near-large")
+    mixed = large.groupBy("key").agg(F.min("c").alias("least"), F.max("c").alias("most")).where("least < most").select("key")
+    open_docs = stored(large.join(stored(mixed, "near-mixed"), "key", "left_semi").select("doc", "c").distinct(), "near-open")
+
+    def shingled(records):
+        for record in (part for r in records for part in slices(r)):
+            sets = [shingle_set(text, width) for text in record.column("text").to_pylist()]
+            own = pa.array([hashlib.blake2b(s.tobytes(), digest_size=16).digest() for s in sets], pa.binary())
+            yield pa.RecordBatch.from_arrays([record.column("doc"), record.column("c"), own, pa.array([s.view(np.int64) for s in sets], pa.list_(pa.int64()))], names=["doc", "c", "own", "shingles"])
+
+    texts = texts_of(docs).join(open_docs, F.col("doc_id") == F.col("doc")).select("doc", "c", "text")
+    # rows that share a doc_id are sets of their own
+    sets = stored(texts.mapInArrow(shingled, "doc long, c long, own binary, shingles array<long>").dropDuplicates(["doc", "own"]), "near-sets")
+    rows = sets.select("doc", "c", "own", F.explode("shingles").alias("shingle"))
+    counts = stored(rows.groupBy("shingle").agg(F.count("*").alias("held")).where("held > 1"), "near-shingles")
+    shared = rows.join(counts, "shingle").groupBy("doc", "c", "own").agg(F.sort_array(F.collect_list(F.struct("held", "shingle"))).alias("shared"))
+    # shingles of a single set come first in its order and meet nothing
+    shared = shared.join(sets.select("doc", "own", F.size("shingles").cast("long").alias("n")), ["doc", "own"]).withColumn("alone", F.col("n") - F.size("shared"))
+    first = F.expr(f"n - ({percent} * n + 99) div 100 + 1 - alone")
+    prefix = shared.where(first > 0).select("doc", "c", "n", "alone", F.posexplode(F.slice("shared", 1, first.cast("int"))).alias("place", "s"))
+    prefix = prefix.select(F.col("s.shingle").alias("shingle"), F.col("s.held").alias("held"), "doc", "c", "n", (F.col("alone") + F.col("place")).alias("at"))
+    prefix = stored(prefix.withColumn("short", F.expr(f"at <= n - ({2 * percent} * n + {99 + percent}) div {100 + percent}")), "near-prefix")
+
+    sizes = prefix.groupBy("shingle", "c").agg(F.count("*").alias("size"))
+    main = sizes.groupBy("shingle").agg(F.max_by("c", F.struct("size", "c")).alias("main"), F.count("*").alias("several")).where("several > 1")
+    prefix = stored(prefix.join(stored(main.select("shingle", "main"), "near-mains"), "shingle").withColumn("salts", F.expr("1 + held div 512")), "near-prefix")
+    side = lambda df, end: df.select("shingle", "salt", *(F.col(c).alias(c + end) for c in ("doc", "c", "n", "at", "short")))
+    x = side(prefix.where(F.col("c") != F.col("main")).withColumn("salt", F.explode(F.expr("sequence(0L, salts - 1)"))), "1")
+    y = side(prefix.withColumn("salt", F.pmod(F.xxhash64("doc"), F.col("salts"))), "2")
+    fits = F.expr(
+        f"c1 <> c2 AND 100 * least(n1, n2) >= {percent} * greatest(n1, n2) AND {100 + percent} * least(n1 - at1, n2 - at2) >= {percent} * (n1 + n2)"
+        " AND CASE WHEN n1 < n2 THEN short1 WHEN n2 < n1 THEN short2 ELSE short1 AND short2 END"
+    )
+    return in_order(x.join(y, ["shingle", "salt"]).where(fits).select(F.col("doc1").alias("x"), F.col("doc2").alias("y")))
+
+
 def labelled(rows: DataFrame, label: DataFrame, column: str, into: str) -> DataFrame:
     """``rows`` with the component of ``column`` (itself where no link is known)."""
     known = label.select(F.col("node").alias("_node"), F.col("component").alias("_component"))
@@ -197,6 +243,17 @@ def apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
     return labelled(labelled(pairs, label, "a", "ca"), label, "b", "cb").where(F.col("ca") != F.col("cb")).select(*pairs.columns)
 
 
+def linked_up(pairs: DataFrame, links: DataFrame | None, docs: DataFrame, percent: int, width: int) -> DataFrame:
+    """``links`` with those of ``pairs`` (a, b, estimate) that join components: first each document's
+    most promising pair, then whatever could still join two components."""
+    ends = pairs.select(F.col("a").alias("x"), F.col("b").alias("y"), "estimate").union(pairs.select("b", "a", "estimate"))
+    best = ends.groupBy("x").agg(F.max_by("y", F.struct("estimate", -F.col("y"))).alias("y"))
+    more = stored(confirmed(in_order(best.select("x", "y")), docs, percent, width), "near-links")
+    links = more if links is None else links.union(more)
+    rest = stored(apart(pairs, components(links)), "near-apart")
+    return links.union(stored(confirmed(rest, docs, percent, width), "near-links"))
+
+
 def near_duplicates(docs: DataFrame, percent: int = 75, width: int = 5) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept (doc_id is it)."""
     sketch = stored(sketches(docs, width), "near-sketches")
@@ -210,25 +267,21 @@ def near_duplicates(docs: DataFrame, percent: int = 75, width: int = 5) -> DataF
     score = members.groupBy("doc").agg(F.sum("n").alias("score"))
     members = stored(members.join(stored(score, "near-scores"), "doc").select("key", "n", "doc", "score"), "near-scored")
     pairs = stored(hopeful(bucket_pairs(members), reps, percent / 100), "near-pairs")
-
-    # first each document's most promising pair, then whatever could still join two components
-    ends = pairs.select(F.col("a").alias("x"), F.col("b").alias("y"), "estimate").union(pairs.select("b", "a", "estimate"))
-    best = ends.groupBy("x").agg(F.max_by("y", F.struct("estimate", -F.col("y"))).alias("y"))
-    links = stored(confirmed(in_order(best.select("x", "y")), docs, percent, width), "near-links")
-    label = components(links)
-    more = stored(confirmed(stored(apart(pairs, label), "near-apart"), docs, percent, width), "near-links")
-    links = links.union(more)
+    links = linked_up(pairs, None, docs, percent, width)
     label = components(links)
 
-    # large buckets that still hold several components: further rounds while they find links
+    # large buckets that still hold several components: draws while they find links, then all pairs
+    large = members.where(F.col("n") > SMALL).select("key", "doc")
     for turn in range(ROUNDS):
-        rest = still_apart(labelled(members.where(F.col("n") > SMALL).select("key", "doc"), label, "doc", "c"), turn)
+        rest = still_apart(labelled(large, label, "doc", "c"), turn)
         rest = stored(apart(hopeful(rest, reps, percent / 100), label), "near-rest")
         more = stored(confirmed(rest, docs, percent, width), "near-links")
         if more.isEmpty():
             break
         links = links.union(more)
         label = components(links)
+    rest = rarest_pairs(labelled(large, label, "doc", "c"), docs, percent, width)
+    links = linked_up(stored(hopeful(rest, reps, percent / 100), "near-rest"), links, docs, percent, width)
 
     label = stored(components(links.union(same)), "near-components")
     out = labelled(sketch.select("doc_id", "n_shingles"), label, "doc_id", "component_id")

@@ -1,4 +1,5 @@
 import hashlib
+import random
 from collections import Counter, defaultdict
 
 import numpy as np
@@ -6,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tablewright.llm import bloom, line_dedup, near_dedup
 from tablewright.llm.components import components
-from tests.llm.data import WORD, edited, frame, odd_documents, prose
+from tests.llm.data import WORD, edited, frame, odd_documents, prose, words
 
 BLANKS = " \t\n\x0b\x0c\r"
 
@@ -104,6 +105,22 @@ def test_large_near_group(spark):
     assert got == brute_near(rows)
 
 
+def test_pairs_inside_a_large_family(spark, monkeypatch):
+    """Pairs among texts of one template: only its partner is similar enough to a text, and no
+    pivot is. Fewer pivots and draws stand for a larger family."""
+    for name, value in (("SMALL", 3), ("PIVOTS", 2), ("ROUNDS", 1)):
+        monkeypatch.setattr(near_dedup, name, value)
+    base = words(150, 31)
+    rows = []
+    for i in range(240):
+        r = random.Random(i // 2)
+        at = {10 * k + r.randrange(5, 10) for k in r.sample(range(14), 4)}
+        rows.append((i, " ".join(f"new{i}at{k}" if k in at else w for k, w in enumerate(base))))
+    want = brute_near(rows)
+    assert sum(not kept for *_, kept in want) > 100
+    assert near_of(near_dedup.near_duplicates(frame(spark, rows, extra=False))) == want
+
+
 def test_near_empty(spark):
     assert near_dedup.near_duplicates(frame(spark, {}).limit(0)).count() == 0
     assert near_of(near_dedup.near_duplicates(frame(spark, {1: None, 2: None}))) == [(1, 0, 1, True), (2, 0, 2, True)]

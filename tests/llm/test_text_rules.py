@@ -134,6 +134,13 @@ def test_templates():
     assert not same("He paid the bill", "He paid the rent")
 
 
+def test_passage_held_twice(spark):
+    passage = prose(90, 41)
+    docs = {1: passage, 2: f"{passage}\n{prose(60, 42)}\n{edited(passage, 40, 1)}"}
+    out = {r.doc_id: r for r in substring_dedup.repeated_passages(frame(spark, docs)).collect()}
+    assert len(out[2].passages) == 2 and out[2].n_words >= 150
+
+
 def test_passages_against_brute_force(spark):
     texts = odd_documents() | {300 + i: f"{prose(40, 600 + i)}\n{edited(prose(90, 3), 30, i)}\n{prose(30, 700 + i)}" for i in range(6)}
     rows = [*texts.items(), (None, texts[13])]

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from tablewright.llm import decontaminate, lm_scoring, quality, secrets, substring_dedup
+from tablewright.llm import bloom, decontaminate, lm_scoring, quality, secrets, substring_dedup
 from tests.llm.data import WORD, edited, frame, odd_documents, prose, words
 
 
@@ -141,6 +141,26 @@ def test_passage_held_twice(spark):
     assert len(out[2].passages) == 2 and out[2].n_words >= 150
 
 
+def test_passage_of_lines_that_others_hold(spark):
+    """Documents 5 and 6 share three lines; each line alone is also in a smaller and a larger doc_id."""
+    lines = [" ".join(words(18, 50 + k)) for k in range(3)]
+    docs = {5: "\n".join([prose(40, 60), *lines]), 6: "\n".join([*lines, prose(40, 61)])}
+    docs |= {k: f"{prose(30, 70 + k)}\n{lines[k]}\n{prose(30, 80 + k)}" for k in range(3)}
+    docs |= {90 + k: f"{prose(30, 90 + k)}\n{lines[k]}\n{prose(30, 100 + k)}" for k in range(3)}
+    out = {r.doc_id: (r.n_words, r.passages, r.doc_ids) for r in substring_dedup.repeated_passages(frame(spark, docs)).collect()}
+    assert out == {5: (54, [[40, 94]], [6]), 6: (54, [[0, 54]], [5])}
+
+
+def test_suspect_runs():
+    held, text = prose(80, 110), f"{prose(33, 111)} {prose(80, 110)} {prose(20, 112)}"
+    both = bloom.Seen(1 << 14)
+    both.add(np.repeat(np.intersect1d(substring_dedup.seeds(held)[0], substring_dedup.seeds(text)[0]), 2))
+    found, at = substring_dedup.suspect_runs(text, both.twice, 50)
+    assert set(range(33, 33 + 31)) <= set(at.tolist()) < set(range(134 - 50))
+    own, _ = substring_dedup.suspect_runs(held, both.twice, 50)
+    assert set(own.tolist()) <= set(found.tolist())
+
+
 def test_passages_against_brute_force(spark):
     texts = odd_documents() | {300 + i: f"{prose(40, 600 + i)}\n{edited(prose(90, 3), 30, i)}\n{prose(30, 700 + i)}" for i in range(6)}
     rows = [*texts.items(), (None, texts[13])]

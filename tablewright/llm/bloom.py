@@ -12,6 +12,7 @@ import zlib
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -46,25 +47,25 @@ class Seen:
         put(self.twice, unique[(counts > 1) | holds(self.once, unique)])
         put(self.once, unique)
 
-    def rows(self, task: int) -> pd.DataFrame:
-        """The filters cut into segments; empty segments are left out."""
+    def record(self, task: int) -> pa.RecordBatch:
+        """The filters of the task ``task`` cut into segments; empty segments are left out."""
         n = min(SEGMENT, len(self.once))
         found = [
             (i, task, zlib.compress(o.tobytes(), 1), zlib.compress(t.tobytes(), 1))
             for i, (o, t) in enumerate(zip(self.once.reshape(-1, n), self.twice.reshape(-1, n), strict=True))
             if o.any()
         ]
-        return pd.DataFrame(found, columns=["segment", "task", "once", "twice"])
+        return pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], t) for i, t in enumerate((pa.int32(), pa.int32(), pa.binary(), pa.binary()))], names=["segment", "task", "once", "twice"])
 
 
 ROWS = "segment int, task int, once binary, twice binary"
 
 
-def merge(rows: DataFrame, bits: int, fan_in: int = 64) -> np.ndarray:
-    """The twice filter of all tasks.
+def merge(rows: DataFrame, bits: int, fan_in: int = 128, levels: int = 3) -> np.ndarray:
+    """The twice filter of all tasks. The driver gets ``bits`` / 8 bytes at most.
 
-    Each segment merges in two levels, so that no group holds more than ``fan_in`` rows or, on
-    the second level, one row of each of the first. The driver gets ``bits`` / 8 bytes at most.
+    Each segment merges level by level, so that no group holds more than ``fan_in`` rows with up
+    to ``fan_in ** levels`` tasks (two million).
     """
 
     def joined(pdf: pd.DataFrame) -> pd.DataFrame:
@@ -72,12 +73,14 @@ def merge(rows: DataFrame, bits: int, fan_in: int = 64) -> np.ndarray:
         for o, t in zip(pdf["once"], pdf["twice"], strict=True):
             o, t = np.frombuffer(zlib.decompress(o), np.uint8), np.frombuffer(zlib.decompress(t), np.uint8)
             once, twice = once | o, twice | t | (once & o)
-        return pd.DataFrame([(pdf["segment"].iloc[0], 0, zlib.compress(once.tobytes(), 1), zlib.compress(twice.tobytes(), 1))], columns=["segment", "task", "once", "twice"])
+        return pd.DataFrame([(pdf["segment"].iloc[0], pdf["task"].iloc[0] // fan_in, zlib.compress(once.tobytes(), 1), zlib.compress(twice.tobytes(), 1))], columns=["segment", "task", "once", "twice"])
 
-    level = rows.groupBy("segment", F.expr(f"task div {fan_in}").alias("part")).applyInPandas(joined, ROWS)
-    level = level.groupBy("segment").applyInPandas(joined, ROWS).select("segment", "twice")
+    level = rows
+    for _ in range(levels - 1):
+        level = level.groupBy("segment", F.expr(f"task div {fan_in}").alias("part")).applyInPandas(joined, ROWS)
+    level = level.groupBy("segment").applyInPandas(joined, ROWS)
     out, n = np.zeros(bits // 8, np.uint8), min(SEGMENT, bits // 8)
-    for row in level.toLocalIterator():
+    for row in level.select("segment", "twice").toLocalIterator():
         out[row.segment * n : (row.segment + 1) * n] = np.frombuffer(zlib.decompress(bytes(row.twice)), np.uint8)
     return out
 

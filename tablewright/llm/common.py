@@ -14,6 +14,8 @@ from pyspark.sql import functions as F
 
 #: The six ASCII blanks that separate words in every contract here.
 BLANKS = " \t\n\x0b\x0c\r"
+#: An odd number, for polynomials modulo 2^64.
+RATIO = np.uint64(0x9E3779B97F4A7C15)
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 #: The same two classes for Spark's (Java) regular expressions.
 JAVA_BLANKS = r"[\x20\x09-\x0D]+"
@@ -52,6 +54,16 @@ def texts_of(docs: DataFrame, *more: str) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), F.coalesce(F.col("text"), F.lit("")).alias("text"), *more)
 
 
+def without(docs: DataFrame, out: DataFrame, name: str) -> DataFrame:
+    """The rows of ``docs`` whose doc_id is not among those of ``out``; null doc_ids stay.
+
+    The list is stored, and joined under a name that no column of ``docs`` has.
+    """
+    own = f"doc_id_{uuid.uuid4().hex}"
+    listed = stored(out.select(F.col("doc_id").alias(own)).distinct(), name)
+    return docs.join(listed, F.col("doc_id").cast("long") == F.col(own), "left_anti")
+
+
 def ascii_lower(text: str) -> str:
     """A-Z lower-cased, every other character as it is."""
     return text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
@@ -87,10 +99,11 @@ def window_hashes(hashes: np.ndarray, width: int) -> np.ndarray:
     if n == 0:
         return hashes
     width = min(width, n)
-    total = np.zeros(n - width + 1, np.uint64)
-    for k in range(width):
-        total = mixed(total + hashes[k : n - width + 1 + k] + np.uint64(k + 1))
-    return total
+    total = hashes[: n - width + 1].copy()
+    for k in range(1, width):  # a polynomial of the well mixed hashes of words, modulo 2^64
+        total *= RATIO
+        total += hashes[k : n - width + 1 + k]
+    return mixed(total)
 
 
 def batch(columns: dict, schema: pa.Schema) -> pa.RecordBatch:

@@ -9,18 +9,19 @@ hopeless ones with a margin of five standard deviations, and the rest is confirm
 Nothing here pairs up a large group:
 
 * equal sets collapse into one class before banding;
-* small buckets pair all their members; in a large one every member meets only a few pivots, the
-  members that share most buckets with others;
-* only pairs that could still join two components are confirmed;
-* members of large buckets that are still apart from the bucket's main component meet members of it
-  and of other components drawn by hash, in up to three turns while these find links;
-* whatever is still apart in large buckets after that is joined on the rarest shingles of the full
-  sets: two sets of the wanted similarity share one of them, so no link is left to chance.
+* each member of a bucket first meets the bucket's pivot only, the member that shares most buckets
+  with others, so candidates follow the members;
+* where that leaves a bucket in several components, members of different components meet: all of
+  them in a small bucket; in large ones, documents are joined on the rarest shingles of their full
+  sets, of which two sets of the wanted similarity always share one. So no link that a bucket holds
+  is lost, and only links inside a component stay unexamined.
 
 Defined cases: a null or empty text, or one without words, has an empty set and stays alone; fewer
 words than a shingle has make one shingle; rows that share a doc_id are one document that has the
 links of each; a null doc_id stays alone with a null component and is kept; ties in doc_id can't
-change the component, which is a minimum; an empty table gives no rows; other columns are not read.
+change the component, which is a minimum; a very long text is one set, made whole in one task, in
+memory that follows its length; an empty table gives no rows; other columns are not read, and
+keep_one_each() returns them whatever their names.
 """
 
 from __future__ import annotations
@@ -34,14 +35,16 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import WordHashes, slices, stored, texts_of, window_hashes
+from tablewright.llm.common import WordHashes, slices, stored, texts_of, window_hashes, without
 from tablewright.llm.components import components
+from tablewright.runtime import ship_package
 
 BANDS, ROWS = 32, 4
 REGISTERS = BANDS * ROWS
 #: The sketch: base of the exponential spacing, rate of the hashes, highest register value.
 BASE, RATE, TOP = 1.001, 20.0, 65535
-SMALL, PIVOTS, ROUNDS = 24, 8, 3
+#: Members of a bucket that may meet one by one.
+SMALL = 24
 MARGIN = 0.2
 
 _random = np.random.default_rng(20240229)
@@ -55,7 +58,6 @@ def shingle_set(text: str, width: int = 5) -> np.ndarray:
     return np.unique(window_hashes(_words.of(text.encode("utf-8").lower().split()), width))
 
 
-
 def registers(sets: list[np.ndarray]) -> np.ndarray:
     """SetSketch registers, one row for each non-empty set: floor(1 - log_BASE(minimum)) of
     exponential hashes, truncated.
@@ -155,41 +157,29 @@ def in_order(pairs: DataFrame) -> DataFrame:
     return pairs.where(F.col("x") != F.col("y")).select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
-def bucket_pairs(members: DataFrame) -> DataFrame:
-    """Candidate pairs (a, b) of members (key, n, doc, score)."""
-    small = members.where(F.col("n") <= SMALL).groupBy("key").agg(F.sort_array(F.collect_list("doc")).alias("own"))
-    pairs = F.flatten(F.transform("own", lambda x, i: F.transform(F.slice("own", i + 2, F.size("own")), lambda y: F.struct(x.alias("x"), y.alias("y")))))
-    near = small.select(F.explode(pairs).alias("p")).select("p.x", "p.y")
-    large = members.where(F.col("n") > SMALL)
-    pivot = large.groupBy("key", F.pmod(F.xxhash64("doc"), F.lit(PIVOTS)).alias("salt")).agg(F.max_by("doc", F.struct("score", -F.col("doc"))).alias("pivot"))
-    pivots = stored(pivot.groupBy("key").agg(F.collect_set("pivot").alias("pivots")), "near-pivots")
-    # buckets of one group share their pivots: each document meets each of them once
-    met = large.select("key", "doc").join(pivots, "key").groupBy("doc").agg(F.array_distinct(F.flatten(F.collect_list("pivots"))).alias("pivots"))
-    star = met.select(F.col("doc").alias("x"), F.explode("pivots").alias("y"))
-    return in_order(near.union(star))
+def pivot_pairs(members: DataFrame) -> DataFrame:
+    """Candidate pairs (a, b): each of the members (key, n, doc, score) with its bucket's pivot."""
+    pivots = members.groupBy("key").agg(F.max_by("doc", F.struct("score", -F.col("doc"))).alias("y"))
+    return in_order(members.join(stored(pivots, "near-pivots"), "key").select(F.col("doc").alias("x"), "y"))
 
 
-def still_apart(large: DataFrame, turn: int) -> DataFrame:
-    """Candidate pairs (a, b) of members (key, doc, c) of large buckets that hold several components c.
+def mixed_members(members: DataFrame) -> DataFrame:
+    """The members (key, n, doc, c) of buckets that hold several components c."""
+    mixed = members.groupBy("key").agg(F.min("c").alias("least"), F.max("c").alias("most")).where("least < most").select("key")
+    return members.join(stored(mixed, "near-mixed"), "key")
 
-    Members outside a bucket's main component meet members of it and of other components, drawn
-    anew by hash in every turn: twelve at most, so the rows grow with the members.
-    """
-    large = stored(large, "near-large")
-    sizes = large.groupBy("key", "c").agg(F.count("*").alias("size"))
-    main = sizes.groupBy("key").agg(F.max_by("c", F.struct("size", "c")).alias("main"), F.count("*").alias("several")).where("several > 1")
-    mixed = stored(large.join(stored(main.select("key", "main"), "near-mixed"), "key"), "near-mixed-members")
-    inside = F.col("c") == F.col("main")
-    salt = F.when(inside, F.pmod(F.xxhash64("doc", F.lit(turn)), F.lit(PIVOTS))).otherwise(PIVOTS + F.pmod(F.xxhash64("c", F.lit(turn)), F.lit(PIVOTS // 2)))
-    drawn = mixed.groupBy("key", salt.alias("salt")).agg(F.max_by(F.struct("doc", "c"), F.xxhash64("doc", F.lit(turn))).alias("one"))
-    drawn = stored(drawn.groupBy("key").agg(F.collect_list("one").alias("drawn")), "near-drawn")
-    met = mixed.where(~inside).join(drawn, "key").select("doc", "c", F.explode("drawn").alias("one"))
-    return in_order(met.where(F.col("c") != F.col("one.c")).select(F.col("doc").alias("x"), F.col("one.doc").alias("y")))
+
+def small_pairs(mixed: DataFrame) -> DataFrame:
+    """All pairs (a, b) of different components in the buckets of ``SMALL`` members at most."""
+    small = mixed.where(F.col("n") <= SMALL).groupBy("key").agg(F.sort_array(F.collect_list(F.struct("doc", "c"))).alias("own"))
+    later = F.filter(F.slice("own", F.col("i") + 2, SMALL), lambda y: y["c"] != F.col("one.c"))
+    pairs = small.select("own", F.posexplode("own").alias("i", "one")).select("one", F.explode(later).alias("other"))
+    return in_order(pairs.select(F.col("one.doc").alias("x"), F.col("other.doc").alias("y")))
 
 
 def rarest_pairs(large: DataFrame, docs: DataFrame, percent: int, width: int) -> DataFrame:
     """All pairs (a, b) of different components that can reach ``percent``, among the members
-    (key, doc, c) of large buckets that hold several components.
+    (key, n, doc, c) of large buckets that hold several components.
 
     Sets are put in one order, rarest shingles first. A smaller set that reaches the threshold with
     a larger one shares a shingle among its first n - 2p / (100 + p) * n + 1, which is among the
@@ -197,9 +187,7 @@ def rarest_pairs(large: DataFrame, docs: DataFrame, percent: int, width: int) ->
     sides. Members of a shingle's main component do not meet each other; a frequent shingle is
     dealt to several tasks.
     """
-    large = stored(large, "near-large")
-    mixed = large.groupBy("key").agg(F.min("c").alias("least"), F.max("c").alias("most")).where("least < most").select("key")
-    open_docs = stored(large.join(stored(mixed, "near-mixed"), "key", "left_semi").select("doc", "c").distinct(), "near-open")
+    open_docs = stored(large.where(F.col("n") > SMALL).select("doc", "c").distinct(), "near-open")
 
     def shingled(records):
         for record in (part for r in records for part in slices(r)):
@@ -240,55 +228,55 @@ def labelled(rows: DataFrame, label: DataFrame, column: str, into: str) -> DataF
 
 
 def apart(pairs: DataFrame, label: DataFrame) -> DataFrame:
-    return labelled(labelled(pairs, label, "a", "ca"), label, "b", "cb").where(F.col("ca") != F.col("cb")).select(*pairs.columns)
+    """``pairs`` of different components, with these as ca and cb."""
+    return labelled(labelled(pairs, label, "a", "ca"), label, "b", "cb").where(F.col("ca") != F.col("cb"))
 
 
-def linked_up(pairs: DataFrame, links: DataFrame | None, docs: DataFrame, percent: int, width: int) -> DataFrame:
-    """``links`` with those of ``pairs`` (a, b, estimate) that join components: first each document's
-    most promising pair, then whatever could still join two components."""
+def best_of_each(pairs: DataFrame) -> DataFrame:
+    """The most promising pair of each end of the pairs (a, b, estimate)."""
     ends = pairs.select(F.col("a").alias("x"), F.col("b").alias("y"), "estimate").union(pairs.select("b", "a", "estimate"))
-    best = ends.groupBy("x").agg(F.max_by("y", F.struct("estimate", -F.col("y"))).alias("y"))
-    more = stored(confirmed(in_order(best.select("x", "y")), docs, percent, width), "near-links")
-    links = more if links is None else links.union(more)
-    rest = stored(apart(pairs, components(links)), "near-apart")
-    return links.union(stored(confirmed(rest, docs, percent, width), "near-links"))
+    return in_order(ends.groupBy("x").agg(F.max_by("y", F.struct("estimate", -F.col("y"))).alias("y")).select("x", "y"))
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75, width: int = 5) -> DataFrame:
     """doc_id, n_shingles, component_id (smallest doc_id reachable over links), kept (doc_id is it)."""
+    ship_package(docs.sparkSession)
     sketch = stored(sketches(docs, width), "near-sketches")
-    classes = stored(sketch.where("signature is not null and doc_id is not null").groupBy("signature").agg(F.min("doc_id").alias("rep")), "near-classes")
-    same = sketch.select("doc_id", "signature").join(classes, "signature").where(F.col("doc_id") != F.col("rep")).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
-    reps = stored(sketch.where("signature is not null").join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").select("doc_id", "n_shingles", "registers", "bands"), "near-reps")
+    known = sketch.where("signature is not null and doc_id is not null")
+    classes = stored(known.groupBy("signature").agg(F.min("doc_id").alias("rep")), "near-classes")
+    same = known.select("doc_id", "signature").join(classes, "signature").where(F.col("doc_id") != F.col("rep")).select(F.col("doc_id").alias("a"), F.col("rep").alias("b"))
+    reps = stored(known.join(classes.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi").select("doc_id", "n_shingles", "registers", "bands"), "near-reps")
 
     rows = reps.select(F.col("doc_id").alias("doc"), F.explode("bands").alias("key")).distinct()
-    buckets = stored(rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1"), "near-buckets")
-    members = stored(rows.join(buckets, "key"), "near-members")
-    score = members.groupBy("doc").agg(F.sum("n").alias("score"))
-    members = stored(members.join(stored(score, "near-scores"), "doc").select("key", "n", "doc", "score"), "near-scored")
-    pairs = stored(hopeful(bucket_pairs(members), reps, percent / 100), "near-pairs")
-    links = linked_up(pairs, None, docs, percent, width)
+    buckets = rows.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    members = stored(rows.join(stored(buckets, "near-buckets"), "key"), "near-members")
+    score = stored(members.groupBy("doc").agg(F.sum("n").alias("score")), "near-scores")
+    pairs = hopeful(pivot_pairs(members.join(score, "doc")), reps, percent / 100)
+    links = stored(confirmed(pairs, docs, percent, width), "near-links")
     label = components(links)
 
-    # large buckets that still hold several components: draws while they find links, then all pairs
-    large = members.where(F.col("n") > SMALL).select("key", "doc")
-    for turn in range(ROUNDS):
-        rest = still_apart(labelled(large, label, "doc", "c"), turn)
-        rest = stored(apart(hopeful(rest, reps, percent / 100), label), "near-rest")
-        more = stored(confirmed(rest, docs, percent, width), "near-links")
-        if more.isEmpty():
-            break
-        links = links.union(more)
-        label = components(links)
-    rest = rarest_pairs(labelled(large, label, "doc", "c"), docs, percent, width)
-    links = linked_up(stored(hopeful(rest, reps, percent / 100), "near-rest"), links, docs, percent, width)
-
-    label = stored(components(links.union(same)), "near-components")
+    mixed = stored(mixed_members(labelled(members, label, "doc", "c")), "near-mixed-members")
+    rest = small_pairs(mixed).union(rarest_pairs(mixed, docs, percent, width)).distinct()
+    rest = stored(hopeful(rest, reps, percent / 100), "near-rest")
+    for pick in (best_of_each, lambda pairs: pairs):  # once components have grown, fewer pairs are left
+        more = stored(confirmed(pick(rest), docs, percent, width), "near-links")
+        label = joined_up(label, more)
+        rest = stored(apart(rest, label).select("a", "b", "estimate"), "near-apart")
+
+    label = joined_up(label, same)
     out = labelled(sketch.select("doc_id", "n_shingles"), label, "doc_id", "component_id")
     return out.select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
 
 
+def joined_up(label: DataFrame, links: DataFrame) -> DataFrame:
+    """The components ``label`` after more links (a, b): only components and new links are looked at."""
+    over = components(apart(links, label).select(F.col("ca").alias("a"), F.col("cb").alias("b")))
+    ends = links.select(F.col("a").alias("node")).union(links.select("b")).distinct()
+    nodes = label.select("node").union(ends).distinct()
+    now = labelled(labelled(nodes, label, "node", "c"), over, "c", "component")
+    return stored(now.select("node", "component"), "near-components")
+
+
 def keep_one_each(docs: DataFrame, **how) -> DataFrame:
     """The rows of ``docs`` whose document is the first of its component; null doc_ids stay."""
-    out = near_duplicates(docs, **how).where(~F.col("kept")).select(F.col("doc_id").alias("_out")).distinct()
-    return docs.join(stored(out, "near-dropped"), F.col("doc_id").cast("long") == F.col("_out"), "left_anti")
+    return without(docs, near_duplicates(docs, **how).where(~F.col("kept")), "near-dropped")

@@ -1,17 +1,21 @@
 """Benchmark decontamination by template canonicalisation.
 
-Words become templates: numbers, units and names turn into typed placeholders, other words lose
-case and outer punctuation. Windows of eight template words are hashed on both sides and joined.
-A Bloom filter of the benchmark's windows, of a bounded size, lets only suspects leave the map
-side. For each document and item, the values that stand in the placeholders are lined up: a
-re-parameterised question replaces each value of the item by one value throughout, so windows
-whose slots contradict the majority are not counted. A document is contaminated where the counted
-windows cover enough of an item.
+Words become templates: numbers, units and names (words with a capital, wherever they stand) turn
+into typed placeholders, other words lose case and outer punctuation. Windows of eight template
+words are hashed on both sides and joined. A Bloom filter of the benchmark's windows, of a bounded
+size, lets only suspects leave the map side; a document meets an item by one of the windows that
+fewest items hold, so windows that many items share make no pairs. For each document and item,
+the values that stand in the placeholders are lined up: a re-parameterised question replaces each
+value of the item by one value throughout, so windows whose slots contradict the majority are not
+counted. Slots are settled in the whole document and in each occurrence, as far as hits of about
+one shift tell occurrences apart. A document is contaminated where the counted windows cover
+enough of an item.
 
 Defined cases: a null or empty text on either side has no windows; an item shorter than a window
-is one window of its length; rows that share a doc_id or item_id count together; null ids match
-nothing; ties between slot values go to the smaller text; an empty benchmark or table finds
-nothing; other columns are not read.
+is one window of its length; a very long text is looked at whole, in one task, in memory that
+follows its length; rows that share a doc_id or item_id count together; null ids match nothing;
+ties between slot values go to the smaller text; an empty benchmark or table finds nothing; other
+columns are not read, and keep_clean() returns them whatever their names.
 """
 
 from __future__ import annotations
@@ -23,11 +27,12 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.llm import bloom
-from tablewright.llm.common import WORD, mixed, slices, stored, texts_of, window_hashes
+from tablewright.llm.common import mixed, slices, stored, texts_of, window_hashes, without
+from tablewright.runtime import ship_package
 
 WINDOW = 8
 #: Common units of measure and money, as written after a number.
@@ -37,66 +42,82 @@ _NUMBER = re.compile(r"[-+$€£]?\d[\d.,:/]*(?:st|nd|rd|th)?(%|°?[a-zA-Z/%°]{
 
 
 class Templates(dict):
-    """(word, whether it begins a sentence) -> (template hash, slot value or None), bounded."""
+    """word (as bytes) -> its number, by which ``hashes`` has template hashes and ``slots`` slot values.
 
-    def __missing__(self, key: tuple[str, bool]) -> tuple[int, str | None]:
-        if len(self) > 300_000:
-            self.clear()
-        word, first = key
-        bare = _OUTER.sub("", word)
+    ``forget`` empties it between texts once it holds more than ``limit`` words.
+    """
+
+    def __init__(self, limit: int = 300_000):
+        super().__init__()
+        self.limit, self.hashes, self.slots = limit, np.zeros(1 << 16, np.uint64), []
+
+    def __missing__(self, word: bytes) -> int:
+        bare = _OUTER.sub("", word.decode("utf-8", "surrogatepass"))
         lower, slot = bare.lower(), None
         if _NUMBER.fullmatch(bare):
-            template, slot = "<number>", lower
+            template, slot = b"<number>", lower
         elif lower in UNITS:
-            template, slot = "<unit>", lower
-        elif not first and bare[:1].isupper() and bare[1:].islower():
-            template, slot = "<name>", lower
+            template, slot = b"<unit>", lower
+        elif bare[:1].isupper() and (len(bare) == 1 or not bare.isupper()):
+            template, slot = b"<name>", lower
         else:
-            template = lower or word
-        value = self[key] = (xxhash.xxh3_64_intdigest(template), slot)
-        return value
+            template = lower.encode("utf-8", "surrogatepass") or word
+        code = self[word] = len(self.slots)
+        if code == len(self.hashes):
+            self.hashes = np.concatenate([self.hashes, np.zeros_like(self.hashes)])
+        self.hashes[code] = xxhash.xxh3_64_intdigest(template)
+        self.slots.append(slot)
+        return code
+
+    def forget(self) -> None:
+        if len(self.slots) > self.limit:
+            self.clear()
+            self.slots.clear()
 
 
 _templates = Templates()
 
 
-def templates(text: str) -> tuple[np.ndarray, list[str | None]]:
-    """The template hashes of a text's words and the slot values among them."""
-    hashes, slots = [], []
-    for line in text.split("\n"):
-        first = True
-        for word in WORD.findall(line):
-            value, slot = _templates[word, first]
-            hashes.append(value)
-            slots.append(slot)
-            first = word[-1] in ".!?:;\"”)]|"
-    return np.array(hashes, np.uint64), slots
+def coded(text: str) -> np.ndarray:
+    """The numbers of a text's words in ``_templates``, valid until it forgets."""
+    words = text.encode("utf-8", "surrogatepass").split()
+    return np.fromiter(map(_templates.__getitem__, words), np.int64, len(words))
 
 
-def windows_of(text: str, width: int, shortest: int = 1) -> tuple[np.ndarray, list[str]]:
-    """Window hashes and the slot values of each window as JSON text."""
-    hashes, slots = templates(text)
-    if len(hashes) < shortest:
-        return np.zeros(0, np.uint64), []
-    width = min(width, len(hashes))
-    return mixed(window_hashes(hashes, width) + np.uint64(width)), slots
+def slots_of(codes: np.ndarray) -> str:
+    """The slot values of words as JSON text, null where a word is not in a slot."""
+    return json.dumps([_templates.slots[c] for c in codes])
 
 
-def benchmark_windows(benchmark: DataFrame, width: int = WINDOW) -> DataFrame:
-    """item_id, n_windows, hash, position and slots of every window of the items."""
+def hashed(codes: np.ndarray, width: int) -> np.ndarray:
+    """The hashes of all windows of ``width`` template words."""
+    return mixed(window_hashes(_templates.hashes[codes], width) + np.uint64(width))
+
+
+def benchmark_windows(benchmark: DataFrame, width: int = WINDOW, share: float = 0.5) -> DataFrame:
+    """item_id, n_windows, hash, position and slots of every window of the items, and lead.
+
+    Of an item's windows ``share`` must be found, so a match has at least one of its ``lead``
+    windows: those that fewest items hold, as many as may be missing and one more.
+    """
 
     def cut(records):
         for record in records:
             rows = []
             for item, text in zip(record.column("doc_id").to_pylist(), record.column("text").to_pylist(), strict=True):
-                hashes, slots = windows_of(text, width)
-                own = min(width, len(slots))
-                rows += [(item, len(hashes), int(h), i, json.dumps(slots[i : i + own])) for i, h in enumerate(hashes.astype(np.int64))]
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=["item_id", "n_windows", "hash", "at", "item_slots"])
+                _templates.forget()
+                codes = coded(text)
+                own = min(width, len(codes))
+                hashes = hashed(codes, own).astype(np.int64) if own else codes
+                rows += [(item, len(hashes), int(h), i, own, slots_of(codes[i : i + own])) for i, h in enumerate(hashes)]
+            types = (*[pa.int64()] * 5, pa.string())
+            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=["item_id", "n_windows", "hash", "at", "width", "item_slots"])
 
     items = texts_of(benchmark.select(F.col("item_id").alias("doc_id"), "text")).where("doc_id is not null")
-    return items.mapInArrow(cut, "item_id long, n_windows long, hash long, at long, item_slots string")
+    rows = stored(items.mapInArrow(cut, "item_id long, n_windows long, hash long, at long, width long, item_slots string"), "benchmark-windows")
+    held = rows.groupBy("hash").agg(F.count_distinct("item_id").alias("held"))
+    rarest = Window.partitionBy("item_id").orderBy("held", "hash", "at")  # a group is one item's text
+    return rows.join(held, "hash").withColumn("lead", F.row_number().over(rarest) <= F.col("n_windows") - F.ceil(F.col("n_windows") * share) + 1)
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, share: float = 0.5, max_filter_bits: int = 1 << 30) -> DataFrame:
@@ -105,42 +126,54 @@ def matches(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, share: f
     ``share`` of an item's windows must be found; ``max_filter_bits`` bounds the broadcast filter.
     """
     spark = docs.sparkSession
-    items = stored(benchmark_windows(benchmark, width), "benchmark-windows")
-    lengths = [row.n for row in items.where(F.col("at") == 0).groupBy(F.size(F.from_json("item_slots", "array<string>")).alias("n")).count().collect()]  # at most ``width`` rows
+    ship_package(spark)
+    items = stored(benchmark_windows(benchmark, width, share), "benchmark-ranked")
+    lengths = sorted(row.width for row in items.select("width").distinct().collect())  # at most ``width`` rows
     bits = bloom.bits_for(items.count(), 16, max_filter_bits)
 
     def seen(records):
         filters = bloom.Seen(bits)
         for record in records:
             filters.add(np.repeat(record.column("hash").to_numpy().astype(np.uint64), 2))  # seen twice: the filter that merge() gives
-        yield pa.RecordBatch.from_pandas(filters.rows(TaskContext.get().partitionId()), pa.schema([("segment", pa.int32()), ("task", pa.int32()), ("once", pa.binary()), ("twice", pa.binary())]), preserve_index=False)
+        yield filters.record(TaskContext.get().partitionId())
 
     known = spark.sparkContext.broadcast(bloom.merge(items.select("hash").mapInArrow(seen, bloom.ROWS), bits))
 
     def suspects(records):
         for record in (part for r in records for part in slices(r)):
             rows = []
-            for doc, text in zip(record.column("doc_id").to_pylist(), record.column("text").to_pylist(), strict=True):
-                hashes, slots = templates(text)
-                for own in lengths:
-                    if len(hashes) < own:
-                        continue
-                    found = mixed(window_hashes(hashes, own) + np.uint64(own))
-                    for i in np.flatnonzero(bloom.holds(known.value, found)):
-                        rows.append((doc, int(found[i].astype(np.int64)), int(i), json.dumps(slots[i : i + own])))
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=["doc_id", "hash", "pos", "doc_slots"])
-
-    suspect = texts_of(docs).where("doc_id is not null").mapInArrow(suspects, "doc_id long, hash long, pos long, doc_slots string")
-    pairs = stored(suspect.join(items, "hash"), "benchmark-hits")
-
-    # the value that most often stands for an item's value in a document is the one that counts
-    slots = pairs.select("doc_id", "item_id", "at", "pos", F.explode(F.arrays_zip(F.from_json("item_slots", "array<string>").alias("v"), F.from_json("doc_slots", "array<string>").alias("w"))).alias("s")).where("s.v is not null").select("doc_id", "item_id", "at", "pos", "s.v", "s.w")
-    votes = slots.groupBy("doc_id", "item_id", "v", "w").agg(F.count("*").alias("n"))
-    chosen = votes.groupBy("doc_id", "item_id", "v").agg(F.min_by("w", F.struct(-F.col("n"), "w")).alias("chosen"))
-    broken = slots.join(chosen, ["doc_id", "item_id", "v"]).where(F.col("w") != F.col("chosen")).select("doc_id", "item_id", "at", "pos").distinct()
-    counted = pairs.join(broken, ["doc_id", "item_id", "at", "pos"], "left_anti")
-    found = counted.groupBy("doc_id", "item_id", "n_windows").agg(F.count_distinct("at").alias("n_found"))
+            _templates.forget()
+            found = [coded(text) for text in record.column("text").to_pylist()]
+            codes = np.concatenate([np.zeros(0, np.int64), *found])
+            ends = np.cumsum([len(f) for f in found])
+            for own in lengths:
+                if len(codes) < own:
+                    continue
+                hashes = hashed(codes, own)
+                for i in np.flatnonzero(bloom.holds(known.value, hashes)).tolist():
+                    k = int(np.searchsorted(ends, i, "right"))
+                    if i + own <= ends[k]:  # else it goes over the end of a text
+                        rows.append((k, int(hashes[i].astype(np.int64)), i - int(ends[k] - len(found[k])), slots_of(codes[i : i + own])))
+            ids = record.column("doc_id").take(pa.array([r[0] for r in rows], pa.int64()))
+            yield pa.RecordBatch.from_arrays([ids, *(pa.array([r[i] for r in rows], t) for i, t in ((1, pa.int64()), (2, pa.int64()), (3, pa.string())))], names=["doc_id", "hash", "pos", "doc_slots"])
+
+    suspect = stored(texts_of(docs).where("doc_id is not null").mapInArrow(suspects, "doc_id long, hash long, pos long, doc_slots string"), "benchmark-suspects")
+    # pairs come from the items' rarest windows; windows that many items hold only count in them
+    leads = suspect.join(items.where("lead"), "hash").select("doc_id", "item_id").distinct()
+    pairs = stored(suspect.join(stored(leads, "benchmark-pairs"), "doc_id").join(items.drop("lead"), ["item_id", "hash"]), "benchmark-hits")
+
+    # slots are settled within the document and within the hits of about one shift (two grids, so
+    # that no occurrence is cut by both): the best of them counts
+    grids = F.array(F.struct(F.lit(0).alias("grid"), F.lit(0).cast("long").alias("cell")), *(F.struct(F.lit(g).alias("grid"), F.floor((F.col("pos") - F.col("at") + add) / 16).alias("cell")) for g, add in ((1, 0), (2, 8))))
+    pairs = pairs.withColumn("g", F.explode(grids)).select("*", "g.grid", "g.cell").drop("g")
+    place = ["doc_id", "item_id", "grid", "cell"]
+    # the value that most often stands for an item's value is the one that counts
+    slots = pairs.select(*place, "at", "pos", F.explode(F.arrays_zip(F.from_json("item_slots", "array<string>").alias("v"), F.from_json("doc_slots", "array<string>").alias("w"))).alias("s")).where("s.v is not null").select(*place, "at", "pos", "s.v", "s.w")
+    votes = slots.groupBy(*place, "v", "w").agg(F.count("*").alias("n"))
+    chosen = votes.groupBy(*place, "v").agg(F.min_by("w", F.struct(-F.col("n"), "w")).alias("chosen"))
+    broken = slots.join(chosen, [*place, "v"]).where(F.col("w") != F.col("chosen")).select(*place, "at", "pos").distinct()
+    counted = pairs.join(broken, [*place, "at", "pos"], "left_anti")
+    found = counted.groupBy(*place, "n_windows").agg(F.count_distinct("at").alias("n")).groupBy("doc_id", "item_id", "n_windows").agg(F.max("n").alias("n_found"))
     return found.where(F.col("n_found") >= share * F.col("n_windows"))
 
 
@@ -152,5 +185,4 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
 
 def keep_clean(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:
     """The rows of ``docs`` without contaminated documents; rows with a null doc_id stay."""
-    out = stored(contaminated(docs, benchmark, **how).select(F.col("doc_id").alias("_out")), "benchmark-leaks")
-    return docs.join(out, F.col("doc_id").cast("long") == F.col("_out"), "left_anti")
+    return without(docs, contaminated(docs, benchmark, **how), "benchmark-leaks")

@@ -6,8 +6,10 @@ exactly and choose the one that keeps them. Pass three drops lines.
 
 Defined cases: a null or empty text is one empty line; each row counts as a document, so two rows
 with one doc_id count twice, and what that doc_id loses both lose; a null doc_id never wins over
-another one; ties are impossible as the largest doc_id wins; an empty table gives no rows; columns
-other than doc_id and text pass through untouched.
+another one; ties are impossible as the largest doc_id wins; a very long text is split whole in one
+task, in memory that follows its length; an empty table gives no rows; columns other than doc_id and
+text pass through untouched, whatever their names, but columns n_lines and n_dropped of the caller's
+give way to the result's own.
 """
 
 from __future__ import annotations
@@ -23,6 +25,7 @@ from pyspark.sql import functions as F
 
 from tablewright.llm import bloom
 from tablewright.llm.common import BLANKS, batch, stored, texts_of
+from tablewright.runtime import ship_package
 
 SUSPECT = pa.schema([("doc_id", pa.int64()), ("key", pa.binary())])
 
@@ -44,6 +47,7 @@ def repeated_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, max_
     suspected and shuffled, and the result is the same.
     """
     spark, docs = docs.sparkSession, texts_of(docs)
+    ship_package(spark)
     size = docs.agg(F.sum(F.octet_length("text")).alias("n")).first().n or 0
     bits = bloom.bits_for(size // 64, most=max_filter_bits)
 
@@ -57,7 +61,7 @@ def repeated_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, max_
         for record in records:
             found = [xxhash.xxh3_64_intdigest(k) for t in record.column("text") for k in hashes(t.as_py())]
             filters.add(np.array(found, np.uint64))
-        yield pa.RecordBatch.from_pandas(filters.rows(TaskContext.get().partitionId()), pa.schema([("segment", pa.int32()), ("task", pa.int32()), ("once", pa.binary()), ("twice", pa.binary())]), preserve_index=False)
+        yield filters.record(TaskContext.get().partitionId())
 
     twice = spark.sparkContext.broadcast(bloom.merge(docs.select("text").mapInArrow(seen, bloom.ROWS), bits))
 
@@ -81,15 +85,18 @@ def repeated_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, max_
 
 def drop_repeated_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
     """``docs`` with the text that is left, and n_lines (before) and n_dropped."""
+    ship_package(docs.sparkSession)
     others = [c for c in docs.columns if c not in ("text", "n_lines", "n_dropped")]
-    lost = repeated_lines(docs, min_chars, min_docs).select(F.col("doc_id").alias("_lost_id"), F.col("keys").alias("_lost"))
-    joined = docs.select(*others, F.coalesce("text", F.lit("")).alias("text")).join(lost, F.col("doc_id").cast("long").eqNullSafe(F.col("_lost_id")), "left").drop("_lost_id")
-    schema = joined.drop("_lost").withColumns({"n_lines": F.lit(0).cast("long"), "n_dropped": F.lit(0).cast("long")}).schema
+    names = [f"c{i}" for i in range(len(others))]  # on the way, no name of the caller's can clash with ours
+    lost = repeated_lines(docs, min_chars, min_docs).select(F.col("doc_id").alias("lost_id"), F.col("keys").alias("lost"))
+    plain = docs.select(*(docs[f"`{c}`"].alias(n) for c, n in zip(others, names, strict=True)), F.coalesce("text", F.lit("")).alias("text"))
+    joined = plain.join(lost, F.col(names[others.index("doc_id")]).cast("long").eqNullSafe(F.col("lost_id")), "left").select(*names, "text", "lost")
+    schema = joined.drop("lost").withColumns({"n_lines": F.lit(0).cast("long"), "n_dropped": F.lit(0).cast("long")}).schema
 
     def kept(records):
         for record in records:
             texts, lines, dropped = [], [], []
-            for text, lost in zip(record.column("text").to_pylist(), record.column("_lost").to_pylist(), strict=True):
+            for text, lost in zip(record.column("text").to_pylist(), record.column("lost").to_pylist(), strict=True):
                 own = text.split("\n")
                 lines.append(len(own))
                 if lost:
@@ -97,7 +104,7 @@ def drop_repeated_lines(docs: DataFrame, min_chars: int = 20, min_docs: int = 3)
                     own = [line for line, key in zip(own, keys_of(text, min_chars), strict=True) if not key or digest(key) not in lost]
                 texts.append("\n".join(own))
                 dropped.append(lines[-1] - len(own))
-            columns = [record.column(c) for c in others] + [pa.array(texts, record.schema.field("text").type), pa.array(lines, pa.int64()), pa.array(dropped, pa.int64())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*others, "text", "n_lines", "n_dropped"])
+            columns = [record.column(n) for n in names] + [pa.array(texts, record.schema.field("text").type), pa.array(lines, pa.int64()), pa.array(dropped, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=[*names, "text", "n_lines", "n_dropped"])
 
-    return joined.select(*others, "text", "_lost").mapInArrow(kept, schema)
+    return joined.mapInArrow(kept, schema).toDF(*others, "text", "n_lines", "n_dropped")

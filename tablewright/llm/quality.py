@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tablewright.llm.common import JAVA_BLANKS, stored
+from tablewright.llm.common import JAVA_BLANKS, stored, without
 
 #: Chi-squared with six degrees of freedom: its median, and the cut-off that one regular document
 #: in about 25,000 exceeds.
@@ -160,5 +160,4 @@ def judged(docs: DataFrame, min_group: int = 60, steps: int = 2, cutoff: float =
 
 def keep_regular(docs: DataFrame, **how) -> DataFrame:
     """The rows of ``docs`` that judged() keeps; rows without a doc_id can't be named and stay."""
-    out = judged(docs, **how).where(~F.col("kept")).select(F.col("doc_id").alias("_out")).distinct()
-    return docs.join(stored(out, "quality-rejected"), F.col("doc_id").cast("long") == F.col("_out"), "left_anti")
+    return without(docs, judged(docs, **how).where(~F.col("kept")), "quality-rejected")

@@ -5,7 +5,7 @@ from collections import Counter, defaultdict
 import numpy as np
 from pyspark.sql import functions as F
 
-from tablewright.llm import bloom, line_dedup, near_dedup
+from tablewright.llm import bloom, decontaminate, line_dedup, near_dedup, quality
 from tablewright.llm.components import components
 from tests.llm.data import WORD, edited, frame, odd_documents, prose, words
 
@@ -105,22 +105,45 @@ def test_large_near_group(spark):
     assert got == brute_near(rows)
 
 
-def test_pairs_inside_a_large_family(spark, monkeypatch):
-    """Pairs among texts of one template: only its partner is similar enough to a text, and no
-    pivot is. Fewer pivots and draws stand for a larger family."""
-    for name, value in (("SMALL", 3), ("PIVOTS", 2), ("ROUNDS", 1)):
-        monkeypatch.setattr(near_dedup, name, value)
-    base = words(150, 31)
-    rows = []
-    for i in range(240):
-        r = random.Random(i // 2)
-        at = {10 * k + r.randrange(5, 10) for k in r.sample(range(14), 4)}
-        rows.append((i, " ".join(f"new{i}at{k}" if k in at else w for k, w in enumerate(base))))
+def family(n, base_words, slots, own, shared):
+    """``n`` texts of one template, in twin pairs: ``own`` replaced words each, ``shared`` of them with the twin."""
+    base, rows = words(base_words, 31), []
+    for i in range(n):
+        twin, single = random.Random(i // 2), random.Random(1000 + i)
+        both = {10 * k + 5: f"both{i // 2}at{k}" for k in twin.sample(range(slots), shared)}
+        alone = {10 * k + 5: f"new{i}at{k}" for k in single.sample([k for k in range(slots) if 10 * k + 5 not in both], own - shared)}
+        rows.append((i, " ".join((both | alone).get(k, w) for k, w in enumerate(base))))
+    return rows
+
+
+def test_pairs_inside_a_large_family(spark):
+    """Twin pairs above the threshold among texts that are all a little below it."""
+    rows = family(300, 400, 39, 9, 4)
     want = brute_near(rows)
-    assert sum(not kept for *_, kept in want) > 100
+    assert sum(not kept for *_, kept in want) > 100 and len({c for _, _, c, _ in want}) > 20
     assert near_of(near_dedup.near_duplicates(frame(spark, rows, extra=False))) == want
 
 
+def test_pairs_inside_large_buckets(spark, monkeypatch):
+    """All pairs come from the join on rare shingles where no bucket counts as small."""
+    monkeypatch.setattr(near_dedup, "SMALL", 1)
+    rows = family(120, 150, 14, 4, 2) + [(900 + i, prose(60, 900 + i)) for i in range(20)]
+    assert near_of(near_dedup.near_duplicates(frame(spark, rows, extra=False))) == brute_near(rows)
+
+
+def test_other_columns_with_any_name(spark):
+    """Columns that are named like this package's own ones, or with a dot, come back untouched."""
+    texts = odd_documents()
+    extra = ["_out", "_lost", "_lost_id", "a.b", "_node", "component", "n_lines", "key"]
+    docs = frame(spark, texts)
+    clash = docs.select("*", *(F.lit(i).alias(c) for i, c in enumerate(extra) if c not in docs.columns))
+    bench = spark.createDataFrame([(0, texts[13])], "item_id long, text string")
+    for kept in (near_dedup.keep_one_each(clash), line_dedup.drop_repeated_lines(clash), decontaminate.keep_clean(clash, bench), quality.keep_regular(clash)):
+        assert {r["a.b"] for r in kept.collect()} == {3}
+        assert set(clash.columns) <= set(kept.columns)
+    assert {r.n_lines for r in line_dedup.drop_repeated_lines(clash).where("doc_id = 12").collect()} == {9}  # the caller's own give way
+
+
 def test_near_empty(spark):
     assert near_dedup.near_duplicates(frame(spark, {}).limit(0)).count() == 0
     assert near_of(near_dedup.near_duplicates(frame(spark, {1: None, 2: None}))) == [(1, 0, 1, True), (2, 0, 2, True)]

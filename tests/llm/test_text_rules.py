@@ -1,4 +1,5 @@
 import hashlib
+import random
 import re
 from collections import Counter
 
@@ -129,11 +130,71 @@ def test_decontamination(spark):
 
 
 def test_templates():
-    same = lambda a, b: (decontaminate.templates(a)[0] == decontaminate.templates(b)[0]).all()
-    assert same("He paid Anna $12.50 for 3 kg", "He paid Bruno $7 for 12 lb")
+    of = lambda t: decontaminate.hashed(decontaminate.coded(t), 1)
+    same = lambda a, b: (of(a) == of(b)).all()
+    assert same("He paid Anna $12.50 for 3 kg", "He paid McDonald $7 for 12 lb")
     assert not same("He paid the bill", "He paid the rent")
 
 
+def test_names_that_begin_sentences(spark):
+    bench = spark.createDataFrame([(7, "Alice has 3 apples. Bob gives her 2 more. Alice eats 4.")], "item_id long, text string")
+    docs = {1: f"{prose(30, 1)}\nCarol has 5 apples. Dan gives her 6 more. Carol eats 9.\n{prose(30, 2)}", 2: "Carol has 5 apples. Dan gives her 6 more. Dan eats 9."}
+    got = {r.doc_id: r.n_found for r in decontaminate.contaminated(frame(spark, docs, extra=False), bench, share=1.0).collect()}
+    assert got == {1: 4}
+    two = {3: f"{docs[1]}\n{docs[1].replace('Carol', 'Eve').replace('5', '8')}"}  # each variant is consistent in itself
+    assert {r.doc_id: r.n_found for r in decontaminate.contaminated(frame(spark, two, extra=False), bench, share=1.0).collect()} == {3: 4}
+
+
+def brute_leaks(docs, items, width, share):
+    """{(doc, item): windows found}, by comparing every window of every document and item."""
+    def template(word):
+        bare = word.strip(".,!?")
+        if bare.isdigit():
+            return "0", bare
+        return ("N", bare.lower()) if bare[:1].isupper() else (bare.lower(), None)
+
+    out = {}
+    for i, item in items.items():
+        want = [template(w) for w in item.split()]
+        own = min(width, len(want))
+        n = len(want) - own + 1
+        for d, text in docs.items():
+            has = [template(w) for w in text.split()]
+            hits = [(a, p) for a in range(n) for p in range(len(has) - own + 1) if all(want[a + k][0] == has[p + k][0] for k in range(own))]
+            cells = {}
+            for a, p in hits:
+                for cell in ((0, 0), (1, (p - a) // 16), (2, (p - a + 8) // 16)):
+                    cells.setdefault(cell, []).append((a, p))
+            most = 0
+            for some in cells.values():
+                votes = {}
+                for a, p in some:
+                    for k in range(own):
+                        if want[a + k][1] is not None:
+                            v = votes.setdefault(want[a + k][1], {})
+                            v[has[p + k][1]] = v.get(has[p + k][1], 0) + 1
+                chosen = {v: min(w, key=lambda x: (-w[x], x)) for v, w in votes.items()}
+                most = max(most, len({a for a, p in some if all(want[a + k][1] is None or has[p + k][1] == chosen[want[a + k][1]] for k in range(own))}))
+            if most and most >= share * n:
+                out[d, i] = most
+    return out
+
+
+def test_leaks_against_brute_force(spark):
+    r = random.Random(3)
+    phrase = lambda n: [r.choice(["take", "some", "of", "the", "Anna", "Bob", "3", "40", "then"]) for _ in range(n)]
+    items = {i: " ".join(phrase(r.randint(3, 14))) for i in range(25)}
+    docs = {}
+    for d in range(60):
+        changed = {"Anna": r.choice(["Anna", "Eve"]), "3": r.choice("37"), "Bob": "Dan"}
+        text = [changed.get(w, w) if r.random() < 0.95 else "odd" for w in items[r.randrange(25)].split()]
+        docs[d] = " ".join(phrase(r.randint(0, 30)) + text + phrase(r.randint(0, 30)))
+    bench = spark.createDataFrame([*items.items()], "item_id long, text string")
+    for width, share in ((4, 0.5), (3, 0.8)):
+        got = {(x.doc_id, x.item_id): x.n_found for x in decontaminate.matches(frame(spark, docs, extra=False), bench, width, share).collect()}
+        assert got == brute_leaks(docs, items, width, share) and len(got) > 50
+
+
 def test_passage_held_twice(spark):
     passage = prose(90, 41)
     docs = {1: passage, 2: f"{passage}\n{prose(60, 42)}\n{edited(passage, 40, 1)}"}

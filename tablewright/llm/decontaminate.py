@@ -1,8 +1,9 @@
 """Benchmark decontamination by template canonicalisation.
 
 Words become templates: numbers, units and names (words with a capital, wherever they stand) turn
-into typed placeholders, other words lose case and outer punctuation. Windows of eight template
-words are hashed on both sides and joined. A Bloom filter of the benchmark's windows, of a bounded
+into typed placeholders, other words lose case and outer punctuation. Windows of eight template words
+are hashed on both sides and joined; windows with names are also hashed with the names as they are,
+so that a copy in other case is found. A Bloom filter of the benchmark's windows, of a bounded
 size, lets only suspects leave the map side; a document meets an item by one of the windows that
 fewest items hold, so windows that many items share make no pairs. For each document and item,
 the values that stand in the placeholders are lined up: a re-parameterised question replaces each
@@ -42,31 +43,33 @@ _NUMBER = re.compile(r"[-+$€£]?\d[\d.,:/]*(?:st|nd|rd|th)?(%|°?[a-zA-Z/%°]{
 
 
 class Templates(dict):
-    """word (as bytes) -> its number, by which ``hashes`` has template hashes and ``slots`` slot values.
+    """word (as bytes) -> its number, by which ``hashes`` has template hashes, ``plain`` those with names
+    as they are, and ``slots`` (placeholder, value) or None.
 
     ``forget`` empties it between texts once it holds more than ``limit`` words.
     """
 
     def __init__(self, limit: int = 300_000):
         super().__init__()
-        self.limit, self.hashes, self.slots = limit, np.zeros(1 << 16, np.uint64), []
+        self.limit, self.slots = limit, []
+        self.hashes, self.plain = np.zeros((2, 1 << 16), np.uint64)
 
     def __missing__(self, word: bytes) -> int:
         bare = _OUTER.sub("", word.decode("utf-8", "surrogatepass"))
-        lower, slot = bare.lower(), None
+        lower, kind = bare.lower(), None
         if _NUMBER.fullmatch(bare):
-            template, slot = b"<number>", lower
+            kind = "<number>"
         elif lower in UNITS:
-            template, slot = b"<unit>", lower
+            kind = "<unit>"
         elif bare[:1].isupper() and (len(bare) == 1 or not bare.isupper()):
-            template, slot = b"<name>", lower
-        else:
-            template = lower.encode("utf-8", "surrogatepass") or word
+            kind = "<name>"
+        as_is = lower.encode("utf-8", "surrogatepass") or word
         code = self[word] = len(self.slots)
         if code == len(self.hashes):
-            self.hashes = np.concatenate([self.hashes, np.zeros_like(self.hashes)])
-        self.hashes[code] = xxhash.xxh3_64_intdigest(template)
-        self.slots.append(slot)
+            self.hashes, self.plain = np.concatenate([(self.hashes, self.plain), np.zeros((2, code), np.uint64)], axis=1)
+        self.hashes[code] = xxhash.xxh3_64_intdigest(kind or as_is)
+        self.plain[code] = xxhash.xxh3_64_intdigest(as_is if kind in (None, "<name>") else kind)
+        self.slots.append((kind, lower) if kind else None)
         return code
 
     def forget(self) -> None:
@@ -84,14 +87,15 @@ def coded(text: str) -> np.ndarray:
     return np.fromiter(map(_templates.__getitem__, words), np.int64, len(words))
 
 
-def slots_of(codes: np.ndarray) -> str:
+def slots_of(codes: np.ndarray, names: bool = True) -> str:
     """The slot values of words as JSON text, null where a word is not in a slot."""
-    return json.dumps([_templates.slots[c] for c in codes])
+    found = (_templates.slots[c] for c in codes)
+    return json.dumps([f[1] if f and (names or f[0] != "<name>") else None for f in found])
 
 
-def hashed(codes: np.ndarray, width: int) -> np.ndarray:
-    """The hashes of all windows of ``width`` template words."""
-    return mixed(window_hashes(_templates.hashes[codes], width) + np.uint64(width))
+def hashed(codes: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The hashes of all windows of ``width`` words: with names as placeholders, and as they are."""
+    return tuple(mixed(window_hashes(h[codes], width) + np.uint64(width)) for h in (_templates.hashes, _templates.plain))
 
 
 def benchmark_windows(benchmark: DataFrame, width: int = WINDOW, share: float = 0.5) -> DataFrame:
@@ -108,16 +112,20 @@ def benchmark_windows(benchmark: DataFrame, width: int = WINDOW, share: float =
                 _templates.forget()
                 codes = coded(text)
                 own = min(width, len(codes))
-                hashes = hashed(codes, own).astype(np.int64) if own else codes
-                rows += [(item, len(hashes), int(h), i, own, slots_of(codes[i : i + own])) for i, h in enumerate(hashes)]
+                typed, plain = hashed(codes, own) if own else (codes, codes)
+                for i in range(len(typed)):
+                    for names, h in {False: plain[i], typed[i] != plain[i]: typed[i]}.items():
+                        rows.append((item, len(typed), int(h.astype(np.int64)), i, own, slots_of(codes[i : i + own], bool(names))))
             types = (*[pa.int64()] * 5, pa.string())
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in rows], t) for i, t in enumerate(types)], names=["item_id", "n_windows", "hash", "at", "width", "item_slots"])
 
     items = texts_of(benchmark.select(F.col("item_id").alias("doc_id"), "text")).where("doc_id is not null")
     rows = stored(items.mapInArrow(cut, "item_id long, n_windows long, hash long, at long, width long, item_slots string"), "benchmark-windows")
     held = rows.groupBy("hash").agg(F.count_distinct("item_id").alias("held"))
-    rarest = Window.partitionBy("item_id").orderBy("held", "hash", "at")  # a group is one item's text
-    return rows.join(held, "hash").withColumn("lead", F.row_number().over(rarest) <= F.col("n_windows") - F.ceil(F.col("n_windows") * share) + 1)
+    most = F.max("held").over(Window.partitionBy("item_id", "at"))
+    rarest = Window.partitionBy("item_id").orderBy("most", "at")  # a group is one item's text
+    ranked = rows.join(held, "hash").withColumn("most", most).withColumn("rank", F.dense_rank().over(rarest))
+    return ranked.withColumn("lead", F.col("rank") <= F.col("n_windows") - F.ceil(F.col("n_windows") * share) + 1).drop("held", "most", "rank")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, share: float = 0.5, max_filter_bits: int = 1 << 30) -> DataFrame:
@@ -149,11 +157,12 @@ def matches(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, share: f
             for own in lengths:
                 if len(codes) < own:
                     continue
-                hashes = hashed(codes, own)
-                for i in np.flatnonzero(bloom.holds(known.value, hashes)).tolist():
-                    k = int(np.searchsorted(ends, i, "right"))
-                    if i + own <= ends[k]:  # else it goes over the end of a text
-                        rows.append((k, int(hashes[i].astype(np.int64)), i - int(ends[k] - len(found[k])), slots_of(codes[i : i + own])))
+                typed, plain = hashed(codes, own)
+                for names, hashes, some in ((True, typed, np.flatnonzero(typed != plain)), (False, plain, np.arange(len(plain)))):
+                    for i in some[bloom.holds(known.value, hashes[some])].tolist():
+                        k = int(np.searchsorted(ends, i, "right"))
+                        if i + own <= ends[k]:  # else it goes over the end of a text
+                            rows.append((k, int(hashes[i].astype(np.int64)), i - int(ends[k] - len(found[k])), slots_of(codes[i : i + own], names)))
             ids = record.column("doc_id").take(pa.array([r[0] for r in rows], pa.int64()))
             yield pa.RecordBatch.from_arrays([ids, *(pa.array([r[i] for r in rows], t) for i, t in ((1, pa.int64()), (2, pa.int64()), (3, pa.string())))], names=["doc_id", "hash", "pos", "doc_slots"])
 
@@ -167,12 +176,13 @@ def matches(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, share: f
     grids = F.array(F.struct(F.lit(0).alias("grid"), F.lit(0).cast("long").alias("cell")), *(F.struct(F.lit(g).alias("grid"), F.floor((F.col("pos") - F.col("at") + add) / 16).alias("cell")) for g, add in ((1, 0), (2, 8))))
     pairs = pairs.withColumn("g", F.explode(grids)).select("*", "g.grid", "g.cell").drop("g")
     place = ["doc_id", "item_id", "grid", "cell"]
+    hit = [*place, "at", "pos", "hash"]
     # the value that most often stands for an item's value is the one that counts
-    slots = pairs.select(*place, "at", "pos", F.explode(F.arrays_zip(F.from_json("item_slots", "array<string>").alias("v"), F.from_json("doc_slots", "array<string>").alias("w"))).alias("s")).where("s.v is not null").select(*place, "at", "pos", "s.v", "s.w")
+    slots = pairs.select(*hit, F.explode(F.arrays_zip(F.from_json("item_slots", "array<string>").alias("v"), F.from_json("doc_slots", "array<string>").alias("w"))).alias("s")).where("s.v is not null").select(*hit, "s.v", "s.w")
     votes = slots.groupBy(*place, "v", "w").agg(F.count("*").alias("n"))
     chosen = votes.groupBy(*place, "v").agg(F.min_by("w", F.struct(-F.col("n"), "w")).alias("chosen"))
-    broken = slots.join(chosen, [*place, "v"]).where(F.col("w") != F.col("chosen")).select(*place, "at", "pos").distinct()
-    counted = pairs.join(broken, [*place, "at", "pos"], "left_anti")
+    broken = slots.join(chosen, [*place, "v"]).where(F.col("w") != F.col("chosen")).select(*hit).distinct()
+    counted = pairs.join(broken, hit, "left_anti")
     found = counted.groupBy(*place, "n_windows").agg(F.count_distinct("at").alias("n")).groupBy("doc_id", "item_id", "n_windows").agg(F.max("n").alias("n_found"))
     return found.where(F.col("n_found") >= share * F.col("n_windows"))
 

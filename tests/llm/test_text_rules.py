@@ -116,11 +116,11 @@ def test_decontamination(spark):
     docs = {
         0: None, 1: "", 2: f"{prose(60, 1)}\n{BENCH[0]}\n{prose(40, 2)}",
         3: prose(30, 3) + "\n" + BENCH[0].replace("Paris", "Rome").replace("Lyon", "Bari").replace("120", "75").replace("9", "7"),
-        4: BENCH[1].replace("40", "55").upper(), 5: BENCH[1].replace("40", "55", 1).replace("3", "8"), 6: prose(100, 4), 7: "a short question about tides here", 8: " ".join(BENCH[5].split()[:12]),
+        4: BENCH[1].replace("40", "55").upper(), 10: BENCH[0].lower(), 5: BENCH[1].replace("40", "55", 1).replace("3", "8"), 6: prose(100, 4), 7: "a short question about tides here", 8: " ".join(BENCH[5].split()[:12]),
         9: prose(3000, 6) + "\n" + BENCH[5],
     }
     got = {r.doc_id: r.item_ids for r in decontaminate.contaminated(frame(spark, docs), bench).collect()}
-    assert got == {2: [0], 3: [0], 4: [1], 5: [1], 7: [4], 9: [5]}
+    assert got == {2: [0], 3: [0], 4: [1], 5: [1], 7: [4], 9: [5], 10: [0]}
     n = {(r.doc_id, r.item_id): (r.n_found, r.n_windows) for r in decontaminate.matches(frame(spark, docs), bench, share=0.0).collect()}
     assert n[4, 1][0] == n[4, 1][1]  # one value for one value
     assert n[5, 1][0] < n[5, 1][1]  # 40 became 55 once and stayed once
@@ -130,7 +130,7 @@ def test_decontamination(spark):
 
 
 def test_templates():
-    of = lambda t: decontaminate.hashed(decontaminate.coded(t), 1)
+    of = lambda t: decontaminate.hashed(decontaminate.coded(t), 1)[0]
     same = lambda a, b: (of(a) == of(b)).all()
     assert same("He paid Anna $12.50 for 3 kg", "He paid McDonald $7 for 12 lb")
     assert not same("He paid the bill", "He paid the rent")
@@ -140,41 +140,43 @@ def test_names_that_begin_sentences(spark):
     bench = spark.createDataFrame([(7, "Alice has 3 apples. Bob gives her 2 more. Alice eats 4.")], "item_id long, text string")
     docs = {1: f"{prose(30, 1)}\nCarol has 5 apples. Dan gives her 6 more. Carol eats 9.\n{prose(30, 2)}", 2: "Carol has 5 apples. Dan gives her 6 more. Dan eats 9."}
     got = {r.doc_id: r.n_found for r in decontaminate.contaminated(frame(spark, docs, extra=False), bench, share=1.0).collect()}
-    assert got == {1: 4}
+    assert got == {1: 5}
     two = {3: f"{docs[1]}\n{docs[1].replace('Carol', 'Eve').replace('5', '8')}"}  # each variant is consistent in itself
-    assert {r.doc_id: r.n_found for r in decontaminate.contaminated(frame(spark, two, extra=False), bench, share=1.0).collect()} == {3: 4}
+    assert {r.doc_id: r.n_found for r in decontaminate.contaminated(frame(spark, two, extra=False), bench, share=1.0).collect()} == {3: 5}
 
 
 def brute_leaks(docs, items, width, share):
     """{(doc, item): windows found}, by comparing every window of every document and item."""
-    def template(word):
+    def template(word, names):
         bare = word.strip(".,!?")
         if bare.isdigit():
             return "0", bare
-        return ("N", bare.lower()) if bare[:1].isupper() else (bare.lower(), None)
+        return ("N", bare.lower()) if names and bare[:1].isupper() else (bare.lower(), None)
 
     out = {}
     for i, item in items.items():
-        want = [template(w) for w in item.split()]
-        own = min(width, len(want))
-        n = len(want) - own + 1
+        n_words = len(item.split())
+        own = min(width, n_words)
+        n = n_words - own + 1
         for d, text in docs.items():
-            has = [template(w) for w in text.split()]
-            hits = [(a, p) for a in range(n) for p in range(len(has) - own + 1) if all(want[a + k][0] == has[p + k][0] for k in range(own))]
             cells = {}
-            for a, p in hits:
-                for cell in ((0, 0), (1, (p - a) // 16), (2, (p - a + 8) // 16)):
-                    cells.setdefault(cell, []).append((a, p))
+            for names in (False, True):
+                want, has = ([template(w, names) for w in t.split()] for t in (item, text))
+                for a in range(n):
+                    for p in range(len(has) - own + 1):
+                        if all(want[a + k][0] == has[p + k][0] for k in range(own)) and (not names or any(want[a + k][0] == "N" for k in range(own))):
+                            slots = [(want[a + k][1], has[p + k][1]) for k in range(own) if want[a + k][1] is not None]
+                            for cell in ((0, 0), (1, (p - a) // 16), (2, (p - a + 8) // 16)):
+                                cells.setdefault(cell, []).append((a, slots))
             most = 0
             for some in cells.values():
                 votes = {}
-                for a, p in some:
-                    for k in range(own):
-                        if want[a + k][1] is not None:
-                            v = votes.setdefault(want[a + k][1], {})
-                            v[has[p + k][1]] = v.get(has[p + k][1], 0) + 1
+                for _, slots in some:
+                    for v, w in slots:
+                        own_votes = votes.setdefault(v, {})
+                        own_votes[w] = own_votes.get(w, 0) + 1
                 chosen = {v: min(w, key=lambda x: (-w[x], x)) for v, w in votes.items()}
-                most = max(most, len({a for a, p in some if all(want[a + k][1] is None or has[p + k][1] == chosen[want[a + k][1]] for k in range(own))}))
+                most = max(most, len({a for a, slots in some if all(w == chosen[v] for v, w in slots)}))
             if most and most >= share * n:
                 out[d, i] = most
     return out

@@ -218,9 +218,14 @@ def test_suspect_runs():
     held, text = prose(80, 110), f"{prose(33, 111)} {prose(80, 110)} {prose(20, 112)}"
     both = bloom.Seen(1 << 14)
     both.add(np.repeat(np.intersect1d(substring_dedup.seeds(held)[0], substring_dedup.seeds(text)[0]), 2))
-    found, at = substring_dedup.suspect_runs(text, both.twice, 50)
+    def runs(t):
+        hashes = substring_dedup._words.of(substring_dedup.words_of(t))
+        own, at = substring_dedup.seeds_of(hashes)
+        return substring_dedup.suspect_runs(hashes, at, bloom.holds(both.twice, own), 50)
+
+    found, at = runs(text)
     assert set(range(33, 33 + 31)) <= set(at.tolist()) < set(range(134 - 50))
-    own, _ = substring_dedup.suspect_runs(held, both.twice, 50)
+    own, _ = runs(held)
     assert set(own.tolist()) <= set(found.tolist())
 
 
@@ -250,8 +255,44 @@ def test_chains_prefer_collinear_fragments():
     a = words(30, 1)
     b = a[:12] + ["new"] + a[13:]
     assert substring_dedup.matched_in_gap(a, b) == 29
-    x = [w.encode() for w in a]
-    assert substring_dedup.align(x, [w.encode() for w in b], [(2, 2, 8), (15, 15, 8)]) == (0, 30, 0, 30, 29)
+    chain = [(2, 2, 8), (15, 15, 8)]
+    assert substring_dedup.align(*(substring_dedup.gaps_of(t, [(2, 10), (15, 23)]) for t in (a, b)), chain) == (0, 30, 0, 30, 29)
+
+
+def test_longest_common_subsequence():
+    r = random.Random(5)
+    for _ in range(200):
+        a, b = ([r.randrange(6) for _ in range(r.randrange(25))] for _ in range(2))
+        best = [[0] * (len(b) + 1) for _ in range(len(a) + 1)]
+        for i, x in enumerate(a):
+            for j, y in enumerate(b):
+                best[i + 1][j + 1] = best[i][j] + 1 if x == y else max(best[i][j + 1], best[i + 1][j])
+        assert substring_dedup.matched_in_gap(a, b) == best[-1][-1]
+
+
+def test_six_documents_with_overlapping_parts(spark):
+    """5 and 6 share a hundred words; smaller and larger documents hold its two ends only."""
+    passage = words(100, 9)
+    ends = {1: passage[:42], 9: passage[:42], 2: passage[58:], 8: passage[58:], 5: passage, 6: passage}
+    docs = {i: " ".join(words(40, 300 + i) + w + words(40, 400 + i)) for i, w in ends.items()}
+    out = {r.doc_id: (r.n_words, r.passages) for r in substring_dedup.repeated_passages(frame(spark, docs)).collect()}
+    assert out == {5: (100, [[40, 140]]), 6: (100, [[40, 140]])}
+
+
+def test_exact_words_against_brute_force(spark):
+    """Documents of pieces that many others hold: exactly the words in shared runs of 50, and edited ones."""
+    r = random.Random(11)
+    pieces = [words(r.randint(15, 70), 500 + k) for k in range(12)]
+    chosen = {i: sum((pieces[r.randrange(12)] for _ in range(r.randint(1, 5))), words(r.randint(0, 30), 800 + i)) for i in range(60)}
+    chosen |= {100 + i: chosen[i] for i in range(5)}  # copies of whole texts
+    held = {}
+    for i, w in chosen.items():
+        for k in range(len(w) - 49):
+            held.setdefault(tuple(w[k : k + 50]), set()).add(i)
+    must = {i: {x for k in range(len(w) - 49) if len(held[tuple(w[k : k + 50])]) > 1 for x in range(k, k + 50)} for i, w in chosen.items()}
+    out = substring_dedup.repeated_passages(frame(spark, {i: " ".join(w) for i, w in chosen.items()}), identity=2.0).collect()  # no fuzzy ones
+    got = {x.doc_id: {k for a, b in x.passages for k in range(a, b)} for x in out}
+    assert got == {i: m for i, m in must.items() if m}
 
 
 def test_scores(spark):

@@ -7,11 +7,14 @@ and Spark deals the pieces into the sequences by their rank within their length.
 The packing is a branch and bound: take the largest length left, enumerate the undominated ways
 to fill the sequence around it, keep the one of least waste, use it as often as the counts allow,
 and give up a branch once its waste alone proves that it can't beat the incumbent. Best-fit
-decreasing is the first incumbent, and the volume bound ends the search early.
+decreasing is the first incumbent, and a lower bound ends the search early. The search is bounded:
+``nodes`` fillings are looked at for a sequence and ``branches`` branches are followed, each of which
+passes over other perfect fillings; where that meets no bound, the best packing seen is used, which
+least_sequences() tells how far from the optimum it can be at most.
 
 Defined cases: a null or empty text is only the end id; null and repeated doc_ids are packed row
-by row; pieces of one length may swap places; an empty table gives no rows; other columns are not
-read.
+by row; pieces of one length may swap places; a very long text is encoded whole in one task, in memory
+that follows its length, and cut; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
@@ -26,8 +29,10 @@ from pyspark.sql import functions as F
 
 from tablewright.llm.common import slices, stored, texts_of
 from tablewright.llm.pretokens import encoder, vocabulary
+from tablewright.runtime import ship_package
 
-SALTS = 32
+#: Pieces of one length are ranked by so many of them at a time, about; salts at least and at most.
+RANKED, SALTS, MOST_SALTS = 1_000_000, 32, 4096
 
 
 def token_pieces(docs: DataFrame, capacity: int = 2048, vocab: str = "byte_bpe_50k.json", end_id: int = 0, with_ids: bool = False) -> DataFrame:
@@ -154,9 +159,12 @@ def pack_documents(docs: DataFrame, capacity: int = 2048, vocab: str = "byte_bpe
     """token_pieces with sequence_id and offset: no sequence holds more than ``capacity`` tokens,
     and its pieces lie in it without gaps from 0."""
     spark = docs.sparkSession
-    pieces = stored(token_pieces(docs, capacity, vocab, end_id, with_ids), "pieces").withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(SALTS)).cast("int"))
-    counted = pieces.groupBy("length", "salt").count().collect()  # capacity * SALTS rows at most
-    table = np.zeros((capacity + 1, SALTS), np.int64)
+    ship_package(spark)
+    pieces = stored(token_pieces(docs, capacity, vocab, end_id, with_ids), "pieces")
+    salts = min(MOST_SALTS, max(SALTS, pieces.count() // RANKED))  # a hot length is ranked in many parts
+    pieces = pieces.withColumn("salt", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(salts)).cast("int"))
+    counted = pieces.groupBy("length", "salt").count().toLocalIterator()  # capacity * MOST_SALTS rows at most
+    table = np.zeros((capacity + 1, salts), np.int64)
     for row in counted:
         table[row.length, row.salt] = row["count"]
     before = np.cumsum(table, axis=1) - table  # rank of the first piece of a salt

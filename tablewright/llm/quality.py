@@ -2,16 +2,19 @@
 
 Every document becomes a vector of transformed statistics. Each (language, source) gets the mean
 and covariance of the subset of 75 % of its documents whose covariance has the smallest
-determinant that concentration steps from two robust starts reach; documents far from it by
-Mahalanobis distance are rejected. All of it is DataFrame expressions and aggregates.
+determinant that concentration steps from three robust starts reach, taken until no determinant
+falls any more; documents far from it by Mahalanobis distance are rejected. All of it is DataFrame
+expressions and aggregates.
 
 Vectors are integers (hundredths), so sums are exact and the verdict doesn't depend on how rows
-are dealt out. Groups below ``min_group`` documents are judged together, first per language, then
-overall; if even that is too small nothing is an outlier.
+are dealt out. Documents of groups below ``min_group`` are judged together by their language; those
+of languages below it by an estimate over all documents. Only a table that is smaller itself gives
+no estimate, and then nothing is an outlier. ``FLOOR`` and ``CUTOFF`` were set on the labelled rows.
 
 Defined cases: a null or empty text has no words and fails the base rule; a null lang or source is
-a value of its own; null and repeated doc_ids are judged row by row; an empty table gives no rows;
-other columns are not read.
+a value of its own; null and repeated doc_ids are judged row by row; a very long text is one row's
+arrays in one task; an empty table gives no rows; other columns are not read, and keep_regular()
+returns them whatever their names.
 """
 
 from __future__ import annotations
@@ -115,7 +118,7 @@ def level() -> Column:
     return F.round(F.log2(F.lit(0.01) + F.col("d2")) * 32).cast("long")
 
 
-def judged(docs: DataFrame, min_group: int = 60, steps: int = 2, cutoff: float = CUTOFF) -> DataFrame:
+def judged(docs: DataFrame, min_group: int = 60, most_steps: int = 30, cutoff: float = CUTOFF) -> DataFrame:
     """statistics() with base_failed, distance (squared, scaled) and kept."""
     stats = statistics(docs)
     base_failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
@@ -129,28 +132,40 @@ def judged(docs: DataFrame, min_group: int = 60, steps: int = 2, cutoff: float =
     x = [f"x{i}" for i in range(P)]
     points = rows.join(stored(own, "quality-groups"), F.col("lang").eqNullSafe(F.col("g_lang")) & F.col("source").eqNullSafe(F.col("g_source"))).drop("g_lang", "g_source")
     points = stored(points, "quality-points")
-    both = points.select("g", *x, F.explode(F.array(F.lit(0), F.lit(1))).alias("start"))
+    # estimates of the last group are over all documents
+    last = points.where("g = 0").limit(1).count()
+    fitted = points.select("g", *x).union(points.where("g <> 0").select(F.lit(0).cast("long"), *x)) if last else points.select("g", *x)
+    both = fitted.select("*", F.explode(F.array(*map(F.lit, range(3)))).alias("start"))
 
-    # start 0: spread around the median; start 1: the covariance of clipped deviations
-    quartiles = points.groupBy("g").agg(F.count("*").alias("size"), *(F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"q{i}") for i, c in enumerate(x)))
+    # start 0: spread around the median; 1: the covariance of clipped deviations; 2: of directions
+    quartiles = fitted.groupBy("g").agg(F.count("*").alias("size"), *(F.percentile(c, F.array(F.lit(0.25), F.lit(0.5), F.lit(0.75))).alias(f"q{i}") for i, c in enumerate(x)))
     spread = [F.greatest((F.col(f"q{i}")[2] - F.col(f"q{i}")[0]) / 1.349, F.lit(FLOOR[i])) for i in range(P)]
     center = quartiles.select("g", "size", *(F.col(f"q{i}")[1].alias(f"m{i}") for i in range(P)), *(s.alias(f"e{i}") for i, s in enumerate(spread)))
     center = stored(center, "quality-centers")
-    clipped = points.select("g", *x).join(center, "g").select("g", *(F.round(F.greatest(F.least((F.col(f"x{i}") - F.col(f"m{i}")) / F.col(f"e{i}"), F.lit(1.5)), F.lit(-1.5)) * F.col(f"e{i}") + F.col(f"m{i}")).cast("long").alias(f"x{i}") for i in range(P)))
+    apart = [(F.col(f"x{i}") - F.col(f"m{i}")) / F.col(f"e{i}") for i in range(P)]
+    clipped = [F.greatest(F.least(a, F.lit(1.5)), F.lit(-1.5)) for a in apart]
+    length = F.sqrt(sum((a**2 for a in apart), F.lit(1e-9)) / P)
+    turned = [F.when(F.col("start") == 1, c).otherwise(a / length) for c, a in zip(clipped, apart, strict=True)]
+    tamed = both.where("start > 0").join(center, "g").select("g", "start", *(F.round(t * F.col(f"e{i}") + F.col(f"m{i}")).cast("long").alias(f"x{i}") for i, t in enumerate(turned)))
     first = center.select("g", F.lit(0).alias("start"), *(f"m{i}" for i in range(P)), *((F.col(f"e{i}") if i == j else F.lit(0.0)).alias(f"l{i}_{j}") for i in range(P) for j in range(i + 1)), F.lit(0.0).alias("logdet"))
-    second = estimate(clipped.groupBy("g").agg(*moments()).withColumn("start", F.lit(1)), "g", "start")
-    fit = stored(first.unionByName(second), "quality-starts")
+    others = estimate(tamed.groupBy("g", "start").agg(*moments()), "g", "start")
+    fit = stored(first.unionByName(others), "quality-starts")
 
-    for _ in range(steps):  # a concentration step: the nearest 75 % of each group, estimated anew
+    before = None
+    for _ in range(most_steps):  # a concentration step: the nearest 75 % of each group, estimated anew
         placed = with_distance(both.join(fit, ["g", "start"])).select("g", "start", *x, level().alias("level"))
         # stored, so that the join below deals out both sides anew and can split a hot group
         most = stored(placed.groupBy("g", "start").agg(F.percentile("level", F.lit(SHARE)).alias("most")), "quality-levels")
         near = placed.join(most, ["g", "start"]).where(F.col("level") <= F.col("most"))
         fit = stored(estimate(near.groupBy("g", "start").agg(*moments()), "g", "start"), "quality-fit")
+        now = fit.agg(F.sum(F.round("logdet", 6))).first()[0]
+        if now is None or before is not None and now > before - 1e-6:  # no determinant has fallen
+            break
+        before = now
 
-    best = fit.groupBy("g").agg(F.min_by("start", F.struct("logdet", "start")).alias("start"))
+    best = fit.groupBy("g").agg(F.min_by("start", F.struct(F.round("logdet", 6), "start")).alias("start"))
     fit = stored(fit.join(best, ["g", "start"]).drop("start", "logdet"), "quality-best")
-    placed = with_distance(points.select("g", *x).join(fit, "g"))
+    placed = with_distance(fitted.join(fit, "g"))
     scale = placed.groupBy("g").agg(F.greatest(F.lit(1.0), (F.pow(F.lit(2.0), F.percentile(level(), F.lit(0.5)) / 32) - 0.01) / MEDIAN).alias("scale"))
     final = stored(fit.join(scale, "g").join(center.select("g", "size"), "g"), "quality-final")
     result = with_distance(points.join(final, "g")).withColumn("distance", F.col("d2") / F.col("scale"))

@@ -3,11 +3,13 @@
 The format: one row per document, ``doc_id`` long, ``ids`` array of int (ORC run-length encodes
 the integers), ``start`` long (ids before the document in its file). Files hold ascending,
 disjoint doc_id ranges; row indexes and a Bloom filter on doc_id let readers skip stripes and row
-groups, and every stripe is a split of its own.
+groups, and every stripe is a split of its own. Beside them, ``<path>.counts`` (Parquet) holds a row
+for each file: its name, number of ids and smallest doc_id, so that a reader of a few documents
+reads their stripes and this table only.
 
 Defined cases: a null or empty text is only the end id; a null doc_id sorts first; rows with one
-doc_id are all kept, ordered by text; an empty table makes an empty table; other columns are not
-written.
+doc_id are all kept, ordered by text; a very long text is encoded whole in one task, in memory that
+follows its length; an empty table makes an empty table; other columns are not written.
 """
 
 from __future__ import annotations
@@ -21,6 +23,7 @@ from pyspark.sql import functions as F
 
 from tablewright.llm.common import new_path, slices, texts_of
 from tablewright.llm.pretokens import encoder, vocabulary
+from tablewright.runtime import ship_package
 
 SCHEMA = "doc_id long, start long, ids array<int>"
 
@@ -49,15 +52,17 @@ def write_tokens(docs: DataFrame, path: str, vocab: str = "word_bpe_49k.json", e
         .option("orc.bloom.filter.fpp", 0.01)
         .orc(path)
     )
+    files = opened(docs.sparkSession, path)
+    files.groupBy("file").agg(F.max(F.col("start") + F.size("ids")).alias("n"), F.min("doc_id").alias("first")).coalesce(1).write.parquet(f"{path}.counts")
 
 
 def opened(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(SCHEMA).orc(path).select("*", F.col("_metadata.file_path").alias("file"))
 
 
-def with_base(rows: DataFrame, files: DataFrame) -> DataFrame:
-    """``rows`` (with file and start in it) with start counted over all files."""
-    sums = files.groupBy("file").agg(F.max(F.col("start") + F.size("ids")).alias("n"), F.min("doc_id").alias("first"))
+def with_base(rows: DataFrame, path: str) -> DataFrame:
+    """``rows`` (with file and start in it) of ``path`` with start counted over all files."""
+    sums = rows.sparkSession.read.schema("file string, n long, first long").parquet(f"{path}.counts")
     # one row a file, so this window stays small
     order = Window.orderBy(F.col("first").asc_nulls_first(), "file").rowsBetween(Window.unboundedPreceding, -1)
     base = sums.select("file", F.coalesce(F.sum("n").over(order), F.lit(0)).alias("base"))
@@ -68,7 +73,7 @@ def read_tokens(spark: SparkSession, path: str, doc_ids: list[int] | None = None
     """doc_id, start (ids of all documents before it), ids. ``doc_ids`` prunes by metadata."""
     files = opened(spark, path)
     rows = files.where(F.col("doc_id").isin(doc_ids)) if doc_ids is not None else files
-    return with_base(rows, files)
+    return with_base(rows, path)
 
 
 def token_digest(tokens: DataFrame) -> DataFrame:
@@ -87,7 +92,8 @@ def token_digest(tokens: DataFrame) -> DataFrame:
 
 def encode_and_read_back(docs: DataFrame, vocab: str = "word_bpe_49k.json", end_id: int = 2) -> DataFrame:
     spark = docs.sparkSession
+    ship_package(spark)
     path = new_path(spark, "tokens-orc")
     write_tokens(docs, path, vocab, end_id)
     files = opened(spark, path)
-    return with_base(token_digest(files), files).select("doc_id", "start", "n_tokens", "ids_crc32")
+    return with_base(token_digest(files), path).select("doc_id", "start", "n_tokens", "ids_crc32")

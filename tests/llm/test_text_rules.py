@@ -35,25 +35,51 @@ def test_quality_statistics(spark):
     assert quality.judged(frame(spark, {}).limit(0)).count() == 0
 
 
-def reference_mcd(x, steps=2):
-    """The same estimate in numpy: two starts, concentration steps, smallest determinant."""
+def estimated(x):
+    return x.mean(0), np.cov(x.T, bias=True) + np.diag(np.array(quality.FLOOR) ** 2)
+
+
+def concentrated(x, fits):
+    """(logdet, mean, cov) of each start after steps together until their determinants fall no more."""
+    before = np.inf
+    while True:
+        for k, (mean, cov) in enumerate(fits):
+            level = np.round(np.log2(0.01 + distances(x, mean, cov)) * 32)
+            fits[k] = estimated(x[level <= np.percentile(level, 75)])
+        now = sum(round(np.linalg.slogdet(cov)[1] / 2, 6) for _, cov in fits)
+        if now > before - 1e-6:
+            return [(round(np.linalg.slogdet(cov)[1] / 2, 6), mean, cov) for mean, cov in fits]
+        before = now
+
+
+def robust_starts(x):
     floor = np.array(quality.FLOOR)
     low, mid, high = np.percentile(x, [25, 50, 75], axis=0)
     spread = np.maximum((high - low) / 1.349, floor)
-    clipped = np.round(np.clip((x - mid) / spread, -1.5, 1.5) * spread + mid)
-    estimate = lambda y: (y.mean(0), np.cov(y.T, bias=True) + np.diag(floor**2))
-    best = None
-    for mean, cov in ((mid, np.diag(spread**2)), estimate(clipped)):
-        for _ in range(steps):
-            level = np.round(np.log2(0.01 + distances(x, mean, cov)) * 32)
-            mean, cov = estimate(x[level <= np.percentile(level, 75)])
-        if best is None or np.linalg.slogdet(cov)[1] < best[0] - 1e-9:
-            best = (np.linalg.slogdet(cov)[1], mean, cov)
-    d = distances(x, *best[1:])
+    z = (x - mid) / spread
+    length = np.sqrt((1e-9 + (z**2).sum(1)) / quality.P)
+    return [(mid, np.diag(spread**2)), *(estimated(np.round(t * spread + mid)) for t in (np.clip(z, -1.5, 1.5), z / length[:, None]))]
+
+
+def reference_mcd(x):
+    """The same estimate in numpy: three starts, concentration steps, smallest determinant."""
+    _, mean, cov = min(concentrated(x, robust_starts(x)), key=lambda f: f[0])
+    d = distances(x, mean, cov)
     level = np.round(np.log2(0.01 + d) * 32)
     return d / max(1, (2 ** (np.percentile(level, 50) / 32) - 0.01) / quality.MEDIAN)
 
 
+def test_no_random_start_finds_a_smaller_determinant():
+    for seed in range(4):
+        r = np.random.default_rng(seed)
+        x = np.round(r.multivariate_normal(np.zeros(quality.P), np.diag(r.uniform(100, 400, quality.P) ** 2), 400) @ r.normal(0, 0.5, (quality.P, quality.P)))
+        x[: 40 + 10 * seed] += r.choice([-1, 1], quality.P) * 2500  # a clump of outliers
+        best = min(f[0] for f in concentrated(x, robust_starts(x)))
+        for _ in range(60):
+            some = concentrated(x, [estimated(x[r.choice(len(x), quality.P + 1, replace=False)])])
+            assert some[0][0] > best - 0.05
+
+
 def distances(x, mean, cov):
     z = x - mean
     return np.einsum("ij,jk,ik->i", z, np.linalg.inv(cov), z)
@@ -69,6 +95,12 @@ def test_quality_distances_against_numpy(spark):
     assert [i for i in ids if not got[i].kept] == [i for i in ids if i % 40 == 0]
 
 
+def test_rare_languages_are_judged_by_all_documents(spark):
+    texts = {i: prose(40 + i % 90, i) for i in range(200)} | {500 + i: prose(60, 500 + i) for i in range(8)} | {600: "!! $$ %% && ## **" * 40 + prose(12, 3)}
+    docs = frame(spark, texts, extra=False).withColumns({"lang": F.when(F.col("doc_id") < 500, "en").otherwise("rare"), "source": F.lit("s")})
+    assert [r.doc_id for r in quality.judged(docs).where("doc_id >= 500 and not kept").collect()] == [600]
+
+
 def test_quality_keeps_rows_without_id(spark):
     docs = frame(spark, {1: "too short", 2: prose(50, 1)}).union(frame(spark, {3: "short"}).withColumn("doc_id", F.lit(None).cast("long")))
     assert sorted(str(r.doc_id) for r in quality.keep_regular(docs).collect()) == ["2", "None"]
@@ -308,6 +340,28 @@ def test_scores(spark):
     assert lm_scoring.score_documents(docs.limit(0)).count() == 0
 
 
+def test_scores_follow_from_the_parameters(spark, monkeypatch):
+    """Every score again, word by word, from the trained network's parameters."""
+    last = []
+    trained = lm_scoring.trained
+    monkeypatch.setattr(lm_scoring, "trained", lambda *a, **k: last.append(trained(*a, **k)) or last[-1])
+    texts = {i: t for i, t in odd_documents().items() if i < 20}
+    docs = frame(spark, texts)
+    got = {r.doc_id: r.log_likelihood for r in lm_scoring.score_documents(docs).collect()}
+    assert len(last) == lm_scoring.MASKED  # each position is masked in one of them
+    kind, within, _ = lm_scoring.classes_of(lm_scoring.count_buckets(docs))
+    embed, bias, out, prior = lm_scoring.Network(last[-1]).parts
+    for i, t in texts.items():
+        b = lm_scoring.buckets_of(t or "")
+        padded = [lm_scoring.CLASSES] * 2 + [int(kind[x]) for x in b] + [lm_scoring.CLASSES] * 2
+        total = 0.0
+        for k, x in enumerate(b):
+            hidden = np.tanh(bias + sum(embed[j][padded[k + 2 + o]] for j, o in enumerate(lm_scoring.OFFSETS)))
+            logits = (hidden @ out + prior).astype(np.float64)
+            total += logits[kind[x]] - np.log(np.exp(logits).sum()) + within[x]
+        assert abs(got[i] - total) < 1e-3 * max(1, abs(total))
+
+
 def test_network_learns_context(spark):
     """On held-out documents the window network beats the frequencies of classes alone."""
     def chain(n, seed):

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tablewright.llm import bloom, decontaminate, lm_scoring, quality, secrets, substring_dedup
+from tablewright.llm.common import texts_of
 from tests.llm.data import WORD, edited, frame, odd_documents, prose, words
 
 
@@ -349,7 +350,7 @@ def test_scores_follow_from_the_parameters(spark, monkeypatch):
     docs = frame(spark, texts)
     got = {r.doc_id: r.log_likelihood for r in lm_scoring.score_documents(docs).collect()}
     assert len(last) == lm_scoring.MASKED  # each position is masked in one of them
-    kind, within, _ = lm_scoring.classes_of(lm_scoring.count_buckets(docs))
+    kind, within, _ = lm_scoring.classes_of(lm_scoring.count_buckets(texts_of(docs)))
     embed, bias, out, prior = lm_scoring.Network(last[-1]).parts
     for i, t in texts.items():
         b = lm_scoring.buckets_of(t or "")

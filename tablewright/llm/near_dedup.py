@@ -43,8 +43,8 @@ BANDS, ROWS = 32, 4
 REGISTERS = BANDS * ROWS
 #: The sketch: base of the exponential spacing, rate of the hashes, highest register value.
 BASE, RATE, TOP = 1.001, 20.0, 65535
-#: Members of a bucket that may meet one by one.
-SMALL = 24
+#: Members of a bucket that may meet one by one; shingles whose frequency tasks know, at most.
+SMALL, RANKED = 24, 1_000_000
 MARGIN = 0.2
 
 _random = np.random.default_rng(20240229)
@@ -181,11 +181,13 @@ def rarest_pairs(large: DataFrame, docs: DataFrame, percent: int, width: int) ->
     """All pairs (a, b) of different components that can reach ``percent``, among the members
     (key, n, doc, c) of large buckets that hold several components.
 
-    Sets are put in one order, rarest shingles first. A smaller set that reaches the threshold with
-    a larger one shares a shingle among its first n - 2p / (100 + p) * n + 1, which is among the
-    larger one's first n - p / 100 * n + 1; the first one shared leaves enough behind it on both
-    sides. Members of a shingle's main component do not meet each other; a frequent shingle is
-    dealt to several tasks.
+    Sets are put in one order, rarest shingles first: by the number of sets that hold a shingle where
+    it is among the ``RANKED`` most frequent ones, at most, and then by hash. A smaller set that
+    reaches the threshold with a larger one shares a shingle among its first
+    n - 2p / (100 + p) * n + 1, which is among the larger one's first n - p / 100 * n + 1; the first
+    one shared leaves enough behind it on both sides, in any order that is the same for all sets.
+    Members of a shingle's main component do not meet each other; a frequent shingle is dealt to
+    several tasks.
     """
     open_docs = stored(large.where(F.col("n") > SMALL).select("doc", "c").distinct(), "near-open")
 
@@ -198,15 +200,28 @@ def rarest_pairs(large: DataFrame, docs: DataFrame, percent: int, width: int) ->
     texts = texts_of(docs).join(open_docs, F.col("doc_id") == F.col("doc")).select("doc", "c", "text")
     # rows that share a doc_id are sets of their own
     sets = stored(texts.mapInArrow(shingled, "doc long, c long, own binary, shingles array<long>").dropDuplicates(["doc", "own"]), "near-sets")
-    rows = sets.select("doc", "c", "own", F.explode("shingles").alias("shingle"))
-    counts = stored(rows.groupBy("shingle").agg(F.count("*").alias("held")).where("held > 1"), "near-shingles")
-    shared = rows.join(counts, "shingle").groupBy("doc", "c", "own").agg(F.sort_array(F.collect_list(F.struct("held", "shingle"))).alias("shared"))
-    # shingles of a single set come first in its order and meet nothing
-    shared = shared.join(sets.select("doc", "own", F.size("shingles").cast("long").alias("n")), ["doc", "own"]).withColumn("alone", F.col("n") - F.size("shared"))
-    first = F.expr(f"n - ({percent} * n + 99) div 100 + 1 - alone")
-    prefix = shared.where(first > 0).select("doc", "c", "n", "alone", F.posexplode(F.slice("shared", 1, first.cast("int"))).alias("place", "s"))
-    prefix = prefix.select(F.col("s.shingle").alias("shingle"), F.col("s.held").alias("held"), "doc", "c", "n", (F.col("alone") + F.col("place")).alias("at"))
-    prefix = stored(prefix.withColumn("short", F.expr(f"at <= n - ({2 * percent} * n + {99 + percent}) div {100 + percent}")), "near-prefix")
+    least = max(2, (sets.agg(F.sum(F.size("shingles")).alias("n")).first().n or 0) // RANKED)  # so many sets hold RANKED shingles at most
+    counts = sets.select(F.explode("shingles").alias("shingle")).groupBy("shingle").agg(F.count("*").alias("held")).where(F.col("held") >= least)
+    frequent = counts.toArrow().sort_by("shingle")
+    sent = docs.sparkSession.sparkContext.broadcast(tuple(frequent.column(c).to_numpy() for c in ("shingle", "held")))
+
+    def first_ones(records):
+        known, held = sent.value
+        for record in records:
+            parts: list[list] = [[] for _ in range(7)]
+            for doc, c, own in zip(record.column("doc").to_pylist(), record.column("c").to_pylist(), record.column("shingles"), strict=True):
+                own = np.asarray(own.values)
+                n = len(own)
+                at = np.minimum(np.searchsorted(known, own), max(0, len(known) - 1))
+                often = np.where(known[at] == own, held[at], 0) if len(known) else np.zeros(n, np.int64)
+                order = np.lexsort((own, often))[: n - -(-percent * n // 100) + 1]
+                at = np.arange(1, len(order) + 1)
+                for part, x in zip(parts, (own[order], often[order], np.full(len(order), doc), np.full(len(order), c), np.full(len(order), n), at, at <= n - -(-2 * percent * n // (100 + percent)) + 1), strict=True):
+                    part.append(x)
+            if parts[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(p)) for p in parts], names=["shingle", "held", "doc", "c", "n", "at", "short"])
+
+    prefix = stored(sets.mapInArrow(first_ones, "shingle long, held long, doc long, c long, n long, at long, short boolean"), "near-prefix")
 
     sizes = prefix.groupBy("shingle", "c").agg(F.count("*").alias("size"))
     main = sizes.groupBy("shingle").agg(F.max_by("c", F.struct("size", "c")).alias("main"), F.count("*").alias("several")).where("several > 1")

@@ -215,8 +215,8 @@ def rarest_pairs(large: DataFrame, docs: DataFrame, percent: int, width: int) ->
                 at = np.minimum(np.searchsorted(known, own), max(0, len(known) - 1))
                 often = np.where(known[at] == own, held[at], 0) if len(known) else np.zeros(n, np.int64)
                 order = np.lexsort((own, often))[: n - -(-percent * n // 100) + 1]
-                at = np.arange(1, len(order) + 1)
-                for part, x in zip(parts, (own[order], often[order], np.full(len(order), doc), np.full(len(order), c), np.full(len(order), n), at, at <= n - -(-2 * percent * n // (100 + percent)) + 1), strict=True):
+                at = np.arange(len(order))
+                for part, x in zip(parts, (own[order], often[order], np.full(len(order), doc), np.full(len(order), c), np.full(len(order), n), at, at <= n - -(-2 * percent * n // (100 + percent))), strict=True):
                     part.append(x)
             if parts[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(p)) for p in parts], names=["shingle", "held", "doc", "c", "n", "at", "short"])

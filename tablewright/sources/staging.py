@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -9,9 +10,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; where it is unset (one machine, tests) a temporary folder."""
+    """``spark.checkpoint.dir``; where it is unset, on one machine only, a temporary folder."""
     where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not where:
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         where = tempfile.mkdtemp(prefix="spark-")
         spark.sparkContext.setCheckpointDir(where)
     return where.rstrip("/")
@@ -40,9 +43,19 @@ def _is_table(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path}/_SUCCESS")
 
 
+def current(spark: SparkSession, path: str) -> str:
+    """The folder that holds the table ``path`` now; between the two renames of a swap, or where one
+    died there, the new table if it is complete and the old one otherwise. Readers change nothing."""
+    if path_exists(spark, path):
+        return path
+    if _is_table(spark, f"{path}.new"):
+        return f"{path}.new"
+    return f"{path}.old" if path_exists(spark, f"{path}.old") else path
+
+
 def recover(spark: SparkSession, path: str) -> None:
-    """Finish what a swap that died between its two renames has left: ``path`` is the new table if
-    it was complete, and the old one otherwise."""
+    """For the one writer of a table: finish what a swap that died between its two renames has left.
+    ``path`` is the new table if it was complete, and the old one otherwise."""
     fs, where = file_system(spark, path)
     _, new = file_system(spark, f"{path}.new")
     _, old = file_system(spark, f"{path}.old")

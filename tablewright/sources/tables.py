@@ -4,13 +4,14 @@ from __future__ import annotations
 
 import logging
 import re
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.operators import quality
-from tablewright.sources.staging import path_exists, recover, swap_in
+from tablewright.sources.staging import current, path_exists, swap_in
 
 log = logging.getLogger(__name__)
 
@@ -38,8 +39,7 @@ def location(spark: SparkSession, table: str) -> str:
 def exists(spark: SparkSession, where: str, table: str) -> bool:
     """Whether ``table`` is in the database or folder ``where``."""
     if is_path(where):
-        recover(spark, f"{where}/{table}")
-        return path_exists(spark, f"{where}/{table}")
+        return path_exists(spark, current(spark, f"{where}/{table}"))
     return database_exists(spark, where) and spark.catalog.tableExists(qualified(where, table))
 
 
@@ -47,25 +47,34 @@ def read(spark: SparkSession, where: str, table: str, fmt: str = "parquet") -> D
     """A catalog table if ``where`` is a database, else the files at ``where/table``."""
     if database_exists(spark, where):
         return spark.table(qualified(where, table))
-    recover(spark, f"{where}/{table}")
-    return spark.read.format(fmt).load(f"{where}/{table}")
+    return spark.read.format(fmt).load(current(spark, f"{where}/{table}"))
 
 
-def save_table(df: DataFrame, table: str, fmt: str = "parquet", partitions: int | None = None) -> None:
+def dealt(df: DataFrame, partitions: int | None, keys: list[str] | None = None) -> DataFrame:
+    """``df`` for about ``partitions`` files, each partition of a partitioned table in one; else as AQE sizes them."""
+    return df.repartition(partitions, *(F.col(f"`{k}`") for k in keys or [])) if partitions else df.hint("rebalance")
+
+
+def save_table(df: DataFrame, table: str, fmt: str = "parquet", partitions: int | None = None, partition_by: list[str] | None = None) -> None:
     """Create or overwrite a catalog table. ``partitions``: number of files; else AQE sizes them.
 
-    A plan that reads the table itself is staged under another name and renamed.
+    A plan that reads the table itself is staged under another name (``__new``); the old table is
+    renamed (``__old``) and dropped at last, so that one of the three names always holds a whole
+    table. The next save puts back the old one where a save died between the renames.
     """
     spark = df.sparkSession
-    out = df.repartition(partitions) if partitions else df.hint("rebalance")
+    database, _, name = table.replace("`", "").rpartition(".")
+    new, old = (qualified(database, f"{name}__{end}") if database else f"`{name}__{end}`" for end in ("new", "old"))
+    if spark.catalog.tableExists(old):
+        spark.sql(f"DROP TABLE {old}" if spark.catalog.tableExists(table) else f"ALTER TABLE {old} RENAME TO {table}")
+    out = dealt(df, partitions, partition_by).write.format(fmt).mode("overwrite").partitionBy(*(partition_by or []))
     if not spark.catalog.tableExists(table):
-        out.write.format(fmt).mode("overwrite").saveAsTable(table)
+        out.saveAsTable(table)
         return
-    database, _, name = table.replace("`", "").rpartition(".")
-    beside = qualified(database, f"{name}__new") if database else f"`{name}__new`"
-    out.write.format(fmt).mode("overwrite").saveAsTable(beside)
-    spark.sql(f"DROP TABLE {table}")
-    spark.sql(f"ALTER TABLE {beside} RENAME TO {table}")
+    out.saveAsTable(new)
+    spark.sql(f"ALTER TABLE {table} RENAME TO {old}")
+    spark.sql(f"ALTER TABLE {new} RENAME TO {table}")
+    spark.sql(f"DROP TABLE {old}")
 
 
 def save_files(df: DataFrame, path: str, fmt: str = "parquet", partitions: int | None = None) -> None:
@@ -141,7 +150,8 @@ def copy_tables(spark: SparkSession, source: str, target: str, names: list[str]
 
 
 def compact(spark: SparkSession, where: str, table: str, files: int, predicate: str | None = None, fmt: str = "parquet") -> bool:
-    """Rewrite a table to ``files`` files; with a predicate, only the partitions it names.
+    """Rewrite a table to ``files`` files; with a predicate, only the partitions it names. The layout
+    in partitions stays.
 
     A missing table is skipped with a warning. The predicate may name partition columns of a path
     table only: those partitions are rewritten in place, each by a staged copy.
@@ -150,17 +160,19 @@ def compact(spark: SparkSession, where: str, table: str, files: int, predicate:
         log.warning("%s in %s does not exist and is not compacted", table, where)
         return False
     df = read(spark, where, table, fmt)
+    path = current(spark, f"{where}/{table}") if is_path(where) else location(spark, qualified(where, table))
+    keys = partition_columns(spark, path, fmt)
     if predicate is None:
-        save(df, target_name(where, table), fmt, files)
+        if is_path(where):
+            swap_in(dealt(df, files, keys), f"{where}/{table}", fmt, keys)
+        else:
+            save_table(df, qualified(where, table), fmt, files, keys)
         return True
-    path = f"{where}/{table}" if is_path(where) else location(spark, qualified(where, table))
-    keys = partition_columns(spark, path, fmt)
     chosen = spark.read.format(fmt).load(path).where(predicate)
-    parts = chosen.select(*keys).distinct().collect()  # one row a partition
-    for part in parts:
-        folder = "/".join(f"{k}={'__HIVE_DEFAULT_PARTITION__' if part[k] is None else part[k]}" for k in keys)
-        one = spark.read.format(fmt).load(f"{path}/{folder}")
-        swap_in(one.repartition(files), f"{path}/{folder}", fmt)
+    folder = F.regexp_replace("_metadata.file_path", "/[^/]*$", "")
+    for part in chosen.select(folder.alias("folder")).distinct().collect():  # one row a partition
+        own = unquote(part.folder)  # as it is stored, whatever its values are
+        swap_in(spark.read.format(fmt).load(own).repartition(files), own, fmt)
     return True
 
 

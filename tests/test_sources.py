@@ -1,3 +1,5 @@
+import os
+from collections import Counter
 from datetime import datetime
 
 import pytest
@@ -45,6 +47,8 @@ def test_swap_survives_a_crash(spark, tmp_path):
     (tmp_path / "t").rename(tmp_path / "t.old")  # a swap died between its renames, the new table complete
     spark.range(7).write.parquet(f"{path}.new")
     assert tables.read(spark, str(tmp_path), "t").count() == 7
+    staging.recover(spark, path)  # as the next writer does; readers leave everything where it is
+    assert tables.read(spark, str(tmp_path), "t").count() == 7
     assert not (tmp_path / "t.old").exists()
     (tmp_path / "t").rename(tmp_path / "t.old")  # and with an incomplete new table
     (tmp_path / "t.new").mkdir()
@@ -160,3 +164,36 @@ def test_streaming_upsert(spark, tmp_path):
     spark.createDataFrame([(2, 5, "z"), (3, 1, "n")], s).write.mode("append").parquet(f"{tmp_path}/in")
     run()
     assert rows(tables.read(spark, str(tmp_path), "t"), "k", "v") == [(1, "c"), (2, "z"), (3, "n")]
+
+
+def test_readers_leave_a_write_alone(spark, tmp_path):
+    where = str(tmp_path)
+    staging.swap_in(spark.range(3), f"{where}/t")
+    spark.range(5).write.parquet(f"{where}/t.new")  # another job is at this step
+    assert tables.read(spark, where, "t").count() == 3 and os.path.exists(f"{where}/t.new")
+    os.rename(f"{where}/t", f"{where}/t.old")  # between the two renames
+    assert tables.exists(spark, where, "t") and tables.read(spark, where, "t").count() == 5
+    assert sorted(os.listdir(where)) == ["t.new", "t.old"]
+    staging.swap_in(spark.range(7), f"{where}/t")  # a writer tidies up
+    assert tables.read(spark, where, "t").count() == 7 and os.listdir(where) == ["t"]
+
+
+def test_a_save_that_died_between_its_renames(spark):
+    spark.range(4).write.mode("overwrite").saveAsTable("halfway__old")
+    tables.save_table(spark.range(6), "halfway")
+    assert spark.table("halfway").count() == 6 and not spark.catalog.tableExists("halfway__old")
+
+
+def test_compaction_keeps_partitions(spark, tmp_path):
+    where = str(tmp_path)
+    odd = spark.createDataFrame([(i, ["a:b/c", "x y", None, "50%"][i % 4]) for i in range(40)], "id long, kind string")
+    odd.repartition(5).write.partitionBy("kind").parquet(f"{where}/t")
+    want = sorted(map(str, odd.collect()))
+    assert tables.compact(spark, where, "t", 1, "kind = 'a:b/c' or kind = '50%'")
+    files = lambda: Counter(f.parent.name for f in tmp_path.glob("t/*/*.parquet"))
+    few, many = sorted(files().values())[:2], sorted(files().values())[2:]
+    assert few == [1, 1] and min(many) > 1
+    assert sorted(map(str, tables.read(spark, where, "t").collect())) == want
+    assert tables.compact(spark, where, "t", 2)
+    assert list(files().values()) == [1] * 4
+    assert sorted(map(str, tables.read(spark, where, "t").collect())) == want

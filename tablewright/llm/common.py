@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import re
-import tempfile
 import uuid
 
 import numpy as np
@@ -12,6 +11,8 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tablewright.sources.staging import shared_dir
+
 #: The six ASCII blanks that separate words in every contract here.
 BLANKS = " \t\n\x0b\x0c\r"
 #: An odd number, for polynomials modulo 2^64.
@@ -21,19 +22,6 @@ WORD = re.compile(r"[^\x20\x09-\x0D]+")
 JAVA_BLANKS = r"[\x20\x09-\x0D]+"
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and every executor can reach.
-
-    ``spark.checkpoint.dir`` names it on a cluster; only where it is unset, as in a test on one
-    machine, a temporary folder of this machine is made and set.
-    """
-    where = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not where:
-        where = tempfile.mkdtemp(prefix="spark-")
-        spark.sparkContext.setCheckpointDir(where)
-    return where.rstrip("/")
-
-
 def new_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/tablewright/{name}-{uuid.uuid4().hex}"
 

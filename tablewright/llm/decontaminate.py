@@ -49,7 +49,7 @@ class Templates(dict):
     ``forget`` empties it between texts once it holds more than ``limit`` words.
     """
 
-    def __init__(self, limit: int = 300_000):
+    def __init__(self, limit: int = 150_000):
         super().__init__()
         self.limit, self.slots = limit, []
         self.hashes, self.plain = np.zeros((2, 1 << 16), np.uint64)

@@ -21,6 +21,7 @@ from pyspark.sql import functions as F
 
 from tablewright.llm.common import slices, texts_of
 from tablewright.llm.pretokens import plain, vocabulary
+from tablewright.runtime import ship_package
 
 _PIECE = re.compile(r"\n| *[^ \n]+| +")
 _SPACE = "▁"  # how the vocabulary writes a space; in a text it counts as one
@@ -108,6 +109,7 @@ _loaded: dict[tuple, Lengths] = {}
 def count_tokens(docs: DataFrame, vocab: str = "piece_bpe_32k.model", limit: int = 4096, entries: int = 32_768) -> DataFrame:
     """doc_id, n_bytes, n_tokens, over_limit (more than ``limit`` tokens)."""
     spark, docs = docs.sparkSession, texts_of(docs)
+    ship_package(spark)
     frequent = frequent_pieces(docs, entries)
     table = pack(dict(zip(frequent, Lengths(vocabulary(vocab), {}).lengths(frequent), strict=True)))
     sent = spark.sparkContext.broadcast(table)

@@ -24,6 +24,7 @@ class Database:
     password: str | None = None
     quote: str = '"'
     more: dict = field(default_factory=dict)
+    rename: str = "ALTER TABLE {old} RENAME TO {new}"
 
     def options(self) -> dict:
         own = {"url": self.url, "driver": self.driver, "user": self.user, "password": self.password}
@@ -163,9 +164,79 @@ def table_exists(spark: SparkSession, db: Database, table: str) -> bool:
     return True
 
 
+def execute(spark: SparkSession, db: Database, statements: list[str | tuple]) -> list[int]:
+    """Run statements, each a text or (text, values for its question marks), in one transaction on the
+    driver; how many rows each changed. None of them holds if one fails."""
+    jvm = spark._jvm
+    login = jvm.java.util.Properties()
+    for key, value in (("user", db.user), ("password", db.password)):
+        if value is not None:
+            login.setProperty(key, value)
+    driver = jvm.java.lang.Thread.currentThread().getContextClassLoader().loadClass(db.driver)
+    connection = driver.getDeclaredConstructor(spark.sparkContext._gateway.new_array(jvm.java.lang.Class, 0)).newInstance(spark.sparkContext._gateway.new_array(jvm.java.lang.Object, 0)).connect(db.url, login)
+    try:
+        connection.setAutoCommit(False)
+        changed = []
+        for statement in statements:
+            text, values = (statement, ()) if isinstance(statement, str) else statement
+            prepared = connection.prepareStatement(text)
+            for i, value in enumerate(values):
+                prepared.setObject(i + 1, value)
+            changed.append(prepared.executeUpdate())
+            prepared.close()
+        connection.commit()
+        return changed
+    except Exception:
+        connection.rollback()
+        raise
+    finally:
+        connection.close()
+
+
+def drop_table(spark: SparkSession, db: Database, table: str) -> None:
+    if table_exists(spark, db, table):
+        execute(spark, db, [f"DROP TABLE {table}"])
+
+
+def swap_table(df: DataFrame, db: Database, table: str, partitions: int = 8) -> None:
+    """Write ``df`` beside ``table`` and take its place in one transaction: readers find the old rows
+    or the new ones. Leftovers of a load that died are dropped first."""
+    spark, new, old = df.sparkSession, f"{table}_tw_new", f"{table}_tw_old"
+    write_table(df, db, new, "overwrite", partitions)
+    drop_table(spark, db, old)
+    there = table_exists(spark, db, table)
+    execute(spark, db, ([db.rename.format(old=table, new=old)] if there else []) + [db.rename.format(old=new, new=table)] + ([f"DROP TABLE {old}"] if there else []))
+
+
+def merge_table(target: DataFrame, result: DataFrame, db: Database, table: str, keys: list[str]) -> list[int]:
+    """Bring a table from the rows ``target`` to ``result``; only rows that differ reach the database.
+
+    They are staged beside the table, and one transaction deletes the keys of rows that are gone or
+    changed and inserts the new ones, so a failure leaves the table as it was.
+    """
+    spark, gone, new = result.sparkSession, f"{table}_tw_gone", f"{table}_tw_new"
+    write_table(target.exceptAll(result).select(*(F.col(f"`{k}`") for k in keys)).distinct(), db, gone, "overwrite")
+    write_table(result.exceptAll(target), db, new, "overwrite")
+    same = " AND ".join(f"({gone}.{k} = {table}.{k} OR {gone}.{k} IS NULL AND {table}.{k} IS NULL)" for k in map(db.name, keys))
+    columns = ", ".join(map(db.name, result.columns))
+    return execute(spark, db, [
+        f"DELETE FROM {table} WHERE EXISTS (SELECT 1 FROM {gone} WHERE {same})",
+        f"INSERT INTO {table} ({columns}) SELECT {columns} FROM {new}",
+        f"DROP TABLE {gone}",
+        f"DROP TABLE {new}",
+    ])[:2]
+
+
 def load_table(df: DataFrame, db: Database, table: str, load: Load, as_of: Column | None = None) -> None:
     """Load candidates into a database table; the result is staged first, as it may read the table."""
     spark = df.sparkSession
-    target = read_query(spark, db, f"SELECT * FROM {table}") if load.kind != "megafull" and table_exists(spark, db, table) else None
+    there = load.kind != "megafull" and table_exists(spark, db, table)
+    merges = there and load.kind in ("scd1", "scd2")
+    target = stored(read_query(spark, db, f"SELECT * FROM {table}"), "jdbc-target") if merges else None
     result = stored(loaded(target, df, load, as_of), "jdbc-load")
-    write_table(result, db, table, "overwrite", truncate=load.kind != "megafull")
+    if merges and set(result.columns) == set(target.columns):
+        merge_table(target.select(*result.columns), result, db, table, [load.pk] if load.kind == "scd2" else list(load.keys))
+    elif there:
+        write_table(result, db, table, "overwrite", truncate=True)
+    else:
+        swap_table(result, db, table)

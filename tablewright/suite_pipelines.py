@@ -61,17 +61,17 @@ def csv_round_trip(spark, sf):
     return back.replace("<empty>", "", ["blank"])
 
 
-@query("SELECT n_nationkey, n_name FROM nation")
+@query("SELECT c_custkey, c_name FROM customer")
 def csv_single_file(spark, sf):
     path = folder(spark, "export") + ".csv"
-    csvio.export_one_file(table(spark, sf, "nation").select("n_nationkey", "n_name"), path)
-    return spark.read.options(header=True).schema("n_nationkey int, n_name string").csv(path)
+    csvio.export_one_file(table(spark, sf, "customer").select("c_custkey", "c_name"), path)
+    return spark.read.options(header=True).schema("c_custkey long, c_name string").csv(path)
 
 
-@query("SELECT n_name || '.txt' AS file, 'nation ' || n_nationkey AS value FROM nation")
+@query("SELECT s_name || '.txt' AS file, 'supplier ' || s_suppkey AS value FROM supplier")
 def file_per_row(spark, sf):
     path = folder(spark, "rows")
-    csvio.write_each_row(table(spark, sf, "nation").select("n_name", F.concat(F.lit("nation "), "n_nationkey").alias("body")), "n_name", "body", path)
+    csvio.write_each_row(table(spark, sf, "supplier").select("s_name", F.concat(F.lit("supplier "), "s_suppkey").alias("body")), "s_name", "body", path)
     return spark.read.schema("value string, file string").text(path).select("file", "value")
 
 
@@ -140,12 +140,12 @@ def parametrised_query(spark, sf):
     return tables.execute(spark, "SELECT o_orderkey, o_totalprice FROM tw_orders WHERE o_orderkey > ? AND o_orderstatus = ? AND o_totalprice > ?", [100, "F", 1000.5])
 
 
-@query("SELECT 'analyzed' AS state, count(*) AS n_rows FROM nation")
+@query("SELECT 'analyzed' AS state, count(*) AS n_rows FROM customer")
 def catalog_analyze(spark, sf):
     db = database(spark, "stats")
-    tables.save(table(spark, sf, "nation"), tables.qualified(db, "nation"))
+    tables.save(table(spark, sf, "customer"), tables.qualified(db, "customer"))
     profile.analyze_database(spark, db)
-    stats = spark.sql(f"DESCRIBE EXTENDED {db}.nation").where("col_name = 'Statistics'").select("data_type")
+    stats = spark.sql(f"DESCRIBE EXTENDED {db}.customer").where("col_name = 'Statistics'").select("data_type")
     return stats.select(F.lit("analyzed").alias("state"), F.regexp_extract("data_type", r"(\d+) rows", 1).cast("long").alias("n_rows"))
 
 
@@ -170,33 +170,33 @@ def text_range_split(spark, sf):
 
 @query("SELECT min(c_name) AS low, max(c_name) AS high FROM customer")
 def text_min_max(spark, sf):
-    return table(spark, sf, "customer").agg(F.min("c_name").alias("low"), F.max("c_name").alias("high"))
+    return spark.createDataFrame([jdbc.min_max(table(spark, sf, "customer"), "c_name")], "low string, high string")
 
 
 def derby(name: str) -> jdbc.Database:
-    return jdbc.Database(f"jdbc:derby:memory:{name}_{uuid.uuid4().hex[:12]};create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver")
+    return jdbc.Database(f"jdbc:derby:memory:{name}_{uuid.uuid4().hex[:12]};create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver", rename="RENAME TABLE {old} TO {new}")
 
 
-@query("SELECT o_orderkey, o_custkey FROM orders WHERE o_orderkey % 11 = 0")
+@query("SELECT o_orderkey, o_custkey FROM orders")
 def jdbc_round_trip(spark, sf):
     db = derby("trip")
-    jdbc.write_table(table(spark, sf, "orders").where("o_orderkey % 11 = 0").select("o_orderkey", "o_custkey"), db, "orders", partitions=2)
+    jdbc.write_table(table(spark, sf, "orders").select("o_orderkey", "o_custkey"), db, "orders", partitions=2)
     return jdbc.read_query(spark, db, "SELECT * FROM orders", 3, "o_orderkey", 2)
 
 
-@query("SELECT n_nationkey, n_name FROM nation")
+@query("SELECT c_custkey, c_name FROM customer")
 def jdbc_text_split(spark, sf):
     db = derby("text")
-    jdbc.write_table(table(spark, sf, "nation").select("n_nationkey", F.col("n_name").cast("varchar(64)").alias("n_name")), db, "nation", partitions=1)
-    return jdbc.read_query(spark, db, 'SELECT "n_nationkey", CAST("n_name" AS VARCHAR(64)) AS "n_name" FROM nation', 3, "n_name")
+    jdbc.write_table(table(spark, sf, "customer").select("c_custkey", F.col("c_name").cast("varchar(64)").alias("c_name")), db, "customer", partitions=2)
+    return jdbc.read_query(spark, db, 'SELECT "c_custkey", CAST("c_name" AS VARCHAR(64)) AS "c_name" FROM customer', 3, "c_name")
 
 
-@query("SELECT n_nationkey AS k, CASE WHEN n_nationkey % 2 = 0 THEN n_regionkey + 100 ELSE n_regionkey END AS v FROM nation")
+@query("SELECT c_custkey AS k, CASE WHEN c_custkey % 2 = 0 THEN c_nationkey + 100 ELSE c_nationkey END AS v FROM customer")
 def jdbc_scd1_load(spark, sf):
     db = derby("scd1")
-    n = table(spark, sf, "nation").selectExpr("n_nationkey AS k", "n_regionkey AS v")
-    jdbc.load_table(n.where("k < 15"), db, "t", jdbc.Load("megafull"))
-    jdbc.load_table(n.where("k >= 15 OR k % 2 = 0").withColumn("v", F.when(F.col("k") % 2 == 0, F.col("v") + 100).otherwise(F.col("v"))), db, "t", jdbc.Load("scd1", ("k",)))
+    c = table(spark, sf, "customer").selectExpr("c_custkey AS k", "c_nationkey AS v")
+    jdbc.load_table(c.where("k % 3 <> 0"), db, "t", jdbc.Load("megafull"))
+    jdbc.load_table(c.where("k % 3 = 0 OR k % 2 = 0").withColumn("v", F.when(F.col("k") % 2 == 0, F.col("v") + 100).otherwise(F.col("v"))), db, "t", jdbc.Load("scd1", ("k",)))
     return jdbc.read_query(spark, db, "SELECT * FROM t")
 
 
@@ -261,10 +261,10 @@ tables:
     return tables.read(spark, f"{path}/out", "orders").select("o_orderkey", "o_totalprice", "c_name")
 
 
-@query("SELECT doc_id, lang, source FROM documents WHERE n_chars >= 1000")
+@query("SELECT doc_id, lang, source, text FROM documents")
 def json_documents(spark, sf):
     path = folder(spark, "json")
-    d = table(spark, sf, "documents").where("n_chars >= 1000").select("doc_id", "lang", "source")
+    d = table(spark, sf, "documents").select("doc_id", "lang", "source", "text")
     swap_in(d, f"{path}/docs", "json")
     return csvio.read_documents(spark, f"{path}/docs", d.schema)
 
@@ -285,35 +285,65 @@ def streaming_upsert(spark, sf):
     return tables.read(spark, path, "latest").select("user_id", "value")
 
 
-@query("SELECT n_nationkey AS k, n_regionkey AS v, NULL::TIMESTAMP AS e FROM nation WHERE n_nationkey < 15 AND n_nationkey % 2 = 1 UNION ALL SELECT n_nationkey, n_regionkey, TIMESTAMP '2020-01-01' FROM nation WHERE n_nationkey < 15 AND n_nationkey % 2 = 0 UNION ALL SELECT n_nationkey, n_regionkey + 100, NULL FROM nation WHERE n_nationkey % 2 = 0")
+@query("SELECT c_custkey AS k, c_nationkey AS v, NULL::TIMESTAMP AS e FROM customer WHERE c_custkey % 3 <> 0 AND c_custkey % 2 = 1 UNION ALL SELECT c_custkey, c_nationkey, TIMESTAMP '2020-01-01' FROM customer WHERE c_custkey % 3 <> 0 AND c_custkey % 2 = 0 UNION ALL SELECT c_custkey, c_nationkey + 100, NULL FROM customer WHERE c_custkey % 2 = 0")
 def jdbc_scd2_load(spark, sf):
     db = derby("scd2")
-    n = table(spark, sf, "nation").selectExpr("n_nationkey AS id", "n_nationkey AS k", "n_regionkey AS v")
+    c = table(spark, sf, "customer").selectExpr("2 * c_custkey AS id", "c_custkey AS k", "c_nationkey AS v")
     load = jdbc.Load("scd2", ("k",), "id", "e")
-    jdbc.load_table(n.where("k < 15"), db, "t", load)
-    jdbc.load_table(n.where("k % 2 = 0").selectExpr("id + 1000 AS id", "k", "v + 100 AS v"), db, "t", load, F.lit("2020-01-01").cast("timestamp"))
+    jdbc.load_table(c.where("k % 3 <> 0"), db, "t", load)
+    jdbc.load_table(c.where("k % 2 = 0").selectExpr("id + 1 AS id", "k", "v + 100 AS v"), db, "t", load, F.lit("2020-01-01").cast("timestamp"))
     return jdbc.read_query(spark, db, "SELECT * FROM t").select("k", "v", F.col("e").cast("timestamp_ntz").alias("e"))
 
 
-@query("SELECT c_custkey, c_nationkey FROM customer WHERE c_custkey % 4 = 0")
+@query("SELECT c_custkey, c_nationkey FROM customer")
 def sync_database_to_files(spark, sf):
     path, db = folder(spark, "sync"), derby("sync")
-    jdbc.write_table(table(spark, sf, "customer").where("c_custkey % 4 = 0").select("c_custkey", "c_nationkey"), db, "customer", partitions=2)
-    source = sync.Place("jdbc", database={"url": db.url, "driver": db.driver}, partitions=3)
+    jdbc.write_table(table(spark, sf, "customer").select("c_custkey", "c_nationkey"), db, "customer", partitions=2)
+    source = sync.Place("jdbc", database={"url": db.url, "driver": db.driver, "rename": db.rename}, partitions=3)
     job = sync.Job(source, sync.Place("parquet", f"{path}/out", "scd1"), (sync.TableJob("customer", "customer", ("c_custkey",), hash=False),))
     sync.sync(spark, job)
     return tables.read(spark, f"{path}/out", "customer")
 
 
-@query("SELECT c_custkey, c_nationkey FROM customer WHERE c_custkey % 4 = 0")
+@query("SELECT c_custkey, c_nationkey FROM customer")
 def sync_files_to_database(spark, sf):
     path, db = folder(spark, "sync"), derby("sync")
-    swap_in(table(spark, sf, "customer").where("c_custkey % 4 = 0").select("c_custkey", "c_nationkey"), f"{path}/in/customer")
-    target = sync.Place("jdbc", load="full", database={"url": db.url, "driver": db.driver})
+    swap_in(table(spark, sf, "customer").select("c_custkey", "c_nationkey"), f"{path}/in/customer")
+    target = sync.Place("jdbc", load="full", database={"url": db.url, "driver": db.driver, "rename": db.rename})
     sync.sync(spark, sync.Job(sync.Place("parquet", f"{path}/in"), target, (sync.TableJob("customer", "customer", hash=False),)))
     return jdbc.read_query(spark, db, "SELECT * FROM customer")
 
 
+@query("SELECT o_orderkey, o_totalprice + 1 AS o_totalprice FROM orders")
+def jdbc_swap_load(spark, sf):
+    db = derby("swap")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_totalprice")
+    for rows in (o, o.withColumn("o_totalprice", F.col("o_totalprice") + 1)):
+        jdbc.swap_table(rows, db, "orders")
+    return jdbc.read_query(spark, db, "SELECT * FROM orders", 3, "o_orderkey")
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey > 100 AND o_orderstatus = 'F' THEN 'done' ELSE o_orderstatus END AS o_orderstatus FROM orders")
+def jdbc_statements(spark, sf):
+    db = derby("run")
+    jdbc.write_table(table(spark, sf, "orders").select("o_orderkey", F.col("o_orderstatus").cast("varchar(8)").alias("o_orderstatus")), db, "orders", partitions=2)
+    jdbc.execute(spark, db, [('UPDATE orders SET "o_orderstatus" = ? WHERE "o_orderkey" > ? AND CAST("o_orderstatus" AS VARCHAR(8)) = ?', ["done", 100, "F"])])
+    return jdbc.read_query(spark, db, "SELECT * FROM orders", 3, "o_orderkey")
+
+
+@query("""WITH old AS (SELECT * FROM events WHERE event_id % 3 <> 0 AND ts < TIMESTAMP '2024-01-15'), w AS (SELECT max(ts) + INTERVAL 1 SECOND AS d FROM old),
+    new AS (SELECT event_id, ts, CASE WHEN event_id % 5 = 0 THEN value + 1 ELSE value END AS value FROM events, w WHERE ts >= d)
+    SELECT coalesce(n.event_id, o.event_id) AS event_id, coalesce(n.value, o.value) AS value FROM old o FULL JOIN new n ON n.event_id = o.event_id""")
+def sync_database_increment(spark, sf):
+    path, db = folder(spark, "sync"), derby("increment")
+    old, new = _split_events(spark, sf)
+    jdbc.write_table(new, db, "events", partitions=2)
+    jdbc.load_table(old.where("ts < TIMESTAMP_NTZ '2024-01-15 00:00:00'"), db, "done", jdbc.Load("megafull"))
+    place = sync.Place("jdbc", load="scd1", database={"url": db.url, "driver": db.driver, "rename": db.rename}, partitions=3)
+    sync.sync(spark, sync.Job(place, place, (sync.TableJob("events", "done", ("event_id",), date_fields=("ts",), hash=False),)))
+    return jdbc.read_query(spark, db, "SELECT * FROM done", 3, "event_id").select("event_id", "value")
+
+
 @query("SELECT c_custkey, c_name FROM customer")
 def sync_to_documents(spark, sf):
     path = folder(spark, "sync")

@@ -223,12 +223,12 @@ def event_interval(spark, sf):
     return r.df.select(o["o_orderkey"], line["l_linenumber"])
 
 
-@query("SELECT c_custkey, max(o_orderdate) AS last_order FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey HAVING max(o_orderdate) IS NULL OR max(o_orderdate) < TIMESTAMP '1995-01-01'")
+@query("SELECT c_custkey, max(o_orderdate) AS last_order FROM customer LEFT JOIN orders ON o_custkey = c_custkey GROUP BY c_custkey HAVING max(o_orderdate) IS NULL OR max(o_orderdate) < TIMESTAMP '1998-01-01'")
 def event_happened(spark, sf):
     c, o = customer(spark, sf), orders(spark, sf)
     last = (c % o).df.groupBy(c["c_custkey"]).agg(F.max(o["o_orderdate"]).alias("last_order"))
     r = Relation(last, "last", ("c_custkey",), events={"ordered": "last_order"})
-    return (r | (~r.event() | (r.event() < Event(F.lit("1995-01-01").cast("timestamp_ntz"))))).df.select("c_custkey", "last_order")
+    return (r | (~r.event() | (r.event() < Event(F.lit("1998-01-01").cast("timestamp_ntz"))))).df.select("c_custkey", "last_order")
 
 
 @query("SELECT c_custkey AS id, c_name AS name FROM customer WHERE c_acctbal > 5000 UNION ALL SELECT s_suppkey, s_name FROM supplier")

@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablewright import suite_pipelines
 from tablewright.operators import schema
 from tablewright.sources import csvio, jdbc, staging, tables
 from tablewright.streaming import sync, upsert
@@ -197,3 +198,20 @@ def test_compaction_keeps_partitions(spark, tmp_path):
     assert tables.compact(spark, where, "t", 2)
     assert list(files().values()) == [1] * 4
     assert sorted(map(str, tables.read(spark, where, "t").collect())) == want
+
+
+def test_statements_are_one_transaction(spark):
+    db = suite_pipelines.derby("transaction")
+    three = spark.createDataFrame([(1, "a"), (2, "b"), (None, "c")], "k long, v string")
+    jdbc.swap_table(three, db, "t")
+    with pytest.raises(Exception):
+        jdbc.execute(spark, db, ['DELETE FROM t WHERE "k" = 1', "DELETE FROM absent"])
+    assert jdbc.read_query(spark, db, "SELECT * FROM t").count() == 3
+    assert jdbc.execute(spark, db, [('DELETE FROM t WHERE "k" = ?', [2])]) == [1]
+    left = jdbc.read_query(spark, db, "SELECT * FROM t")
+    assert jdbc.merge_table(left, three.where("v <> 'c'").withColumn("v", F.upper("v")), db, "t", ["k"]) == [2, 2]
+    assert {tuple(r) for r in jdbc.read_query(spark, db, "SELECT * FROM t").collect()} == {(1, "A"), (2, "B")}
+    jdbc.write_table(three, db, "t_tw_old")  # left by a load that died
+    jdbc.swap_table(three.limit(0), db, "t")
+    assert jdbc.read_query(spark, db, "SELECT * FROM t").count() == 0
+    assert not jdbc.table_exists(spark, db, "t_tw_old")

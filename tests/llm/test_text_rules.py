@@ -353,7 +353,7 @@ def test_scores_follow_from_the_parameters(spark, monkeypatch):
     kind, within, _ = lm_scoring.classes_of(lm_scoring.count_buckets(texts_of(docs)))
     embed, bias, out, prior = lm_scoring.Network(last[-1]).parts
     for i, t in texts.items():
-        b = lm_scoring.buckets_of(t or "")
+        b = lm_scoring.buckets_of(t or "", len(kind))
         padded = [lm_scoring.CLASSES] * 2 + [int(kind[x]) for x in b] + [lm_scoring.CLASSES] * 2
         total = 0.0
         for k, x in enumerate(b):
@@ -363,6 +363,19 @@ def test_scores_follow_from_the_parameters(spark, monkeypatch):
         assert abs(got[i] - total) < 1e-3 * max(1, abs(total))
 
 
+def test_buckets_grow_and_classes_follow_frequency(spark):
+    docs = frame(spark, {0: "a b"}, extra=False)
+    size = lm_scoring.bucket_number(docs)
+    long = docs.withColumn("text", F.repeat(F.lit("word "), 10**7))
+    assert size == lm_scoring.FEWEST < lm_scoring.bucket_number(long) <= lm_scoring.MOST
+    counts = np.random.default_rng(1).zipf(1.3, size) % 10_000
+    kind, within, prior = lm_scoring.classes_of(counts)
+    order = np.argsort(-counts, kind="stable")
+    assert (np.diff(kind[order].astype(int)) >= 0).all() and set(kind) == set(range(lm_scoring.CLASSES))
+    assert abs(np.exp(prior).sum() - 1) < 1e-6
+    assert np.allclose(np.bincount(kind, np.exp(within.astype(float))), 1, atol=1e-3)
+
+
 def test_network_learns_context(spark):
     """On held-out documents the window network beats the frequencies of classes alone."""
     def chain(n, seed):

@@ -157,6 +157,15 @@ def test_profile(spark):
     assert profile.profile(df.limit(0)).first().null_percent is None
 
 
+def test_profile_forms_agree(spark):
+    values = [(None, 0.0, "x.y"), (3, -0.0, None), (3, float("nan"), ""), (None, float("nan"), "x.y"), (-1, 2.5, "Z")] * 3
+    df = spark.createDataFrame(values, "`a b` int, `v.w` double, n string")
+    for some in (df, df.limit(0)):
+        assert rows(profile.profile(some)) == rows(profile.profile(some, approximate=True))
+    assert [(r.column_name, r.n_rows, r.n_null, r.n_distinct) for r in profile.profile(df).orderBy("column_name").collect()] == [("a b", 15, 6, 2), ("n", 15, 3, 3), ("v.w", 15, 0, 3)]
+    assert profile.profile(df, ["n"]).first().max_value == "x.y"
+
+
 def test_catalog_strategies(spark):
     cols = [("d", "omop", "person", "person_id", 1), ("d", "omop", "visit", "visit_id", 1), ("d", "omop", "visit", "person_id", 2), ("d", "omop", "concept", "concept_id", 1), ("d", "omop", "visit", "visit_concept_id", 3), ("d", "omop", "visit", "type_concept_id_2", 4)]
     df = spark.createDataFrame(cols, "lib_database string, lib_schema string, lib_table string, lib_column string, order_column int")

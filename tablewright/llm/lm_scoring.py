@@ -84,11 +84,11 @@ class Network:
 
     SHAPES = ((len(OFFSETS), CLASSES + 1, HIDDEN), (HIDDEN,), (HIDDEN, CLASSES), (CLASSES,))
 
-    def __init__(self, flat: np.ndarray):
+    def __init__(self, flat: np.ndarray, kind: type = np.float32):
         self.parts, start = [], 0
         for shape in self.SHAPES:
             size = int(np.prod(shape))
-            self.parts.append(flat[start : start + size].astype(np.float32).reshape(shape).copy())
+            self.parts.append(flat[start : start + size].astype(kind).reshape(shape).copy())
             start += size
         self.squares = [np.full(s, 1e-3, np.float32) for s in self.SHAPES]
 
@@ -209,16 +209,18 @@ def score_documents(docs: DataFrame, rounds: int = MASKED, rate: float = 0.1) ->
     sent = docs.sparkSession.sparkContext.broadcast(flat)
 
     def scored(records):
-        net = Network(sent.value)
+        # in double precision and summed as whole millionths: a float product's rounding depends on a
+        # row's place in its batch, and equal texts get equal scores
+        net = Network(sent.value, np.float64)
         for record in records:
             own = record.column("classes").to_pylist()
             flat, at = laid_out(own)
-            logp = np.empty(len(at))
+            logp = np.empty(len(at), np.int64)
             for start in range(0, len(at), 4096):
                 some = at[start : start + 4096]
-                logp[start : start + 4096] = net.target_logs(context_at(flat, some), flat[some])
-            ends = np.concatenate([[0], np.cumsum(np.concatenate([[0.0], logp]))[np.cumsum([len(o) for o in own])]]) if own else np.zeros(1)
-            yield pa.RecordBatch.from_arrays([record.column("doc_id"), record.column("n_tokens"), pa.array(np.diff(ends) + record.column("within").to_numpy())], names=["doc_id", "n_tokens", "log_likelihood"])
+                logp[start : start + 4096] = np.rint(1e6 * net.target_logs(context_at(flat, some), flat[some]))
+            ends = np.concatenate([[0], np.concatenate([[0], np.cumsum(logp)])[np.cumsum([len(o) for o in own])]]) if own else np.zeros(1)
+            yield pa.RecordBatch.from_arrays([record.column("doc_id"), record.column("n_tokens"), pa.array(np.diff(ends) / 1e6 + record.column("within").to_numpy())], names=["doc_id", "n_tokens", "log_likelihood"])
 
     out = tokens.mapInArrow(scored, "doc_id long, n_tokens long, log_likelihood double")
     return out.withColumn("mean_log_likelihood", F.when(F.col("n_tokens") > 0, F.col("log_likelihood") / F.col("n_tokens")))

@@ -52,6 +52,25 @@ def without(docs: DataFrame, out: DataFrame, name: str) -> DataFrame:
     return docs.join(listed, F.col("doc_id").cast("long") == F.col(own), "left_anti")
 
 
+#: Keys that looked_up() treats as hot, at most.
+HOT = 10_000
+
+
+def looked_up(rows: DataFrame, facts: DataFrame, key: str, weight: str) -> DataFrame:
+    """``rows`` with the facts of their ``key``, which is never null; rows without facts are kept.
+
+    ``facts`` has one narrow row a key, and in ``weight`` the number of rows with it. Keys that hold
+    more than one of ``HOT`` rows, ``HOT`` of them at most, are broadcast; the other rows are
+    joined, so no key brings a large share of the rows to one task. ``rows`` are read twice.
+    """
+    facts = stored(facts, "facts")
+    total = facts.agg(F.coalesce(F.sum(weight), F.lit(0))).first()[0]
+    hot = facts.where(F.col(weight) * HOT > total).drop(weight)
+    by_hand = rows.join(F.broadcast(hot), key)
+    rest = rows.join(F.broadcast(hot.select(key)), key, "left_anti").join(facts.drop(weight), key, "left")
+    return by_hand.unionByName(rest)
+
+
 def ascii_lower(text: str) -> str:
     """A-Z lower-cased, every other character as it is."""
     return text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")

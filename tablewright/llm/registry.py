@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import decontaminate, line_dedup, lm_scoring, near_dedup, packing, quality, secrets, substring_dedup, token_counts, token_files
+from tablewright.llm import decontaminate, line_dedup, lm_scoring, near_dedup, packing, quality, secrets, substring_dedup, token_counts, token_files, web_archive
+from tablewright.llm.common import new_path
 from tablewright.runtime import ship_package
 
 
@@ -57,9 +58,25 @@ def op1_masked_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lm_scoring.score_documents(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_masked_lm_scoring, op2_setsketch_dedup, op3_template_decontamination, op4_line_dedup, op5_token_orc, op6_token_counts, op7_trigram_secrets, op8_quality_rules, op9_best_fit_packing, op10_chained_passages)}
+def op11_web_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = new_path(spark, "web-archive")
+    web_archive.write_archive(spark.read.parquet(f"{sf_dir}/pages.parquet"), path)
+    return web_archive.page_summary(spark, path)
+
+
+QUERIES = {f.__name__: f for f in (op1_masked_lm_scoring, op2_setsketch_dedup, op3_template_decontamination, op4_line_dedup, op5_token_orc, op6_token_counts, op7_trigram_secrets, op8_quality_rules, op9_best_fit_packing, op10_chained_passages, op11_web_archive)}
 
 SQL = {
+    "op11_web_archive": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
+        d AS (SELECT page_id, strlen(h) AS payload_bytes, h, sha1(h) AS x, min(page_id) OVER (PARTITION BY h) AS first FROM p)
+        SELECT page_id, payload_bytes,
+               translate(to_base(('0x' || x[1:10])::BIGINT, 32, 8) || to_base(('0x' || x[11:20])::BIGINT, 32, 8)
+                         || to_base(('0x' || x[21:30])::BIGINT, 32, 8) || to_base(('0x' || x[31:40])::BIGINT, 32, 8),
+                         '0123456789ABCDEFGHIJKLMNOPQRSTUV', 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567') AS payload_digest,
+               CASE WHEN page_id = first THEN 'response' ELSE 'revisit' END AS record_type,
+               CASE WHEN page_id <> first THEN first END AS refers_to
+        FROM d""",
     "op4_line_dedup": """
         WITH docs AS (SELECT doc_id, unnest(l) AS line, unnest(range(len(l))) AS i
                       FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS l FROM documents)),

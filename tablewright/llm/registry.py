@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import decontaminate, line_dedup, lm_scoring, near_dedup, packing, quality, secrets, substring_dedup, token_counts, token_files, web_archive
+from tablewright.llm import decontaminate, line_dedup, lm_scoring, near_dedup, packing, quality, secrets, substring_dedup, token_counts, token_files, web_archive, whitening
 from tablewright.llm.common import new_path
 from tablewright.runtime import ship_package
 
@@ -64,7 +64,11 @@ def op11_web_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
     return web_archive.page_summary(spark, path)
 
 
-QUERIES = {f.__name__: f for f in (op1_masked_lm_scoring, op2_setsketch_dedup, op3_template_decontamination, op4_line_dedup, op5_token_orc, op6_token_counts, op7_trigram_secrets, op8_quality_rules, op9_best_fit_packing, op10_chained_passages, op11_web_archive)}
+def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+QUERIES = {f.__name__: f for f in (op1_masked_lm_scoring, op2_setsketch_dedup, op3_template_decontamination, op4_line_dedup, op5_token_orc, op6_token_counts, op7_trigram_secrets, op8_quality_rules, op9_best_fit_packing, op10_chained_passages, op11_web_archive, op12_whitening)}
 
 SQL = {
     "op11_web_archive": """

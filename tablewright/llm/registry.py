@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tablewright.llm import decontaminate, line_dedup, lm_scoring, near_dedup, packing, quality, secrets, substring_dedup, token_counts, token_files, web_archive, whitening
+from tablewright.llm import decontaminate, line_dedup, lm_scoring, near_dedup, packing, prefix_trie, quality, secrets, substring_dedup, token_counts, token_files, web_archive, whitening
 from tablewright.llm.common import new_path
 from tablewright.runtime import ship_package
 
@@ -68,9 +68,38 @@ def op12_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
 
 
-QUERIES = {f.__name__: f for f in (op1_masked_lm_scoring, op2_setsketch_dedup, op3_template_decontamination, op4_line_dedup, op5_token_orc, op6_token_counts, op7_trigram_secrets, op8_quality_rules, op9_best_fit_packing, op10_chained_passages, op11_web_archive, op12_whitening)}
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+QUERIES = {f.__name__: f for f in (op1_masked_lm_scoring, op2_setsketch_dedup, op3_template_decontamination, op4_line_dedup, op5_token_orc, op6_token_counts, op7_trigram_secrets, op8_quality_rules, op9_best_fit_packing, op10_chained_passages, op11_web_archive, op12_whitening, op13_prefix_trie)}
 
 SQL = {
+    "op13_prefix_trie": """
+        WITH ids AS (SELECT DISTINCT conv_id FROM conversations WHERE conv_id IS NOT NULL),
+        convs AS (
+            SELECT conv_id, conv_id - conv_id % 100 AS base, xor(list_reduce(
+                list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ascii(x)::BIGINT), lambda c, b: list_reduce(
+                    [0, 1, 2, 3, 4, 5, 6, 7], lambda y, k: CASE WHEN y % 2 = 1 THEN xor(y // 2, 3988292384) ELSE y // 2 END, xor(c, b)),
+                4294967295), 4294967295) % 6 AS h FROM ids),
+        turns AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS pos,
+                         coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations),
+        joined AS (SELECT c.conv_id, 0 AS side, t.pos, role, text FROM convs c JOIN turns t ON t.conv_id = c.base AND t.pos <= c.h
+                   UNION ALL SELECT c.conv_id, 1, t.pos, role, text FROM convs c JOIN turns t ON t.conv_id = c.conv_id AND t.pos > c.h),
+        keyed AS (SELECT conv_id, row_number() OVER w AS depth, text, list(sha256(length(role) || ':' || role || text)) OVER w AS path
+                  FROM joined WINDOW w AS (PARTITION BY conv_id ORDER BY side, pos ROWS UNBOUNDED PRECEDING)),
+        paths AS (SELECT conv_id, depth, text, sha256(array_to_string(path, ',')) AS k FROM keyed
+                  UNION ALL SELECT conv_id, 0, '', 'root' FROM convs),
+        lengths AS (SELECT conv_id, max(depth) AS depth FROM paths GROUP BY conv_id),
+        nodes AS (SELECT depth, k, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * length(any_value(text)) AS w FROM paths GROUP BY depth, k),
+        linked AS (SELECT n.*, p.k AS up FROM nodes n LEFT JOIN paths p ON p.conv_id = n.conv_id AND p.depth = n.depth - 1),
+        kids AS (SELECT up AS k, count(*) AS n_children FROM linked WHERE up IS NOT NULL GROUP BY up),
+        totals AS (SELECT p.k, sum(n.w) AS saved_tokens, count(*) FILTER (kids.k IS NULL) AS n_leaves
+                   FROM nodes n JOIN paths p ON p.conv_id = n.conv_id AND p.depth <= n.depth LEFT JOIN kids ON kids.k = n.k GROUP BY p.k),
+        ends AS (SELECT p.k, string_agg(p.conv_id::VARCHAR, ',' ORDER BY p.conv_id) AS ids FROM paths p JOIN lengths l ON l.conv_id = p.conv_id AND l.depth = p.depth GROUP BY p.k)
+        SELECT n.conv_id, n.depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(kids.n_children, 0) AS n_children,
+               t.n_leaves, t.saved_tokens::BIGINT AS saved_tokens, sha256(coalesce(e.ids, '')) AS ends_sha256
+        FROM linked n JOIN totals t ON t.k = n.k LEFT JOIN nodes u ON u.k = n.up LEFT JOIN kids ON kids.k = n.k LEFT JOIN ends e ON e.k = n.k""",
     "op11_web_archive": """
         WITH p AS (SELECT page_id, coalesce(html, '') AS h FROM pages),
         d AS (SELECT page_id, strlen(h) AS payload_bytes, h, sha1(h) AS x, min(page_id) OVER (PARTITION BY h) AS first FROM p)

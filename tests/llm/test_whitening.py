@@ -60,7 +60,7 @@ def test_few_dimensions_and_no_variance(spark):
     flat = [(i, [1.0, 2.0, 3.0]) for i in range(5)]
     assert whitening.whiten(frame(spark, flat)).count() == 0
     assert whitening.whiten(frame(spark, [(1, None)])).count() == whitening.whiten(frame(spark, [])).count() == 0
-    line = [(i, [i / 10, 0.5, -i / 10]) for i in range(40)]  # one direction only
+    line = [(i, [i / 8, 0.5, -i / 8]) for i in range(40)]  # one direction only
     got = whitening.whiten(frame(spark, line)).collect()
     assert {r.component for r in got} == {1} and got[0].explained == pytest.approx(1)
     mixed = some(40, 4, 3) + [(100 + i, [1.0] * 5) for i in range(7)]  # lengths of few vectors are left out

@@ -4,11 +4,18 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 from tablewright.operators import versioning
+from tablewright.runtime import ship_package
+from tablewright.sources import databases
+from tablewright.sources.databases import execute
 from tablewright.sources.staging import stored
 
 FETCH = BATCH = 50_000
@@ -25,6 +32,9 @@ class Database:
     quote: str = '"'
     more: dict = field(default_factory=dict)
     rename: str = "ALTER TABLE {old} RENAME TO {new}"
+    rename_index: str = "ALTER INDEX {old} RENAME TO {new}"
+    #: how the database divides whole numbers, rounding down
+    divide: str = "({a}) / {b}"
 
     def options(self) -> dict:
         own = {"url": self.url, "driver": self.driver, "user": self.user, "password": self.password}
@@ -133,6 +143,8 @@ class Load:
     end: str | None = None
     in_scope: str | None = None
     set_unmatched: dict[str, str] | None = None
+    #: the column of the rows' digests, for scd1 and scd2 loads that fetch only what differs
+    digest: str | None = None
 
     def __post_init__(self):
         if self.kind not in LOADS:
@@ -141,6 +153,8 @@ class Load:
             raise ValueError(f"{self.kind} needs keys")
         if self.kind == "scd2" and not (self.pk and self.end):
             raise ValueError("scd2 needs pk and end")
+        if self.digest and (self.kind not in ("scd1", "scd2") or self.in_scope or self.set_unmatched):
+            raise ValueError("digests are for scd1 and scd2 loads without a scope")
 
 
 def loaded(target: DataFrame | None, source: DataFrame, load: Load, as_of: Column | None = None) -> DataFrame:
@@ -155,42 +169,7 @@ def loaded(target: DataFrame | None, source: DataFrame, load: Load, as_of: Colum
 
 
 def table_exists(spark: SparkSession, db: Database, table: str) -> bool:
-    try:
-        query_schema(spark, db, f"SELECT * FROM {table} WHERE 1 = 0")
-    except Exception as failure:  # a driver's own error class, wrapped by Py4J
-        if "SQLSyntaxError" in str(failure) or "does not exist" in str(failure).lower() or "not found" in str(failure).lower():
-            return False
-        raise
-    return True
-
-
-def execute(spark: SparkSession, db: Database, statements: list[str | tuple]) -> list[int]:
-    """Run statements, each a text or (text, values for its question marks), in one transaction on the
-    driver; how many rows each changed. None of them holds if one fails."""
-    jvm = spark._jvm
-    login = jvm.java.util.Properties()
-    for key, value in (("user", db.user), ("password", db.password)):
-        if value is not None:
-            login.setProperty(key, value)
-    driver = jvm.java.lang.Thread.currentThread().getContextClassLoader().loadClass(db.driver)
-    connection = driver.getDeclaredConstructor(spark.sparkContext._gateway.new_array(jvm.java.lang.Class, 0)).newInstance(spark.sparkContext._gateway.new_array(jvm.java.lang.Object, 0)).connect(db.url, login)
-    try:
-        connection.setAutoCommit(False)
-        changed = []
-        for statement in statements:
-            text, values = (statement, ()) if isinstance(statement, str) else statement
-            prepared = connection.prepareStatement(text)
-            for i, value in enumerate(values):
-                prepared.setObject(i + 1, value)
-            changed.append(prepared.executeUpdate())
-            prepared.close()
-        connection.commit()
-        return changed
-    except Exception:
-        connection.rollback()
-        raise
-    finally:
-        connection.close()
+    return databases.exists(spark, db, table)
 
 
 def drop_table(spark: SparkSession, db: Database, table: str) -> None:
@@ -198,14 +177,113 @@ def drop_table(spark: SparkSession, db: Database, table: str) -> None:
         execute(spark, db, [f"DROP TABLE {table}"])
 
 
+def beside(db: Database, table: str, suffix: str) -> str:
+    """The name of a table that a load keeps beside ``table``."""
+    return f"{table[:-1]}{suffix}{db.quote}" if table.endswith(db.quote) else f"{table}{suffix}"
+
+
+# writes that a task may repeat
+MARKS = ("tw_part", "tw_attempt", "tw_rows")
+
+
+def stage_once(df: DataFrame, db: Database, stage: str, partitions: int = 8) -> None:
+    """A new table ``stage`` with each row of ``df`` once, however often a task ran.
+
+    Spark's writer adds a task's rows again when the task is repeated. So each attempt writes under its
+    own number, and behind its rows one mark with their count; of the attempts of a task that are
+    whole, one stays. ``df`` is stored first, so that all attempts write the same rows. Columns have
+    the dialect's types and may be null.
+    """
+    spark = df.sparkSession
+    ship_package(spark)
+    rows = stored(df, "jdbc-stage").coalesce(partitions)
+    tasks, schema = rows.rdd.getNumPartitions(), T.StructType([*(T.StructField(f.name, f.dataType) for f in df.schema), *(T.StructField(m, T.LongType()) for m in MARKS)])
+    drop_table(spark, db, stage)
+    execute(spark, db, [databases.create_statement(spark, db, None, stage, schema)])
+    marked = rows.mapInArrow(_marked(to_arrow_schema(df.schema)), schema)
+    marked.write.format("jdbc").options(**db.options(), dbtable=stage, batchsize=str(BATCH)).mode("append").save()
+    part, attempt, counted = map(db.name, MARKS)
+    query = f"SELECT {part}, {attempt}, COUNT(*) AS n_all, MAX({counted}) AS n_said FROM {stage} GROUP BY {part}, {attempt}"
+    won: dict[int, int] = {}
+    for r in query_rows(spark, db, query):  # a row for each attempt
+        if r[3] is not None and r[2] == r[3] + 1:
+            won[r[0]] = min(r[1], won.get(r[0], r[1]))
+    if len(won) < tasks:
+        raise RuntimeError(f"{tasks - len(won)} of {tasks} tasks left no whole attempt in {stage}")
+    kept = " OR ".join(f"({part} = {p} AND {attempt} = {a})" for p, a in sorted(won.items())) or "1 = 0"
+    execute(spark, db, [f"DELETE FROM {stage} WHERE {counted} IS NOT NULL OR NOT ({kept})"])
+
+
+def _marked(kinds: pa.Schema):
+    """For mapInArrow: rows with the numbers of their task and attempt, and the mark behind them."""
+
+    def mark(records):
+        context = TaskContext.get()
+        part, attempt, n = context.partitionId(), context.taskAttemptId(), 0
+        for record in records:
+            n += record.num_rows
+            marks = (np.full(record.num_rows, part), np.full(record.num_rows, attempt), [None] * record.num_rows)
+            yield pa.RecordBatch.from_arrays([*record.columns, *(pa.array(m, pa.int64()) for m in marks)], names=[*kinds.names, *MARKS])
+        yield pa.RecordBatch.from_arrays([*(pa.nulls(1, f.type) for f in kinds), *(pa.array([m], pa.int64()) for m in (part, attempt, n))], names=[*kinds.names, *MARKS])
+
+    return mark
+
+
+def query_rows(spark: SparkSession, db: Database, query: str) -> list:
+    """The few rows of a query."""
+    return read_query(spark, db, query).collect()
+
+
+def append_once(df: DataFrame, db: Database, table: str, partitions: int = 8, replace: bool = False) -> int:
+    """Rows into a table in one transaction, each once; with ``replace`` in place of all its rows.
+    A missing table is created. The number of rows."""
+    spark = df.sparkSession
+    if not table_exists(spark, db, table):
+        write_table(df.limit(0), db, table, partitions=1)
+    stage = beside(db, table, "_tw_stage")
+    stage_once(df, db, stage, partitions)
+    before = [f"DELETE FROM {table}"] if replace else []
+    return execute(spark, db, [*before, insert_statement(df, db, table, stage), f"DROP TABLE {stage}"])[len(before)]
+
+
+def insert_statement(df: DataFrame, db: Database, table: str, stage: str) -> str:
+    """From a stage with the columns of ``df`` into a table, in the table's types."""
+    like = databases.structure(df.sparkSession, db, table)
+    databases.require_room(df.sparkSession, db, like, df.schema, stage)
+    values = databases.as_declared(df.sparkSession, db, like, df.schema)
+    return f"INSERT INTO {table} ({', '.join(map(db.name, values))}) SELECT {', '.join(values.values())} FROM {stage}"
+
+
 def swap_table(df: DataFrame, db: Database, table: str, partitions: int = 8) -> None:
     """Write ``df`` beside ``table`` and take its place in one transaction: readers find the old rows
-    or the new ones. Leftovers of a load that died are dropped first."""
-    spark, new, old = df.sparkSession, f"{table}_tw_new", f"{table}_tw_old"
-    write_table(df, db, new, "overwrite", partitions)
-    drop_table(spark, db, old)
-    there = table_exists(spark, db, table)
-    execute(spark, db, ([db.rename.format(old=table, new=old)] if there else []) + [db.rename.format(old=new, new=table)] + ([f"DROP TABLE {old}"] if there else []))
+    or the new ones. Leftovers of a load that died are dropped first.
+
+    The new table has the old one's types, defaults, primary key, references and indexes, as far as
+    their columns are still there; they hold before it takes the name. A table that others refer to
+    can't be swapped.
+    """
+    spark, new, old = df.sparkSession, beside(db, table, "_tw_new"), beside(db, table, "_tw_old")
+    for left in (new, old):
+        drop_table(spark, db, left)
+    if not table_exists(spark, db, table):
+        append_once(df, db, new, partitions)
+        execute(spark, db, [db.rename.format(old=new, new=table)])
+        return
+    like = databases.structure(spark, db, table)
+    if like.referred_by:
+        raise ValueError(f"{', '.join(like.referred_by)} refer to {table}: load it in place")
+    indexes = databases.kept_indexes(like, df.columns)
+    execute(spark, db, [databases.create_statement(spark, db, like, new, df.schema)])
+    append_once(df, db, new, partitions)
+    execute(spark, db, databases.index_statements(db, indexes, new, "_tw_new"))
+    execute(spark, db, [db.rename.format(old=table, new=old), db.rename.format(old=new, new=table), f"DROP TABLE {old}", *(db.rename_index.format(old=db.name(f"{i.name}_tw_new"), new=db.name(i.name)) for i in indexes)])
+
+
+def same_keys(staged: DataFrame, db: Database, table: str, stage: str) -> str:
+    """A condition: rows of the stage and the table agree in all columns of ``staged``, nulls too."""
+    like = databases.structure(staged.sparkSession, db, table)
+    values = databases.as_declared(staged.sparkSession, db, like, staged.schema, stage)
+    return " AND ".join(f"({v} = {table}.{db.name(k)} OR {v} IS NULL AND {table}.{db.name(k)} IS NULL)" for k, v in values.items())
 
 
 def merge_table(target: DataFrame, result: DataFrame, db: Database, table: str, keys: list[str]) -> list[int]:
@@ -214,29 +292,45 @@ def merge_table(target: DataFrame, result: DataFrame, db: Database, table: str,
     They are staged beside the table, and one transaction deletes the keys of rows that are gone or
     changed and inserts the new ones, so a failure leaves the table as it was.
     """
-    spark, gone, new = result.sparkSession, f"{table}_tw_gone", f"{table}_tw_new"
-    write_table(target.exceptAll(result).select(*(F.col(f"`{k}`") for k in keys)).distinct(), db, gone, "overwrite")
-    write_table(result.exceptAll(target), db, new, "overwrite")
-    same = " AND ".join(f"({gone}.{k} = {table}.{k} OR {gone}.{k} IS NULL AND {table}.{k} IS NULL)" for k in map(db.name, keys))
-    columns = ", ".join(map(db.name, result.columns))
+    spark, gone, new = result.sparkSession, beside(db, table, "_tw_gone"), beside(db, table, "_tw_new")
+    lost = target.exceptAll(result).select(*(F.col(f"`{k}`") for k in keys)).distinct()
+    stage_once(lost, db, gone)
+    stage_once(result.exceptAll(target), db, new)
+    same = same_keys(lost, db, table, gone)
     return execute(spark, db, [
         f"DELETE FROM {table} WHERE EXISTS (SELECT 1 FROM {gone} WHERE {same})",
-        f"INSERT INTO {table} ({columns}) SELECT {columns} FROM {new}",
+        insert_statement(result, db, table, new),
         f"DROP TABLE {gone}",
         f"DROP TABLE {new}",
     ])[:2]
 
 
+def read_whole(spark: SparkSession, db: Database, table: str, column: str, partitions: int = 8) -> DataFrame:
+    """A table in ranges of ``column``, where reads can be split on it."""
+    query = f"SELECT * FROM {table}"
+    try:
+        key_kind(query_schema(spark, db, query), column)
+    except ValueError:
+        return read_query(spark, db, query)
+    return read_query(spark, db, query, partitions, column)
+
+
 def load_table(df: DataFrame, db: Database, table: str, load: Load, as_of: Column | None = None) -> None:
-    """Load candidates into a database table; the result is staged first, as it may read the table."""
+    """Load candidates into a database table; the result is staged first, as it may read the table.
+    With a digest column, see reconcile.load()."""
     spark = df.sparkSession
+    if load.digest:
+        from tablewright.sources import reconcile
+
+        reconcile.load(df, db, table, load, as_of)
+        return
     there = load.kind != "megafull" and table_exists(spark, db, table)
     merges = there and load.kind in ("scd1", "scd2")
-    target = stored(read_query(spark, db, f"SELECT * FROM {table}"), "jdbc-target") if merges else None
+    target = stored(read_whole(spark, db, table, load.keys[0]), "jdbc-target") if merges else None
     result = stored(loaded(target, df, load, as_of), "jdbc-load")
     if merges and set(result.columns) == set(target.columns):
         merge_table(target.select(*result.columns), result, db, table, [load.pk] if load.kind == "scd2" else list(load.keys))
     elif there:
-        write_table(result, db, table, "overwrite", truncate=True)
+        append_once(result, db, table, replace=True)
     else:
         swap_table(result, db, table)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.operators import profile, quality, schema
-from tablewright.sources import csvio, jdbc, tables
+from tablewright.sources import csvio, databases, jdbc, reconcile, tables
 from tablewright.sources.staging import shared_dir, swap_in
 from tablewright.streaming import sync, upsert
 from tablewright.suite import query, table
@@ -174,7 +174,7 @@ def text_min_max(spark, sf):
 
 
 def derby(name: str) -> jdbc.Database:
-    return jdbc.Database(f"jdbc:derby:memory:{name}_{uuid.uuid4().hex[:12]};create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver", rename="RENAME TABLE {old} TO {new}")
+    return jdbc.Database(f"jdbc:derby:memory:{name}_{uuid.uuid4().hex[:12]};create=true", "org.apache.derby.iapi.jdbc.AutoloadedDriver", rename="RENAME TABLE {old} TO {new}", rename_index="RENAME INDEX {old} TO {new}")
 
 
 @query("SELECT o_orderkey, o_custkey FROM orders")
@@ -299,7 +299,7 @@ def jdbc_scd2_load(spark, sf):
 def sync_database_to_files(spark, sf):
     path, db = folder(spark, "sync"), derby("sync")
     jdbc.write_table(table(spark, sf, "customer").select("c_custkey", "c_nationkey"), db, "customer", partitions=2)
-    source = sync.Place("jdbc", database={"url": db.url, "driver": db.driver, "rename": db.rename}, partitions=3)
+    source = sync.Place("jdbc", database={"url": db.url, "driver": db.driver, "rename": db.rename, "rename_index": db.rename_index}, partitions=3)
     job = sync.Job(source, sync.Place("parquet", f"{path}/out", "scd1"), (sync.TableJob("customer", "customer", ("c_custkey",), hash=False),))
     sync.sync(spark, job)
     return tables.read(spark, f"{path}/out", "customer")
@@ -309,7 +309,7 @@ def sync_database_to_files(spark, sf):
 def sync_files_to_database(spark, sf):
     path, db = folder(spark, "sync"), derby("sync")
     swap_in(table(spark, sf, "customer").select("c_custkey", "c_nationkey"), f"{path}/in/customer")
-    target = sync.Place("jdbc", load="full", database={"url": db.url, "driver": db.driver, "rename": db.rename})
+    target = sync.Place("jdbc", load="full", database={"url": db.url, "driver": db.driver, "rename": db.rename, "rename_index": db.rename_index})
     sync.sync(spark, sync.Job(sync.Place("parquet", f"{path}/in"), target, (sync.TableJob("customer", "customer", hash=False),)))
     return jdbc.read_query(spark, db, "SELECT * FROM customer")
 
@@ -339,7 +339,7 @@ def sync_database_increment(spark, sf):
     old, new = _split_events(spark, sf)
     jdbc.write_table(new, db, "events", partitions=2)
     jdbc.load_table(old.where("ts < TIMESTAMP_NTZ '2024-01-15 00:00:00'"), db, "done", jdbc.Load("megafull"))
-    place = sync.Place("jdbc", load="scd1", database={"url": db.url, "driver": db.driver, "rename": db.rename}, partitions=3)
+    place = sync.Place("jdbc", load="scd1", database={"url": db.url, "driver": db.driver, "rename": db.rename, "rename_index": db.rename_index}, partitions=3)
     sync.sync(spark, sync.Job(place, place, (sync.TableJob("events", "done", ("event_id",), date_fields=("ts",), hash=False),)))
     return jdbc.read_query(spark, db, "SELECT * FROM done", 3, "event_id").select("event_id", "value")
 
@@ -371,3 +371,58 @@ def jdbc_schema_probe(spark, sf):
     jdbc.write_table(table(spark, sf, "customer").select("c_custkey", "c_acctbal"), db, "customer", partitions=1)
     probed = jdbc.query_schema(spark, db, "SELECT * FROM customer")
     return spark.createDataFrame([(f.name, f.dataType.simpleString()) for f in probed], "column_name string, column_type string")
+
+
+# databases as catalogs
+@query("""SELECT tab AS lib_table, c AS lib_column, n AS count_table, n - v AS count_null, 100.0 * (n - v) / n AS null_ratio, d AS count_distinct, k AS primarykey FROM (
+    SELECT 'customer' AS tab, 'c_custkey' AS c, count(*) AS n, count(c_custkey) AS v, count(DISTINCT c_custkey) AS d, true AS k FROM customer
+    UNION ALL SELECT 'customer', 'c_name', count(*), count(x), count(DISTINCT x), false FROM (SELECT CASE WHEN c_custkey % 3 <> 0 THEN c_name END AS x FROM customer)
+    UNION ALL SELECT 'customer', 'c_acctbal', count(*), count(c_acctbal), count(DISTINCT c_acctbal), false FROM customer
+    UNION ALL SELECT 'orders', 'o_orderkey', count(*), count(o_orderkey), count(DISTINCT o_orderkey), true FROM orders
+    UNION ALL SELECT 'orders', 'o_custkey', count(*), count(o_custkey), count(DISTINCT o_custkey), false FROM orders
+    UNION ALL SELECT 'orders', 'o_orderstatus', count(*), count(o_orderstatus), count(DISTINCT o_orderstatus), false FROM orders)""")
+def database_catalog(spark, sf):
+    """Tables made through the catalog; their columns with rows, nulls and distinct values, counted there."""
+    db = derby("catalog")
+    c = table(spark, sf, "customer").select("c_custkey", F.when(F.col("c_custkey") % 3 != 0, F.col("c_name")).alias("c_name"), "c_acctbal")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    for name, df in (("customer", c), ("orders", o)):
+        fields = [T.StructField(f.name, T.VarcharType(40) if f.dataType == T.StringType() else f.dataType) for f in df.schema]
+        databases.create_table(spark, db, f'"{name}"', T.StructType(fields), [df.columns[0]])
+        jdbc.append_once(df, db, f'"{name}"', partitions=2)
+    found = databases.catalog_of(spark, db, "shop")
+    return found.select("lib_table", "lib_column", "count_table", "count_null", "null_ratio", "count_distinct", "primarykey")
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 1000 < 10 THEN o_custkey + 1 ELSE o_custkey END AS o_custkey FROM orders")
+def jdbc_digest_load(spark, sf):
+    """Type 1 by digests of key ranges: only ranges that differ are fetched."""
+    db, load = derby("digest"), jdbc.Load("scd1", ("o_orderkey",), digest="digest")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    reconcile.load(o, db, "orders", load)
+    reconcile.load(o.withColumn("o_custkey", F.when(F.col("o_orderkey") % 1000 < 10, F.col("o_custkey") + 1).otherwise(F.col("o_custkey"))), db, "orders", load)
+    return jdbc.read_query(spark, db, "SELECT * FROM orders", 3, "o_orderkey").select("o_orderkey", "o_custkey")
+
+
+@query("SELECT c_custkey AS k, c_nationkey AS v, CASE WHEN c_custkey % 50 = 0 THEN TIMESTAMP '2020-01-01' END AS e FROM customer UNION ALL SELECT c_custkey, c_nationkey + 100, NULL FROM customer WHERE c_custkey % 50 = 0")
+def jdbc_digest_history(spark, sf):
+    """Type 2 by digests: open rows that differ are closed and followed by new ones."""
+    db, load = derby("history"), jdbc.Load("scd2", ("k",), "id", "e", digest="digest")
+    c = table(spark, sf, "customer").selectExpr("2 * c_custkey AS id", "c_custkey AS k", "c_nationkey AS v")
+    at = F.lit("2020-01-01").cast("timestamp")
+    reconcile.load(c, db, "customer", load, at)
+    reconcile.load(c.selectExpr("id + 1 AS id", "k", "CASE WHEN k % 50 = 0 THEN v + 100 ELSE v END AS v"), db, "customer", load, at)
+    return jdbc.read_query(spark, db, "SELECT * FROM customer").select("k", "v", F.col("e").cast("timestamp_ntz").alias("e"))
+
+
+@query("SELECT o_orderkey, o_custkey + 1 AS o_custkey, true AS has_key, 1 AS n_indexes FROM orders")
+def jdbc_swap_with_structure(spark, sf):
+    """A swapped table keeps its primary key and index."""
+    db = derby("structure")
+    o = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
+    databases.create_table(spark, db, "orders", T.StructType([T.StructField("o_orderkey", T.LongType(), False), T.StructField("o_custkey", T.LongType())]), ["o_orderkey"])
+    jdbc.execute(spark, db, ['CREATE INDEX by_customer ON orders ("o_custkey")'])
+    jdbc.append_once(o, db, "orders", partitions=2)
+    jdbc.swap_table(o.withColumn("o_custkey", F.col("o_custkey") + 1), db, "orders", partitions=2)
+    kept = databases.structure(spark, db, "orders")
+    return jdbc.read_query(spark, db, "SELECT * FROM orders", 3, "o_orderkey").withColumns({"has_key": F.lit(kept.primary_key == ("o_orderkey",)), "n_indexes": F.lit(len(kept.indexes))})

@@ -143,13 +143,15 @@ def empty(spark: SparkSession, schema: T.StructType) -> DataFrame:
     return spark.createDataFrame([], schema)
 
 
-def pivot(df: DataFrame, by: list[str], key: str, value, levels: list | None = None) -> DataFrame:
+def pivot(df: DataFrame, by: list[str], key: str, value, levels: list | None = None, most: int = 10_000) -> DataFrame:
     """A column per level of ``key`` with the aggregate ``value``; levels that a group lacks are null.
 
-    Without ``levels`` the distinct non-null keys are looked up first: meant for few levels.
+    Without ``levels`` the distinct non-null keys are looked up first; more than ``most`` are an error.
     """
     if levels is None:
-        levels = [r[0] for r in df.where(col(key).isNotNull()).select(col(key).cast("string").alias("k")).distinct().orderBy("k").collect()]
+        levels = sorted(r[0] for r in df.where(col(key).isNotNull()).select(col(key).cast("string").alias("k")).distinct().limit(most + 1).collect())
+        if len(levels) > most:
+            raise SchemaError(f"column {key} has more than {most} levels")
     return df.groupBy(*(col(c) for c in by)).pivot(key, levels).agg(value)
 
 
@@ -173,11 +175,16 @@ def with_sequence(df: DataFrame, name: str, start: int = 0, by: str | None = Non
 
 
 def remove_duplicates(df: DataFrame, *keys: str) -> tuple[DataFrame, DataFrame]:
-    """One row per key, the smallest in the order of all columns; and the rows removed."""
+    """One row per key, the smallest in the order of all columns; and the rows removed, each as often
+    as it was removed.
+
+    The kept rows are minima, partly taken before the shuffle, and the others are the rows less
+    those by multiplicity: equal rows are counted, so no task gets all the rows of a key.
+    """
     keys = keys or tuple(df.columns)
-    order = [col(c) for c in df.columns]
-    numbered = df.withColumn("_nth", F.row_number().over(Window.partitionBy(*(col(k) for k in keys)).orderBy(*order)))
-    return numbered.where("_nth = 1").drop("_nth"), numbered.where("_nth > 1").drop("_nth")
+    least = df.groupBy(*(col(k).alias(f"_k{i}") for i, k in enumerate(keys))).agg(F.min(F.struct(*(col(c) for c in df.columns))).alias("_row"))
+    kept = least.select(*(F.col("_row").getField(c).alias(c) for c in df.columns))
+    return kept, df.exceptAll(kept)
 
 
 def union_missing(a: DataFrame, b: DataFrame) -> DataFrame:

@@ -2,7 +2,11 @@
 
 from __future__ import annotations
 
+import math
+import re
 from dataclasses import dataclass, field
+from datetime import date, datetime
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -124,6 +128,72 @@ def read_query(spark: SparkSession, db: Database, query: str, partitions: int =
     return spark.read.jdbc(db.url, f"({query}) q", predicates=predicates, properties=rest)
 
 
+@dataclass(frozen=True)
+class Null:
+    """A null of a database type, for bound()."""
+
+    type: str
+
+
+#: What a question mark is not a parameter in: texts, names, comments.
+_SPANS = r"""'(?:[^']|'')*'|"(?:[^"]|"")*"|--[^\n]*|/\*[\s\S]*?\*/"""
+
+
+def literal(spark: SparkSession, db: Database, value) -> str:
+    """A value as a literal of its type, in the dialect's notation."""
+    jvm = spark._jvm
+    dialect = jvm.org.apache.spark.sql.jdbc.JdbcDialects.get(db.url)
+    typed = lambda text, kind: f"CAST({text} AS {databases.spark_type_in(spark, db, kind)})"
+    if value is None:
+        return "NULL"
+    if isinstance(value, Null):
+        return f"CAST(NULL AS {value.type})"
+    if isinstance(value, bool):
+        return "TRUE" if value else "FALSE"
+    if isinstance(value, int):
+        return str(value)
+    if isinstance(value, float):
+        if not math.isfinite(value):
+            raise ValueError(f"{value} has no literal")
+        return f"{value!r}" if "e" in repr(value) else f"{value!r}e0"
+    if isinstance(value, Decimal):
+        digits = value.as_tuple()
+        scale = max(0, -digits.exponent)
+        return typed(f"{value:f}", T.DecimalType(max(len(digits.digits) + max(0, digits.exponent), scale, 1), scale))
+    if isinstance(value, datetime):
+        return typed(dialect.compileValue(value.isoformat(" ", "microseconds" if value.microsecond else "seconds")), T.TimestampNTZType())
+    if isinstance(value, date):
+        return typed(dialect.compileValue(value.isoformat()), T.DateType())
+    if isinstance(value, (bytes, bytearray)):
+        return f"X'{bytes(value).hex()}'"
+    if isinstance(value, str):
+        return dialect.compileValue(value)
+    raise TypeError(f"a parameter can't be a {type(value).__name__}")
+
+
+def bound(spark: SparkSession, db: Database, query: str, params: list) -> str:
+    """The query with a literal for each of its question marks."""
+    left = list(params)
+
+    def put(found: re.Match) -> str:
+        if found[0] != "?":
+            return found[0]
+        if not left:
+            raise ValueError(f"more question marks than the {len(params)} parameters")
+        return literal(spark, db, left.pop(0))
+
+    out = re.sub(_SPANS + r"|\?", put, query)
+    if left:
+        raise ValueError(f"{len(left)} parameters without a question mark")
+    return out
+
+
+def read_bound(spark: SparkSession, db: Database, query: str, params: list, partitions: int = 1, column: str | None = None, split_factor: int = 1) -> DataFrame:
+    """read_query() with parameters of any SQL type: None, Null, bool, int, float, Decimal, str, bytes, date,
+    datetime. A query split into several reads has them in each."""
+    return read_query(spark, db, bound(spark, db, query, params), partitions, column, split_factor)
+
+
 def write_table(df: DataFrame, db: Database, table: str, mode: str = "append", partitions: int = 8, truncate: bool = False) -> None:
     """At most ``partitions`` connections write batches of rows."""
     df.coalesce(partitions).write.format("jdbc").options(**db.options(), dbtable=table, batchsize=str(BATCH), truncate=str(truncate).lower()).mode(mode).save()

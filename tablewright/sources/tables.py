@@ -2,16 +2,18 @@
 
 from __future__ import annotations
 
+import json
 import logging
 import re
 from urllib.parse import unquote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.operators import quality
-from tablewright.sources.staging import current, path_exists, swap_in
+from tablewright.sources import buckets
+from tablewright.sources.staging import current, file_system, path_exists, swap_in
 
 log = logging.getLogger(__name__)
 
@@ -47,7 +49,8 @@ def read(spark: SparkSession, where: str, table: str, fmt: str = "parquet") -> D
     """A catalog table if ``where`` is a database, else the files at ``where/table``."""
     if database_exists(spark, where):
         return spark.table(qualified(where, table))
-    return spark.read.format(fmt).load(current(spark, f"{where}/{table}"))
+    df = spark.read.format(fmt).load(current(spark, f"{where}/{table}"))
+    return buckets.read(spark, f"{where}/{table}", fmt) if buckets.buckets_of(df) else df
 
 
 def dealt(df: DataFrame, partitions: int | None, keys: list[str] | None = None) -> DataFrame:
@@ -190,3 +193,77 @@ def compact_all(spark: SparkSession, registry: DataFrame, files: int) -> list[st
         if compact(spark, r.w, r.lib_table, files):
             done.append(r.lib_table)
     return done
+
+
+# compaction by size
+def file_sizes(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """folder, file and bytes of a table's data files: listed, none is opened."""
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", f"*.{fmt}").load(path).select("path", "length")
+    return files.select(F.regexp_replace("path", "/[^/]*$", "").alias("folder"), F.regexp_extract("path", "[^/]*$", 0).alias("file"), F.col("length").alias("bytes"))
+
+
+def compaction_plan(sizes: DataFrame, target_bytes: int, small: float = 0.5) -> DataFrame:
+    """folder, bin and files: which small files of a folder to rewrite as one file of about the target
+    size. Files of at least ``small`` times the target stay as they are, and so does a small file with
+    none to join. Small files fill bins by a running sum of their sizes."""
+    few = sizes.where(F.col("bytes") < small * target_bytes)
+    before = Window.partitionBy("folder").orderBy("bytes", "file").rowsBetween(Window.unboundedPreceding, -1)
+    bins = few.withColumn("bin", F.floor(F.coalesce(F.sum("bytes").over(before), F.lit(0)) / F.lit(target_bytes)).cast("int"))
+    return bins.groupBy("folder", "bin").agg(F.collect_list("file").alias("files"), F.sum("bytes").alias("bytes")).where(F.size("files") > 1)
+
+
+def compact_by_size(spark: SparkSession, where: str, table: str, target_bytes: int = 128 << 20, small: float = 0.5, fmt: str = "parquet") -> dict[str, int]:
+    """Rewrite the small files of a path table to files of about ``target_bytes``; large files keep
+    their names and are not read. How many files were rewritten, and to how many.
+
+    All new files are written first, out of readers' sight, then a note of what replaces what; only then
+    old files go and new ones take their place. A job that dies is finished by the next one, by
+    the note. Between the first and the last of these renames, readers should wait: files have no
+    transactions.
+    """
+    path = f"{where}/{table}"
+    if not path_exists(spark, path):
+        log.warning("%s in %s does not exist and is not compacted", table, where)
+        return {"rewritten": 0, "written": 0}
+    finish_compaction(spark, path)
+    plan = compaction_plan(file_sizes(spark, path, fmt), target_bytes, small).orderBy("folder", "bin").toLocalIterator()
+    fs, root = file_system(spark, path)
+    base = root.toUri().getPath().rstrip("/")
+    aside, moves = f"{path}/{COMPACTION}", []
+    for i, r in enumerate(plan):  # a job for each new file
+        old = [f"{r.folder}/{f}" for f in r.files]
+        spark.read.format(fmt).load([unquote_path(o) for o in old]).coalesce(1).write.format(fmt).save(f"{aside}/{i}")
+        made = [s.getPath().toString() for s in fs.listStatus(file_system(spark, f"{aside}/{i}")[1]) if s.getPath().getName().startswith("part-")]
+        moves.append({"old": [unquote_path(o) for o in old], "new": made, "folder": unquote_path(r.folder)})
+    if moves:
+        spark.createDataFrame([(json.dumps(m),) for m in moves], "value string").coalesce(1).write.text(f"{aside}/note")
+    finish_compaction(spark, path)
+    log.info("compacted %s: %d bins", base, len(moves))
+    return {"rewritten": sum(len(m["old"]) for m in moves), "written": sum(len(m["new"]) for m in moves)}
+
+
+#: Where a compaction keeps its files; readers pass over names that begin with an underscore.
+COMPACTION = "_tw_compaction"
+
+
+def unquote_path(uri: str) -> str:
+    """A path as it is stored, from the URI that a listing gives."""
+    return unquote(uri)
+
+
+def finish_compaction(spark: SparkSession, path: str) -> None:
+    """For the one writer: carry out what the note of a compaction says, or undo one without a note."""
+    aside = f"{path}/{COMPACTION}"
+    fs, folder = file_system(spark, aside)
+    if not fs.exists(folder):
+        return
+    if path_exists(spark, f"{aside}/note/_SUCCESS"):
+        for line in spark.read.text(f"{aside}/note").toLocalIterator():
+            move = json.loads(line.value)
+            for old in move["old"]:
+                fs.delete(file_system(spark, old)[1], False)
+            for new in move["new"]:
+                _, source = file_system(spark, new)
+                if fs.exists(source):
+                    fs.rename(source, file_system(spark, f"{move['folder']}/{source.getName()}")[1])
+    fs.delete(folder, True)

@@ -7,9 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tablewright.operators.schema import col
-from tablewright.operators.versioning import scd1
-from tablewright.sources import tables
-from tablewright.sources.staging import swap_in
+from tablewright.sources.buckets import merge_by_bucket
 
 
 def latest_per_key(df: DataFrame, keys: list[str], order: str) -> DataFrame:
@@ -18,16 +16,15 @@ def latest_per_key(df: DataFrame, keys: list[str], order: str) -> DataFrame:
     return df.withColumn("_nth", F.row_number().over(by)).where("_nth = 1").drop("_nth")
 
 
-def upsert_stream(stream: DataFrame, where: str, table: str, keys: list[str], order: str, checkpoint: str, **trigger) -> StreamingQuery:
-    """Merge every micro-batch into the files ``where/table`` by type 1.
+def upsert_stream(stream: DataFrame, where: str, table: str, keys: list[str], order: str, checkpoint: str, buckets: int = 64, **trigger) -> StreamingQuery:
+    """Merge every micro-batch into the files ``where/table`` by type 1, in ``buckets`` by key of which
+    only those that a batch touches are read and written.
 
     A batch that runs again after a failure gives the same table, as the merge sets values and adds
-    none; the swap leaves the old or the new table, never a part.
+    none; a reader finds the old buckets or the new ones, never a part.
     """
 
     def apply(batch: DataFrame, _: int) -> None:
-        spark = batch.sparkSession
-        old = tables.read(spark, where, table) if tables.exists(spark, where, table) else None
-        swap_in(scd1(old, latest_per_key(batch, keys, order), keys, check_keys=False) if old is not None else latest_per_key(batch, keys, order), f"{where}/{table}")
+        merge_by_bucket(latest_per_key(batch, keys, order), f"{where}/{table}", keys, buckets, check_keys=False)
 
     return stream.writeStream.foreachBatch(apply).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()

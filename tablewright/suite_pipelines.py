@@ -6,12 +6,15 @@ Each derives what it writes from the benchmark tables and returns what is read b
 from __future__ import annotations
 
 import uuid
+from datetime import date, datetime
+from decimal import Decimal
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tablewright.functions import scalars
 from tablewright.operators import profile, quality, schema
-from tablewright.sources import csvio, databases, jdbc, reconcile, tables
+from tablewright.sources import buckets, csvio, databases, jdbc, reconcile, tables
 from tablewright.sources.staging import shared_dir, swap_in
 from tablewright.streaming import sync, upsert
 from tablewright.suite import query, table
@@ -239,7 +242,7 @@ def sync_scd1(spark, sf):
     swap_in(new, f"{path}/in/events")
     sync.sync(spark, f"""
 source: {{format: parquet, path: "{path}/in"}}
-target: {{format: parquet, path: "{path}/out", load: scd1}}
+target: {{format: parquet, path: "{path}/out", load: scd1, buckets: 16}}
 tables:
   - {{source_table: events, target_table: events, keys: [event_id], date_fields: [ts], hash: false}}
   - {{source_table: absent, target_table: absent, active: false}}
@@ -426,3 +429,55 @@ def jdbc_swap_with_structure(spark, sf):
     jdbc.swap_table(o.withColumn("o_custkey", F.col("o_custkey") + 1), db, "orders", partitions=2)
     kept = databases.structure(spark, db, "orders")
     return jdbc.read_query(spark, db, "SELECT * FROM orders", 3, "o_orderkey").withColumns({"has_key": F.lit(kept.primary_key == ("o_orderkey",)), "n_indexes": F.lit(len(kept.indexes))})
+
+
+@query("""SELECT o_orderkey, 'it''s "odd" ?; -- x' AS note, CAST(NULL AS INTEGER) AS nothing FROM orders
+    WHERE o_orderdate >= TIMESTAMP '1994-03-01 00:00:00' AND CAST(o_orderdate AS DATE) < DATE '1997-05-06' AND o_totalprice > 1000.25 AND o_orderstatus <> 'it''s'""")
+def database_parametrised_query(spark, sf):
+    """Typed parameters in a split read of a database."""
+    db = derby("bound")
+    o = table(spark, sf, "orders").select("o_orderkey", F.col("o_orderdate").cast("timestamp").alias("o_orderdate"), F.col("o_totalprice").cast("decimal(12,2)").alias("o_totalprice"), "o_orderstatus")
+    fields = [T.StructField(f.name, T.VarcharType(8) if f.name == "o_orderstatus" else f.dataType) for f in o.schema]
+    databases.create_table(spark, db, "orders", T.StructType(fields))
+    jdbc.append_once(o, db, "orders", partitions=2)
+    text = """SELECT "o_orderkey", ? AS "note", ? AS "nothing" FROM orders -- a question?
+        WHERE "o_orderdate" >= ? AND DATE("o_orderdate") < ? AND "o_totalprice" > ? AND "o_orderstatus" <> ?"""
+    params = ["it's \"odd\" ?; -- x", jdbc.Null("INTEGER"), datetime(1994, 3, 1), date(1997, 5, 6), Decimal("1000.25"), "it's"]
+    return jdbc.read_bound(spark, db, text, params, 3, "o_orderkey")
+
+
+@query("""SELECT doc_id, len(w) AS n_words, md5(coalesce(array_to_string(list_transform(w, lambda x: coalesce(x, '<null>')), '|'), '')) AS digest, doc_id AS a, lang AS b
+    FROM (SELECT doc_id, lang, list_concat(list_transform(string_split(coalesce(text, ''), ' '), lambda x: CASE WHEN x <> 'null' THEN x END), ['a,b', 'c"d', '', 'null', '{e}', 'f\\g', NULL, ' h ']) AS w FROM documents)""")
+def array_text_quoted(spark, sf):
+    """Words with commas, quotes, braces, blanks and nulls, and structs, through a database and back."""
+    db = derby("nested")
+    odd = F.array(*map(F.lit, ["a,b", 'c"d', "", "null", "{e}", "f\\g", None, " h "]))
+    words = F.transform(F.split(F.coalesce("text", F.lit("")), " "), lambda x: F.when(x != "null", x))
+    d = table(spark, sf, "documents").select("doc_id", F.concat(words, odd).alias("w"), F.struct(F.col("doc_id").alias("a"), F.col("lang").alias("b")).alias("s"))
+    flat = scalars.to_flat_text(d)
+    jdbc.append_once(flat, db, "documents", partitions=4)
+    back = scalars.from_flat_text(jdbc.read_query(spark, db, "SELECT * FROM documents", 4, "doc_id"), d.schema)
+    joined = F.array_join(F.transform("w", lambda x: F.coalesce(x, F.lit("<null>"))), "|")
+    return back.select("doc_id", F.size("w").cast("long").alias("n_words"), F.md5(joined).alias("digest"), "s.a", "s.b")
+
+
+@query("SELECT o_orderkey, CASE WHEN o_orderkey % 100 < 2 THEN 'new' ELSE o_orderstatus END AS o_orderstatus FROM orders UNION ALL SELECT -o_orderkey, 'added' FROM orders WHERE o_orderkey % 100 = 1")
+def scd1_merge_bucketed(spark, sf):
+    """A type 1 merge that writes the touched buckets of the target only."""
+    path = f"{folder(spark, 'bucketed')}/orders"
+    o = table(spark, sf, "orders").select("o_orderkey", "o_orderstatus")
+    buckets.lay_out(o, path, ["o_orderkey"], 32)
+    changed = o.where("o_orderkey % 100 < 2").withColumn("o_orderstatus", F.lit("new"))
+    added = o.where("o_orderkey % 100 = 1").select((-F.col("o_orderkey")).alias("o_orderkey"), F.lit("added").alias("o_orderstatus"))
+    buckets.merge_by_bucket(changed.union(added), path, ["o_orderkey"])
+    return buckets.read(spark, path)
+
+
+@query("SELECT o_orderstatus, count(*) AS n_rows, 1 AS n_small FROM orders GROUP BY o_orderstatus")
+def compaction_by_size(spark, sf):
+    """Small files of each partition become one; see the test for large ones, which stay."""
+    path = folder(spark, "compact")
+    table(spark, sf, "orders").select("o_orderkey", "o_orderstatus").repartition(6).write.partitionBy("o_orderstatus").parquet(f"{path}/orders")
+    tables.compact_by_size(spark, path, "orders")
+    o = tables.read(spark, path, "orders")
+    return o.groupBy("o_orderstatus").agg(F.count("*").alias("n_rows"), F.count_distinct("_metadata.file_name").cast("int").alias("n_small"))

@@ -1,5 +1,7 @@
 import subprocess
 import sys
+from datetime import date, datetime
+from decimal import Decimal
 from pathlib import Path
 
 import pytest
@@ -7,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright import suite_pipelines
+from tablewright.functions import scalars
 from tablewright.operators import catalog
 from tablewright.sources import databases, jdbc, reconcile
 from tablewright.streaming import sync
@@ -258,3 +261,46 @@ def test_type_2_by_digests(spark):
     assert same(quick) == same(plain)
     with pytest.raises(ValueError):
         jdbc.Load("full", digest="d")
+
+
+def test_bound_parameters(spark, db):
+    spans = """SELECT '?' AS a, "?" -- ?
+    /* ? */ , ? AS b, ? AS c"""
+    assert jdbc.bound(spark, db, spans, ["x'?", 3]) == spans.replace(", ? AS b, ? AS c", ", 'x''?' AS b, 3 AS c")
+    for wrong in ([], [1, 2, 3]):
+        with pytest.raises(ValueError):
+            jdbc.bound(spark, db, "SELECT ?, ?", wrong)
+    with pytest.raises(ValueError):
+        jdbc.literal(spark, db, float("nan"))
+    with pytest.raises(TypeError):
+        jdbc.literal(spark, db, [1])
+    given = [True, -7, 1.5, 2e-9, Decimal("-12.340"), "é'", b"\x00\xff", date(2020, 2, 29), datetime(2020, 1, 2, 3, 4, 5, 678), jdbc.Null("DATE")]
+    query = "SELECT " + ", ".join(f"? AS v{i}" for i in range(len(given))) + " FROM sysibm.sysdummy1"
+    got = jdbc.read_bound(spark, db, query, given).first()
+    assert list(got[:7]) == given[:7] and got[7] == given[7] and got[8] == given[8] and got[9] is None
+
+
+def test_array_text_is_invertible(spark):
+    odd = ["a,b", 'c"d', "", "null", "NULL", "{e}", "f\\\\g", "\\\\", '\\"', None, " h ", "i\nj", "}", '""', "\\n", "plain word"]
+    flat = [odd, [], None, [None], [""], ["x" * 20_000 + '\\"' * 9_000]]
+    df = spark.createDataFrame([(i, v) for i, v in enumerate(flat)], "i int, v array<string>")
+    back = df.select("i", scalars.text_array(scalars.array_text(F.col("v")), "string").alias("v"))
+    assert {r.i: r.v for r in back.collect()} == dict(enumerate(flat))
+    kinds = "b array<binary>, n array<array<int>>, t array<array<string>>, d array<date>, m array<struct<x:int,y:string>>, deep array<array<array<int>>>, p map<string,int>"
+    rows_ = [([b"\x00\\", None, b""], [[1, None], [], None, None, [3]], [["a,}", None, "{"], ['"'], None], [date(2020, 1, 1), None], [(1, "q"), None], [[[1], []], []], {"k": 1}), ([], [], [[]], None, [], None, None), (None, [None, None], [None], [], None, [], {})]
+    nested = spark.createDataFrame(rows_, kinds)
+    flat_text = scalars.to_flat_text(nested)
+    assert {f.dataType.simpleString() for f in flat_text.schema} == {"string"}
+    assert flat_text.first().n == "{{1,null},{},null,null,{3}}"
+    assert scalars.from_flat_text(flat_text, nested.schema).collect() == nested.collect()
+    with pytest.raises(ValueError):
+        scalars.array_text(F.col("deep"), nested.schema["deep"].dataType)
+    foreign = spark.createDataFrame([(r'{ a , "b \" c" ,NULL,"NULL"}',)], "v string")
+    assert foreign.select(scalars.text_array(F.col("v"), "string")).first()[0] == ["a", 'b " c', None, "NULL"]
+
+
+def test_arrays_and_structs_through_a_database(spark, db):
+    df = spark.createDataFrame([(1, ["a,b", None], (1, "x"), [[1, 2], []]), (2, None, None, None)], "k long, w array<string>, s struct<a:int,b:string>, n array<array<int>>")
+    jdbc.append_once(scalars.to_flat_text(df), db, "nested")
+    back = scalars.from_flat_text(jdbc.read_query(spark, db, "SELECT * FROM nested"), df.schema)
+    assert sorted(back.collect()) == sorted(df.collect())

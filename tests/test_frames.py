@@ -6,6 +6,7 @@ from pyspark.sql import types as T
 
 from tablewright.functions import scalars
 from tablewright.operators import catalog, profile, quality, schema, versioning
+from tablewright.sources import jdbc
 
 from tests.conftest import rows
 
@@ -176,3 +177,32 @@ def test_catalog_strategies(spark):
     assert catalog.assemble(df, "own", "^x").column.count() == 0
     with pytest.raises(ValueError, match="edited"):
         catalog.override(df, df.select("lib_table", "lib_schema"), "lib_table", ["lib_column"])
+
+
+def test_removed_rows_by_multiplicity(spark):
+    many = spark.range(300).selectExpr("1 AS k", "id % 3 AS v", "CASE WHEN id % 2 = 0 THEN 'x' END AS `a b`").union(spark.createDataFrame([(2, 9, None), (None, 1, "q"), (None, 1, "q")], "k int, v long, s string"))
+    kept, gone = schema.remove_duplicates(many, "k")
+    assert rows(kept) == [(1, 0, None), (2, 9, None), (None, 1, "q")]
+    assert sorted(map(str, kept.union(gone).collect())) == sorted(map(str, many.collect())) and gone.count() == 300
+    plan = gone._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and "exchange range" not in plan.lower()
+    all_columns = schema.remove_duplicates(many)
+    assert all_columns[0].count() == 8 and all_columns[1].count() == 295
+
+
+def test_pivot_levels_are_bounded(spark):
+    df = spark.range(20).selectExpr("id % 2 AS g", "concat('k', id) AS k", "id AS v")
+    assert len(schema.pivot(df, ["g"], "k", F.max("v"), most=20).columns) == 21
+    with pytest.raises(schema.SchemaError, match="more than 19"):
+        schema.pivot(df, ["g"], "k", F.max("v"), most=19)
+
+
+def test_missing_fields_and_key_kinds():
+    have = T.StructType([T.StructField("a", T.LongType()), T.StructField("b", T.StringType())])
+    want = T.StructType([T.StructField("b", T.StringType()), T.StructField("c", T.IntegerType()), schema.optional("d", T.DateType(), None)])
+    assert schema.missing_fields(have, want).names == ["c", "d"] and schema.missing_fields(want, want).names == []
+    kinds = T.StructType([T.StructField(n, t) for n, t in (("s", T.StringType()), ("l", T.LongType()), ("i", T.IntegerType()), ("h", T.ShortType()), ("d", T.DecimalType(9, 0)), ("x", T.DoubleType()), ("t", T.TimestampType()))])
+    assert [jdbc.key_kind(kinds, c) for c in "slihd"] == ["string", "long", "integer", "integer", "long"]
+    for wrong in "xt":
+        with pytest.raises(ValueError, match="can't split a read"):
+            jdbc.key_kind(kinds, wrong)

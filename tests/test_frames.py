@@ -69,47 +69,51 @@ def test_flat_text(spark):
     assert hashes.select(scalars.row_digest(F.col("a"), F.col("b"))).distinct().count() == 2
 
 
+STOCK = "sku long, shelf long, units long"
+
+
 def test_scd1(spark):
-    old = spark.createDataFrame([(1, 2, 3), (4, 5, 6)], "id long, cd long, v long")
-    new = spark.createDataFrame([(1, 2, 3), (5, 5, 8)], "id long, cd long, v long")
-    assert rows(versioning.scd1(old, new, ["id"])) == [(1, 2, 3), (4, 5, 6), (5, 5, 8)]
-    assert rows(versioning.scd1(None, new, ["id"])) == [(1, 2, 3), (5, 5, 8)]
+    stock = spark.createDataFrame([(10, 1, 100), (20, 2, 200), (30, 3, None)], STOCK)
+    counted = spark.createDataFrame([(10, 1, 100), (30, 3, 35), (40, 4, 0)], STOCK)
+    assert rows(versioning.scd1(stock, counted, ["sku"])) == [(10, 1, 100), (20, 2, 200), (30, 3, 35), (40, 4, 0)]
+    assert rows(versioning.scd1(None, counted, ["sku"])) == rows(counted)
     with pytest.raises(versioning.DuplicateKeys):
-        versioning.scd1(old, new.union(new), ["id"])
-    nulls = spark.createDataFrame([(None, 1, 1)], "id long, cd long, v long")
-    assert versioning.scd1(nulls, nulls, ["id"]).count() == 2
-    assert versioning.scd1(nulls, nulls, ["id"], null_safe=True).count() == 1
-    gone = spark.createDataFrame([(1, None, 3)], "id long, cd long, v long")
-    assert rows(versioning.scd1(old, gone, ["id"])) == [(1, None, 3), (4, 5, 6)]
+        versioning.scd1(stock, counted.union(counted), ["sku"])
+    keyless = spark.createDataFrame([(None, 9, 9)], STOCK)
+    assert versioning.scd1(keyless, keyless, ["sku"]).count() == 2
+    assert versioning.scd1(keyless, keyless, ["sku"], null_safe=True).count() == 1
+    emptied = spark.createDataFrame([(20, None, 200)], STOCK)  # a null counts as a change
+    assert rows(versioning.scd1(stock, emptied, ["sku"]), "sku", "shelf") == [(10, 1), (20, None), (30, 3)]
 
 
 def test_scd1_soft_delete_and_scope(spark):
-    old = spark.createDataFrame([(1, "a", "bob", True), (3, "b", "bob", True)], "id long, key string, cd string, is_active boolean")
-    new = spark.createDataFrame([(1, "a", "jim")], "id long, key string, cd string")
-    out = versioning.scd1(old, new, ["key"], in_scope=F.col("key").isNotNull(), set_unmatched={"is_active": F.lit(False)})
-    assert rows(out) == [(1, "a", "jim", True), (3, "b", "bob", False)]
+    listed = spark.createDataFrame([(1, "lamp", "red", True), (2, "desk", "oak", True), (3, "sofa", "blue", False)], "id long, item string, finish string, listed boolean")
+    offer = spark.createDataFrame([(1, "lamp", "green")], "id long, item string, finish string")
+    out = versioning.scd1(listed, offer, ["item"], in_scope=F.col("item") != "sofa", set_unmatched={"listed": F.lit(False)})
+    assert rows(out) == [(1, "lamp", "green", True), (2, "desk", "oak", False), (3, "sofa", "blue", False)]
     # a key outside the scope counts as absent and comes in again
-    assert versioning.scd1(old, new, ["key"], in_scope=F.col("key") == "b").count() == 3
+    assert versioning.scd1(listed, offer, ["item"], in_scope=F.col("item") == "desk").count() == 4
 
 
 def test_scd2(spark):
-    at = datetime(2020, 1, 1)
-    old = spark.createDataFrame([(1, "a", "bob", datetime(2019, 1, 1)), (3, "b", "bob", None)], "id long, key string, cd string, e timestamp")
-    new = spark.createDataFrame([(1, "a", "jim"), (2, "b", "johm")], "id long, key string, cd string")
-    out = versioning.scd2(old, new, ["key"], "id", "e", F.lit(at))
-    assert rows(out) == [(1, "a", "bob", datetime(2019, 1, 1)), (1, "a", "jim", None), (2, "b", "johm", None), (3, "b", "bob", at)]
-    assert rows(versioning.scd2(out, new, ["key"], "id", "e", F.lit(at))) == rows(out)
+    closed_at, at = datetime(2018, 6, 30), datetime(2021, 3, 1)
+    history = spark.createDataFrame([(100, "EUR", 1.10, closed_at), (101, "EUR", 1.20, None), (102, "USD", 1.00, None), (103, "GBP", 1.40, None)], "id long, unit string, rate double, until timestamp")
+    today = spark.createDataFrame([(201, "EUR", 1.25), (202, "USD", 1.00), (203, "CHF", None)], "id long, unit string, rate double")
+    out = versioning.scd2(history, today, ["unit"], "id", "until", F.lit(at))
+    want = [(100, "EUR", 1.10, closed_at), (101, "EUR", 1.20, at), (102, "USD", 1.00, None), (103, "GBP", 1.40, None), (201, "EUR", 1.25, None), (203, "CHF", None, None)]
+    assert rows(out) == want
+    assert rows(versioning.scd2(out, today, ["unit"], "id", "until", F.lit(at))) == want
 
 
 def test_merge_and_archive(spark):
-    s = "id long, cd long, v long"
-    new, a, b = (spark.createDataFrame(r, s) for r in ([(1, 2, 3), (4, 5, 6)], [(1, 2, 4), (7, 8, 9)], [(1, 2, 5), (7, 10, 12)]))
-    assert rows(versioning.archived(["id"], new, a, b)) == [(1, 2, 3), (4, 5, 6), (7, 8, 9)]
-    out = versioning.merge(new, a, ["id"], mode="ud", delete_when=F.col("s.v") > 8)
-    assert rows(out) == [(1, 2, 4), (4, 5, 6)]
-    assert rows(versioning.merge(new, a, ["id"], mode="d")) == [(4, 5, 6)]
+    may, april, march = (spark.createDataFrame(r, STOCK) for r in ([(10, 1, 50), (20, 1, 60)], [(20, 1, 55), (30, 2, 70)], [(10, 9, 40), (30, 9, 65), (50, 9, 5)]))
+    assert rows(versioning.archived(["sku"], may, april, march)) == [(10, 1, 50), (20, 1, 60), (30, 2, 70), (50, 9, 5)]
+    sold = versioning.merge(march, april, ["sku"], mode="ud", delete_when=F.col("s.units") > 60)
+    assert rows(sold) == [(10, 9, 40), (50, 9, 5)]
+    assert rows(versioning.merge(may, april, ["sku"], mode="u")) == [(10, 1, 50), (20, 1, 55)]
+    assert rows(versioning.merge(may, april, ["sku"], mode="d")) == [(10, 1, 50)]
     with pytest.raises(ValueError):
-        versioning.merge(new, a, ["id"], mode="x")
+        versioning.merge(may, april, ["sku"], mode="x")
 
 
 CHECKS = [quality.Field("str", required=True, unique=True, pattern="^v|_"), quality.Field("num", minimum=0, maximum=100)]

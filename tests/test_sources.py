@@ -59,24 +59,27 @@ def test_swap_survives_a_crash(spark, tmp_path):
 def test_table_management(spark):
     spark.sql("CREATE DATABASE IF NOT EXISTS tw_a")
     spark.sql("CREATE DATABASE IF NOT EXISTS tw_b")
-    one = spark.createDataFrame([(1, "x"), (2, "y"), (3, "z")], "id long, cd string")
-    tables.save(one, "tw_a.tableun", partitions=2)
-    tables.save(spark.table("tw_a.tableun").where("id < 3"), "tw_a.tableun")
-    tables.save(one.limit(1), "tw_a.tmp_x")
-    assert tables.copy_tables(spark, "tw_a", "tw_b") == ["tableun"]
-    assert rows(spark.table("tw_b.tableun")) == [(1, "x"), (2, "y")]
+    ports = spark.createDataFrame([("NRT", 2.5), ("LHR", 5.0), ("ORD", None)], "code string, runways double")
+    tables.save(ports, "tw_a.airports", partitions=2)
+    tables.save(spark.table("tw_a.airports").where("runways > 2"), "tw_a.airports")
+    tables.save(ports.limit(1), "tw_a.tmp_x")
+    assert tables.copy_tables(spark, "tw_a", "tw_b") == ["airports"]
+    assert rows(spark.table("tw_b.airports")) == [("LHR", 5.0), ("NRT", 2.5)]
     tables.create_table(spark, "tw_b.made", T.StructType([T.StructField("a", T.ArrayType(T.IntegerType())), T.StructField("b", T.DecimalType(38, 18))]))
     assert tables.is_empty(spark, "tw_b.made")
-    tables.copy_structure(spark, "tw_a.tableun", "tw_b.alike")
+    tables.copy_structure(spark, "tw_a.airports", "tw_b.alike")
     assert tables.is_empty(spark, "tw_b.alike")
     tables.rename(spark, "tw_b.alike", "tw_b.named")
     assert tables.exists(spark, "tw_b", "named") and not tables.exists(spark, "tw_b", "alike")
-    assert tables.move(spark, "tw_a.tableun", "tw_b") == "`tw_b`.`tableun`"
-    assert not tables.exists(spark, "tw_a", "tableun") and tables.exists(spark, "tw_b", "tableun")
-    tables.truncate(spark, "tw_b.tableun")
-    assert tables.is_empty(spark, "tw_b.tableun")
+    assert tables.move(spark, "tw_a.airports", "tw_b") == "`tw_b`.`airports`"
+    assert not tables.exists(spark, "tw_a", "airports") and tables.exists(spark, "tw_b", "airports")
+    tables.truncate(spark, "tw_b.airports")
+    assert tables.is_empty(spark, "tw_b.airports")
+    tables.drop(spark, "tw_b.made")
+    tables.drop(spark, "tw_b.made")
+    assert not tables.exists(spark, "tw_b", "made")
     assert tables.execute(spark, "SELECT ? AS a, ? AS b", [None, datetime(2020, 1, 1)]).first().a is None
-    assert "tableun" in tables.location(spark, "tw_b.tableun")
+    assert "airports" in tables.location(spark, "tw_b.airports")
     assert tables.table_names(spark, "tw_b", keep="^named") == ["named"]
 
 

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 
 from tablewright.operators.schema import col
 from tablewright.operators.versioning import require_unique, scd1
-from tablewright.sources.staging import current, file_system, path_exists, recover, stored, swap_in
+from tablewright.sources.staging import current, file_system, path_exists, read_text, recover, stored, swap_in, write_text
 
 PREFIX = "tw_bucket_of_"
 NOTE = "_tw_merge/note.json"  # readers pass over folders whose names begin with an underscore
@@ -35,19 +35,7 @@ def buckets_of(df: DataFrame) -> tuple[str, int] | None:
 
 
 def _note(spark: SparkSession, path: str) -> dict | None:
-    fs, where = file_system(spark, f"{path}/{NOTE}")
-    if not fs.exists(where):
-        return None
-    return json.loads("".join(r.value for r in spark.read.text(f"{path}/{NOTE}").collect()))  # one short line
-
-
-def _write_note(spark: SparkSession, path: str, note: dict) -> None:
-    fs, where = file_system(spark, f"{path}/{NOTE}")
-    _, draft = file_system(spark, f"{path}/{NOTE}.draft")
-    out = fs.create(draft, True)
-    out.write(bytearray(json.dumps(note).encode()))
-    out.close()
-    fs.rename(draft, where)
+    return json.loads(read_text(spark, f"{path}/{NOTE}")) if path_exists(spark, f"{path}/{NOTE}") else None
 
 
 def _staged(spark: SparkSession, note: dict) -> DataFrame:
@@ -113,6 +101,7 @@ def merge_by_bucket(source: DataFrame, path: str, keys: list[str], n: int = 64,
         return []
     staged = new.where(col(name).isin(changed)).select(*map(col, [*plain, name]))
     where = stored(staged, "bucket-staged")
-    _write_note(spark, path, {"column": name, "buckets": changed, "staged": where.inputFiles()[0].rsplit("/", 1)[0], "schema": staged._jdf.schema().toDDL()})
+    note = {"column": name, "buckets": changed, "staged": where.inputFiles()[0].rsplit("/", 1)[0], "schema": staged._jdf.schema().toDDL()}
+    write_text(spark, f"{path}/{NOTE}", json.dumps(note))
     finish(spark, path, fmt)
     return changed

@@ -304,16 +304,16 @@ def query_rows(spark: SparkSession, db: Database, query: str) -> list:
     return read_query(spark, db, query).collect()
 
 
-def append_once(df: DataFrame, db: Database, table: str, partitions: int = 8, replace: bool = False) -> int:
+def append_once(df: DataFrame, db: Database, table: str, partitions: int = 8, replace: bool = False, also: list[str] = ()) -> int:
     """Rows into a table in one transaction, each once; with ``replace`` in place of all its rows.
-    A missing table is created. The number of rows."""
+    A missing table is created. ``also``: statements of the same transaction. The number of rows."""
     spark = df.sparkSession
     if not table_exists(spark, db, table):
         write_table(df.limit(0), db, table, partitions=1)
     stage = beside(db, table, "_tw_stage")
     stage_once(df, db, stage, partitions)
     before = [f"DELETE FROM {table}"] if replace else []
-    return execute(spark, db, [*before, insert_statement(df, db, table, stage), f"DROP TABLE {stage}"])[len(before)]
+    return execute(spark, db, [*before, insert_statement(df, db, table, stage), f"DROP TABLE {stage}", *also])[len(before)]
 
 
 def insert_statement(df: DataFrame, db: Database, table: str, stage: str) -> str:
@@ -324,7 +324,7 @@ def insert_statement(df: DataFrame, db: Database, table: str, stage: str) -> str
     return f"INSERT INTO {table} ({', '.join(map(db.name, values))}) SELECT {', '.join(values.values())} FROM {stage}"
 
 
-def swap_table(df: DataFrame, db: Database, table: str, partitions: int = 8) -> None:
+def swap_table(df: DataFrame, db: Database, table: str, partitions: int = 8, also: list[str] = ()) -> None:
     """Write ``df`` beside ``table`` and take its place in one transaction: readers find the old rows
     or the new ones. Leftovers of a load that died are dropped first.
 
@@ -337,7 +337,7 @@ def swap_table(df: DataFrame, db: Database, table: str, partitions: int = 8) ->
         drop_table(spark, db, left)
     if not table_exists(spark, db, table):
         append_once(df, db, new, partitions)
-        execute(spark, db, [db.rename.format(old=new, new=table)])
+        execute(spark, db, [db.rename.format(old=new, new=table), *also])
         return
     like = databases.structure(spark, db, table)
     if like.referred_by:
@@ -346,7 +346,7 @@ def swap_table(df: DataFrame, db: Database, table: str, partitions: int = 8) ->
     execute(spark, db, [databases.create_statement(spark, db, like, new, df.schema)])
     append_once(df, db, new, partitions)
     execute(spark, db, databases.index_statements(db, indexes, new, "_tw_new"))
-    execute(spark, db, [db.rename.format(old=table, new=old), db.rename.format(old=new, new=table), f"DROP TABLE {old}", *(db.rename_index.format(old=db.name(f"{i.name}_tw_new"), new=db.name(i.name)) for i in indexes)])
+    execute(spark, db, [db.rename.format(old=table, new=old), db.rename.format(old=new, new=table), f"DROP TABLE {old}", *(db.rename_index.format(old=db.name(f"{i.name}_tw_new"), new=db.name(i.name)) for i in indexes), *also])
 
 
 def same_keys(staged: DataFrame, db: Database, table: str, stage: str) -> str:
@@ -356,7 +356,7 @@ def same_keys(staged: DataFrame, db: Database, table: str, stage: str) -> str:
     return " AND ".join(f"({v} = {table}.{db.name(k)} OR {v} IS NULL AND {table}.{db.name(k)} IS NULL)" for k, v in values.items())
 
 
-def merge_table(target: DataFrame, result: DataFrame, db: Database, table: str, keys: list[str]) -> list[int]:
+def merge_table(target: DataFrame, result: DataFrame, db: Database, table: str, keys: list[str], also: list[str] = ()) -> list[int]:
     """Bring a table from the rows ``target`` to ``result``; only rows that differ reach the database.
 
     They are staged beside the table, and one transaction deletes the keys of rows that are gone or
@@ -372,6 +372,7 @@ def merge_table(target: DataFrame, result: DataFrame, db: Database, table: str,
         insert_statement(result, db, table, new),
         f"DROP TABLE {gone}",
         f"DROP TABLE {new}",
+        *also,
     ])[:2]
 
 
@@ -385,22 +386,22 @@ def read_whole(spark: SparkSession, db: Database, table: str, column: str, parti
     return read_query(spark, db, query, partitions, column)
 
 
-def load_table(df: DataFrame, db: Database, table: str, load: Load, as_of: Column | None = None) -> None:
+def load_table(df: DataFrame, db: Database, table: str, load: Load, as_of: Column | None = None, also: list[str] = ()) -> None:
     """Load candidates into a database table; the result is staged first, as it may read the table.
-    With a digest column, see reconcile.load()."""
+    With a digest column, see reconcile.load(). ``also``: statements of the transaction that changes the rows."""
     spark = df.sparkSession
     if load.digest:
         from tablewright.sources import reconcile
 
-        reconcile.load(df, db, table, load, as_of)
+        reconcile.load(df, db, table, load, as_of, also)
         return
     there = load.kind != "megafull" and table_exists(spark, db, table)
     merges = there and load.kind in ("scd1", "scd2")
     target = stored(read_whole(spark, db, table, load.keys[0]), "jdbc-target") if merges else None
     result = stored(loaded(target, df, load, as_of), "jdbc-load")
     if merges and set(result.columns) == set(target.columns):
-        merge_table(target.select(*result.columns), result, db, table, [load.pk] if load.kind == "scd2" else list(load.keys))
+        merge_table(target.select(*result.columns), result, db, table, [load.pk] if load.kind == "scd2" else list(load.keys), also)
     elif there:
-        append_once(result, db, table, replace=True)
+        append_once(result, db, table, replace=True, also=also)
     else:
-        swap_table(result, db, table)
+        swap_table(result, db, table, also=also)

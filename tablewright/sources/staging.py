@@ -39,6 +39,22 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(where)
 
 
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """A small file, whole or not at all; in place of one that is there."""
+    fs, where = file_system(spark, path)
+    _, draft = file_system(spark, f"{path}.draft")
+    out = fs.create(draft, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+    if fs.exists(where):
+        fs.delete(where, False)
+    fs.rename(draft, where)
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    return "\n".join(r.value for r in spark.read.text(path).collect())  # of write_text(): small
+
+
 def _is_table(spark: SparkSession, path: str) -> bool:
     return path_exists(spark, f"{path}/_SUCCESS")
 
@@ -69,12 +85,15 @@ def recover(spark: SparkSession, path: str) -> None:
             fs.delete(left, True)
 
 
-def swap_in(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None) -> None:
+def swap_in(df: DataFrame, path: str, fmt: str = "parquet", partition_by: list[str] | None = None, notes: dict[str, str] | None = None) -> None:
     """Write ``df`` beside ``path`` and put it in its place: ``df`` may read ``path`` itself, and
-    a reader finds the old table or the new one, never a part."""
+    a reader finds the old table or the new one, never a part. ``notes``: small files that become part
+    of the new table's folder, by name."""
     spark = df.sparkSession
     recover(spark, path)
     df.write.format(fmt).mode("overwrite").partitionBy(*(partition_by or [])).save(f"{path}.new")
+    for name, text in (notes or {}).items():
+        write_text(spark, f"{path}.new/{name}", text)
     fs, where = file_system(spark, path)
     _, new = file_system(spark, f"{path}.new")
     _, old = file_system(spark, f"{path}.old")

@@ -16,7 +16,7 @@ from tablewright.functions import scalars
 from tablewright.operators import profile, quality, schema
 from tablewright.sources import buckets, csvio, databases, jdbc, reconcile, tables
 from tablewright.sources.staging import shared_dir, swap_in
-from tablewright.streaming import sync, upsert
+from tablewright.streaming import ledger, sync, upsert
 from tablewright.suite import query, table
 
 
@@ -481,3 +481,20 @@ def compaction_by_size(spark, sf):
     tables.compact_by_size(spark, path, "orders")
     o = tables.read(spark, path, "orders")
     return o.groupBy("o_orderstatus").agg(F.count("*").alias("n_rows"), F.count_distinct("_metadata.file_name").cast("int").alias("n_small"))
+
+
+@query("SELECT 'customer' AS table_name, 'loaded' AS state, count(*) AS n_rows FROM customer UNION ALL SELECT 'orders', 'loaded', count(*) FROM orders")
+def sync_run_ledger(spark, sf):
+    """A run that is started again under its name loads what is left and nothing twice."""
+    path = folder(spark, "runs")
+    c, o = table(spark, sf, "customer").select("c_custkey"), table(spark, sf, "orders").select("o_orderkey")
+    swap_in(c, f"{path}/in/customer")
+    places = sync.Place("parquet", f"{path}/in"), sync.Place("parquet", f"{path}/out", "full")
+    jobs = tuple(sync.TableJob(t, t, hash=False) for t in ("customer", "orders"))
+    sync.sync(spark, sync.Job(*places, jobs[:1]), "monday")  # and here it died
+    swap_in(c.limit(0), f"{path}/in/customer")
+    swap_in(o, f"{path}/in/orders")
+    sync.sync(spark, sync.Job(*places, jobs), "monday")
+    found = ledger.entries(sync.ledger_of(spark, sync.Job(*places, jobs), "monday"), ["customer", "orders"])
+    sizes = [tables.read(spark, f"{path}/out", t).agg(F.count("*").alias("n_rows")).select(F.lit(t).alias("table_name"), "n_rows") for t in ("customer", "orders")]
+    return found.join(sizes[0].union(sizes[1]), "table_name").select("table_name", "state", "n_rows")

@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 
 from tablewright.functions import scalars
 from tablewright.operators import profile, quality, schema
-from tablewright.sources import buckets, csvio, databases, jdbc, reconcile, tables
+from tablewright.sources import buckets, csvio, databases, documents, jdbc, reconcile, tables
 from tablewright.sources.staging import shared_dir, swap_in
 from tablewright.streaming import ledger, sync, upsert
 from tablewright.suite import query, table
@@ -498,3 +498,25 @@ def sync_run_ledger(spark, sf):
     found = ledger.entries(sync.ledger_of(spark, sync.Job(*places, jobs), "monday"), ["customer", "orders"])
     sizes = [tables.read(spark, f"{path}/out", t).agg(F.count("*").alias("n_rows")).select(F.lit(t).alias("table_name"), "n_rows") for t in ("customer", "orders")]
     return found.join(sizes[0].union(sizes[1]), "table_name").select("table_name", "state", "n_rows")
+
+
+@query("SELECT doc_id, lang, source, text, n_chars FROM documents")
+def document_store(spark, sf):
+    """Documents through the registered source and sink, read in ranges of ids."""
+    path, fmt = folder(spark, "documents"), documents.register(spark)
+    d = table(spark, sf, "documents").select("doc_id", "lang", "source", "text", "n_chars")
+    d.where("doc_id % 2 = 0").write.format(fmt).option("id", "doc_id").mode("overwrite").save(path)
+    d.where("doc_id % 2 = 1").write.format(fmt).option("id", "doc_id").mode("append").save(path)
+    return spark.read.format(fmt).option("partitions", 4).load(path)
+
+
+@query("SELECT c_custkey, CASE WHEN c_custkey % 10 = 0 THEN c_acctbal + 1 ELSE c_acctbal END AS c_acctbal FROM customer")
+def sync_document_store(spark, sf):
+    """A sync job that merges into the document store by id."""
+    path = folder(spark, "sync")
+    c = table(spark, sf, "customer").select("c_custkey", "c_acctbal")
+    job = sync.Job(sync.Place("parquet", f"{path}/in"), sync.Place("documents", f"{path}/out", "scd1"), (sync.TableJob("customer", "customer", ("c_custkey",), hash=False),))
+    for rows in (c, c.where("c_custkey % 10 = 0").withColumn("c_acctbal", F.col("c_acctbal") + 1)):
+        swap_in(rows, f"{path}/in/customer")
+        sync.sync(spark, job)
+    return sync.Place("documents", f"{path}/out").read(spark, "customer")

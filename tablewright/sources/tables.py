@@ -232,9 +232,9 @@ def compact_by_size(spark: SparkSession, where: str, table: str, target_bytes: i
     aside, moves = f"{path}/{COMPACTION}", []
     for i, r in enumerate(plan):  # a job for each new file
         old = [f"{r.folder}/{f}" for f in r.files]
-        spark.read.format(fmt).load([unquote_path(o) for o in old]).coalesce(1).write.format(fmt).save(f"{aside}/{i}")
+        spark.read.format(fmt).load(old).coalesce(1).write.format(fmt).save(f"{aside}/{i}")
         made = [s.getPath().toString() for s in fs.listStatus(file_system(spark, f"{aside}/{i}")[1]) if s.getPath().getName().startswith("part-")]
-        moves.append({"old": [unquote_path(o) for o in old], "new": made, "folder": unquote_path(r.folder)})
+        moves.append({"old": old, "new": made, "folder": r.folder})
     if moves:
         spark.createDataFrame([(json.dumps(m),) for m in moves], "value string").coalesce(1).write.text(f"{aside}/note")
     finish_compaction(spark, path)
@@ -246,11 +246,6 @@ def compact_by_size(spark: SparkSession, where: str, table: str, target_bytes: i
 COMPACTION = "_tw_compaction"
 
 
-def unquote_path(uri: str) -> str:
-    """A path as it is stored, from the URI that a listing gives."""
-    return unquote(uri)
-
-
 def finish_compaction(spark: SparkSession, path: str) -> None:
     """For the one writer: carry out what the note of a compaction says, or undo one without a note."""
     aside = f"{path}/{COMPACTION}"

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tablewright.functions import scalars
-from tablewright.operators import profile, quality, schema
+from tablewright.operators import profile, quality, schema, statistics
 from tablewright.sources import buckets, csvio, databases, documents, jdbc, reconcile, tables
 from tablewright.sources.staging import shared_dir, swap_in
 from tablewright.streaming import ledger, sync, upsert
@@ -520,3 +520,19 @@ def sync_document_store(spark, sf):
         swap_in(rows, f"{path}/in/customer")
         sync.sync(spark, job)
     return sync.Place("documents", f"{path}/out").read(spark, "customer")
+
+
+@query("SELECT 'l_orderkey' AS column_name, count(*) AS n_rows, count(*) - count(l_orderkey) AS n_null, true AS within_error FROM lineitem UNION ALL SELECT 'l_partkey' AS column_name, count(*) AS n_rows, count(*) - count(l_partkey) AS n_null, true AS within_error FROM lineitem UNION ALL SELECT 'l_suppkey' AS column_name, count(*) AS n_rows, count(*) - count(l_suppkey) AS n_null, true AS within_error FROM lineitem UNION ALL SELECT 'l_linenumber' AS column_name, count(*) AS n_rows, count(*) - count(l_linenumber) AS n_null, true AS within_error FROM lineitem UNION ALL SELECT 'l_quantity' AS column_name, count(*) AS n_rows, count(*) - count(l_quantity) AS n_null, true AS within_error FROM lineitem UNION ALL SELECT 'l_extendedprice' AS column_name, count(*) AS n_rows, count(*) - count(l_extendedprice) AS n_null, true AS within_error FROM lineitem UNION ALL SELECT 'l_discount' AS column_name, count(*) AS n_rows, count(*) - count(l_discount) AS n_null, true AS within_error FROM lineitem UNION ALL SELECT 'l_tax' AS column_name, count(*) AS n_rows, count(*) - count(l_tax) AS n_null, true AS within_error FROM lineitem UNION ALL SELECT 'l_returnflag' AS column_name, count(*) AS n_rows, count(*) - count(l_returnflag) AS n_null, true AS within_error FROM lineitem UNION ALL SELECT 'l_linestatus' AS column_name, count(*) AS n_rows, count(*) - count(l_linestatus) AS n_null, true AS within_error FROM lineitem")
+def sketch_statistics(spark, sf):
+    """Statistics by partition, brought up to date after one partition has grown; distinct counts within
+    three standard errors of the exact ones."""
+    path = f"{folder(spark, 'statistics')}/lineitem"
+    line = table(spark, sf, "lineitem").drop("l_shipdate")
+    late = "l_returnflag = 'R' AND l_orderkey % 2 = 0"
+    line.where(f"NOT ({late})").write.partitionBy("l_returnflag").parquet(path)
+    statistics.update(spark, path)
+    line.where(late).write.mode("append").partitionBy("l_returnflag").parquet(path)
+    statistics.update(spark, path)
+    exact = profile.profile(line).select("column_name", F.col("n_distinct").alias("exact"))
+    near = F.abs(F.col("n_distinct") - F.col("exact")) <= 3 * statistics.ERROR * F.col("exact")
+    return statistics.merged(spark, path).join(exact, "column_name").select("column_name", "n_rows", "n_null", near.alias("within_error"))

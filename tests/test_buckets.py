@@ -88,11 +88,11 @@ def test_sync_and_odd_keys(spark, tmp_path):
 
 def test_compaction_by_size(spark, tmp_path):
     where = str(tmp_path)
-    small = spark.range(600).selectExpr("id", "id % 2 AS p", "repeat('x', 10) AS t").repartition(6)
+    small = spark.range(600).selectExpr("id", "IF(id % 2 = 1, '1', 'a:b %2F+c') AS p", "repeat('x', 10) AS t").repartition(6)
     small.write.partitionBy("p").parquet(f"{where}/t")
-    big = spark.range(20_000).selectExpr("id", "sha2(CAST(id AS string), 256) AS t").withColumn("p", F.lit(1)).select("id", "p", "t")
+    big = spark.range(20_000).selectExpr("id", "sha2(CAST(id AS string), 256) AS t").withColumn("p", F.lit("1")).select("id", "p", "t")
     big.coalesce(1).write.mode("append").partitionBy("p").parquet(f"{where}/t")
-    lone = spark.range(1).selectExpr("id", "'a b%:c' AS t", "7 AS p").select("id", "p", "t")
+    lone = spark.range(1).selectExpr("id", "'a b%:c' AS t", "'7' AS p").select("id", "p", "t")
     lone.coalesce(1).write.mode("append").partitionBy("p").parquet(f"{where}/t")
     want = sorted(map(str, tables.read(spark, where, "t").select("id", "t", "p").collect()))
     before = files(f"{where}/t")

@@ -115,10 +115,12 @@ def row_hashes(spark, sf):
     return own.join(again, "c_custkey").select("c_custkey", "digest", (F.col("h") != F.col("again")).cast("int").alias("n_other_hashes"))
 
 
-@query("SELECT user_id, count(*) FILTER (event_type = 'click') AS click, count(*) FILTER (event_type = 'view') AS \"view\" FROM (SELECT user_id, event_type FROM events WHERE event_type IN ('click', 'view')) GROUP BY user_id")
+EVENT_TYPES = ["click", "error", "purchase", "signup", "view"]
+
+
+@query("SELECT user_id, " + ", ".join(f"count(*) FILTER (event_type = '{t}') AS \"{t}\"" for t in EVENT_TYPES) + " FROM events GROUP BY user_id")
 def pivot_levels(spark, sf):
-    e = table(spark, sf, "events").where("event_type IN ('click', 'view')")
-    return schema.pivot(e, ["user_id"], "event_type", F.count(F.lit(1)), ["click", "view"]).na.fill(0, ["click", "view"])
+    return schema.pivot(table(spark, sf, "events"), ["user_id"], "event_type", F.count(F.lit(1)), EVENT_TYPES).na.fill(0, EVENT_TYPES)
 
 
 @query("SELECT o_orderpriority, max(CASE WHEN o_orderstatus = 'F' THEN o_totalprice END) AS \"F\", max(CASE WHEN o_orderstatus = 'O' THEN o_totalprice END) AS \"O\", max(CASE WHEN o_orderstatus = 'P' THEN o_totalprice END) AS \"P\" FROM orders GROUP BY o_orderpriority")
@@ -199,13 +201,13 @@ def scd2_merge(spark, sf):
     return versioning.scd2(target, source, ["k"], "id", "e", F.lit("2020-01-01").cast("timestamp_ntz"))
 
 
-@query("""WITH a AS (SELECT o_custkey AS k, max(o_orderkey) AS v FROM orders WHERE year(o_orderdate) = 1997 GROUP BY 1), b AS (SELECT o_custkey AS k, max(o_orderkey) AS v FROM orders WHERE year(o_orderdate) = 1996 GROUP BY 1),
-    c AS (SELECT o_custkey AS k, max(o_orderkey) AS v FROM orders WHERE year(o_orderdate) = 1995 GROUP BY 1)
-    SELECT * FROM a UNION ALL SELECT * FROM b WHERE k NOT IN (SELECT k FROM a) UNION ALL SELECT * FROM c WHERE k NOT IN (SELECT k FROM a UNION SELECT k FROM b)""")
+@query("""SELECT o_custkey AS k, max(o_orderkey) AS v FROM orders o
+    WHERE year(o_orderdate) = (SELECT max(year(o_orderdate)) FROM orders n WHERE n.o_custkey = o.o_custkey) GROUP BY o_custkey""")
 def archive(spark, sf):
     o = table(spark, sf, "orders")
     year = lambda y: o.where(F.year("o_orderdate") == y).groupBy(F.col("o_custkey").alias("k")).agg(F.max("o_orderkey").alias("v"))
-    return versioning.archived(["k"], year(1997), year(1996), year(1995))
+    first, last = o.agg(F.min(F.year("o_orderdate")), F.max(F.year("o_orderdate"))).first()
+    return versioning.archived(["k"], *(year(y) for y in range(last, first - 1, -1)))
 
 
 @query(f"WITH {TARGET_SQL}, {SOURCE_SQL} SELECT coalesce(t.k, s.k) AS k, CASE WHEN s.k IS NOT NULL AND (t.k IS NULL OR s.v > 100000) THEN s.v ELSE t.v END AS v, active FROM t FULL JOIN s ON t.k = s.k WHERE NOT (t.k IS NOT NULL AND s.k IS NOT NULL AND s.v < 20000)")
@@ -254,17 +256,19 @@ def profile_columns(spark, sf):
     return profile.profile(table(spark, sf, "lineitem"), ["l_returnflag", "l_linenumber", "l_partkey"])
 
 
-# catalogs: the columns of the key tables, as rows that Spark derives from the tables themselves
-CATALOG_SQL = """cat AS (SELECT 'db' AS lib_database, 'omop' AS lib_schema, n_name AS t, CASE i WHEN 1 THEN lower(n_name) || '_id' WHEN 2 THEN 'concept_id' WHEN 3 THEN 'x_concept_id' ELSE lower(lead_name) || '_id' END AS lib_column, i AS order_column
-    FROM (SELECT n_name, lead(n_name, 1, 'EGYPT') OVER (ORDER BY n_nationkey) AS lead_name FROM nation), range(1, 5) r(i))"""
+# catalogs: a table of six columns for each customer, and one of concepts
+CATALOG_SQL = """cat AS (SELECT 'db' AS lib_database, 'omop' AS lib_schema, CASE WHEN k % 2 = 0 THEN 'ems_' ELSE 'orbis_' END || k AS t,
+    CASE i WHEN 1 THEN 't' || k || '_id' WHEN 2 THEN 'concept_id' WHEN 3 THEN 'x_concept_id' WHEN 4 THEN 't' || (k // 2) || '_id' WHEN 5 THEN 't' || (k // 3) || '_ref__id' ELSE 'concept_id_2' END AS lib_column, i AS order_column
+    FROM (SELECT c_custkey AS k FROM customer), range(1, 7) r(i) UNION ALL SELECT 'db', 'omop', 'orbis_concept', 'concept_id', 1)"""
 
 
 def column_catalog(spark, sf):
-    from pyspark.sql import Window
-
-    n = table(spark, sf, "nation").select("n_name", F.lead("n_name", 1, "EGYPT").over(Window.orderBy("n_nationkey")).alias("next"))
-    names = F.array(F.concat(F.lower("n_name"), F.lit("_id")), F.lit("concept_id"), F.lit("x_concept_id"), F.concat(F.lower("next"), F.lit("_id")))
-    return n.select(F.lit("db").alias("lib_database"), F.lit("omop").alias("lib_schema"), F.col("n_name").alias("lib_table"), F.posexplode(names).alias("pos", "lib_column")).select("lib_database", "lib_schema", "lib_table", "lib_column", (F.col("pos") + 1).alias("order_column"))
+    k = table(spark, sf, "customer").select(F.col("c_custkey").alias("k"))
+    part = lambda n: F.expr(f"k div {n}").cast("string")
+    names = F.array(F.concat(F.lit("t"), "k", F.lit("_id")), F.lit("concept_id"), F.lit("x_concept_id"), F.concat(F.lit("t"), part(2), F.lit("_id")), F.concat(F.lit("t"), part(3), F.lit("_ref__id")), F.lit("concept_id_2"))
+    rows = k.select(F.lit("db").alias("lib_database"), F.lit("omop").alias("lib_schema"), F.concat(F.when(F.col("k") % 2 == 0, "ems_").otherwise("orbis_"), "k").alias("lib_table"), F.posexplode(names).alias("pos", "lib_column"))
+    own = rows.select("lib_database", "lib_schema", "lib_table", "lib_column", (F.col("pos") + 1).alias("order_column"))
+    return own.union(spark.createDataFrame([("db", "omop", "orbis_concept", "concept_id", 1)], own.schema))
 
 
 @query(f"WITH {CATALOG_SQL} SELECT t AS lib_table, lib_column, CASE WHEN split_part(t, '_', 1) IN ('orbis', 'ems') AND contains(t, '_') THEN split_part(t, '_', 1) ELSE 'orbis' END AS outil_source, regexp_matches(lib_column, '_id$') AND order_column = 1 AS is_pk, regexp_matches(lib_column, '_id$') AND order_column <> 1 AS is_fk FROM cat")
@@ -282,22 +286,32 @@ def _references(strategy):
     return run
 
 
-_EQUAL = f"""WITH {CATALOG_SQL} SELECT s.t AS lib_table_source, s.lib_column AS lib_column_source, p.t AS lib_table_target, p.lib_column AS lib_column_target, 'FK' AS lib_reference
-    FROM cat s JOIN cat p ON s.t <> p.t AND p.order_column = 1 AND s.order_column > 1 AND s.lib_column = p.lib_column AND regexp_matches(s.lib_column, '_id$')"""
+def _linked(condition: str, foreign: str = "_id$") -> str:
+    """References from later columns to first ones of other tables, by a condition on s and p."""
+    return f"""SELECT s.t AS lib_table_source, s.lib_column AS lib_column_source, p.t AS lib_table_target, p.lib_column AS lib_column_target, 'FK' AS lib_reference
+    FROM cat s JOIN cat p ON s.t <> p.t AND p.order_column = 1 AND s.order_column > 1 AND regexp_matches(s.lib_column, '{foreign}') AND {condition}"""
 
 
-@query(f"{_EQUAL} UNION ALL {_EQUAL.split(CATALOG_SQL)[1]}")
+_CONCEPT = "regexp_replace(s.lib_column, '.*_concept_id$|concept_id_[0-9]$', 'concept_id') = p.lib_column"
+_PLAIN = "replace(s.lib_column, '_ref_', '') = replace(p.lib_column, '_ref_', '') AND split_part(s.t, '_', 1) = split_part(p.t, '_', 1)"
+_OMOP = f"WITH {CATALOG_SQL} {_linked(_CONCEPT, '_id$|_id_[0-9]$')}"
+
+
+@query(f"WITH {CATALOG_SQL} {_linked(_PLAIN)} UNION ALL {_linked(_CONCEPT)}")
 def fk_inference_default(spark, sf):
+    """Names but for ``_ref_`` within a source, and concepts in any."""
     return _references("default")(spark, sf)
 
 
-@query(_EQUAL)
+@query(_OMOP)
 def fk_inference_concepts(spark, sf):
+    """Equal names, and every kind of concept column."""
     return _references("omop")(spark, sf)
 
 
-@query(_EQUAL)
+@query(f"WITH {CATALOG_SQL} {_linked('s.lib_column = p.lib_column')}")
 def fk_inference_in_source(spark, sf):
+    """Equal names only."""
     return _references("covidom")(spark, sf)
 
 
@@ -356,40 +370,42 @@ def catalog_last_change(spark, sf):
     return catalog.with_last_change(named(n), named(log), "o_orderdate").select("lib_table", "last_change")
 
 
-@query(f"WITH {CATALOG_SQL} SELECT t AS lib_table, count(*) AS n_columns, coalesce(any_value(p), 0) AS n_parents, coalesce(any_value(k), 0) AS n_children FROM cat LEFT JOIN (SELECT s.t AS t, count(DISTINCT x.t) AS p FROM cat s JOIN cat x ON s.t <> x.t AND x.order_column = 1 AND s.order_column > 1 AND s.lib_column = x.lib_column GROUP BY 1) USING (t) LEFT JOIN (SELECT x.t AS t, count(DISTINCT s.t) AS k FROM cat s JOIN cat x ON s.t <> x.t AND x.order_column = 1 AND s.order_column > 1 AND s.lib_column = x.lib_column GROUP BY 1) USING (t) GROUP BY t")
+@query(f"""WITH {CATALOG_SQL}, refs AS ({_linked(_CONCEPT, '_id$|_id_[0-9]$')}),
+    up AS (SELECT lib_table_source AS t, count(DISTINCT lib_table_target) AS n FROM refs GROUP BY 1), down AS (SELECT lib_table_target AS t, count(DISTINCT lib_table_source) AS n FROM refs GROUP BY 1)
+    SELECT t AS lib_table, count(*) AS n_columns, coalesce(any_value(up.n), 0) AS n_parents, coalesce(any_value(down.n), 0) AS n_children FROM cat LEFT JOIN up USING (t) LEFT JOIN down USING (t) GROUP BY t""")
 def catalog_summary(spark, sf):
     s = catalog.STRATEGIES["omop"]
     full = s.keys(s.source(column_catalog(spark, sf)))
     return catalog.table_summary(full, s.references(full))
 
 
-@query(f"WITH refs AS ({_EQUAL}) SELECT DISTINCT least(lib_table_source, lib_table_target) AS a, greatest(lib_table_source, lib_table_target) AS b FROM refs")
+@query(f"WITH refs AS ({_OMOP}) SELECT DISTINCT least(lib_table_source, lib_table_target) AS a, greatest(lib_table_source, lib_table_target) AS b FROM refs")
 def catalog_links(spark, sf):
     s = catalog.STRATEGIES["omop"]
     refs = s.references(s.keys(s.source(column_catalog(spark, sf))))
     return catalog.table_links(catalog.distinct_references(refs.union(refs)))
 
 
-@query("SELECT count(DISTINCT t) AS n_tables, 1 AS n_schemas, count(*) AS n_columns FROM (WITH " + CATALOG_SQL + " SELECT * FROM cat)")
+@query("SELECT count(DISTINCT t) AS n_tables, 1 AS n_schemas, count(DISTINCT (t, lib_column)) AS n_columns FROM (WITH " + CATALOG_SQL + " SELECT * FROM cat)")
 def catalog_assembly(spark, sf):
     c = catalog.assemble(column_catalog(spark, sf), "omop", "omop")
     return c.table.agg(F.count("*").alias("n_tables")).crossJoin(c.schema.agg(F.count("*").cast("int").alias("n_schemas"))).crossJoin(c.column.agg(F.count("*").alias("n_columns")))
 
 
-@query("SELECT n_nationkey AS id, CASE WHEN n_nationkey % 3 = 0 THEN 'edited' ELSE n_name END AS name FROM nation WHERE n_nationkey % 5 <> 0")
+@query("SELECT c_custkey AS id, CASE WHEN c_custkey % 3 = 0 THEN 'edited' ELSE c_name END AS name FROM customer WHERE c_custkey % 5 <> 0")
 def catalog_active_view(spark, sf):
-    n = table(spark, sf, "nation").selectExpr("n_nationkey AS id", "n_name AS name", "CAST(NULL AS STRING) AS name_m", "n_nationkey % 5 <> 0 AS is_active")
+    n = table(spark, sf, "customer").selectExpr("c_custkey AS id", "c_name AS name", "CAST(NULL AS STRING) AS name_m", "c_custkey % 5 <> 0 AS is_active")
     edits = n.where("id % 3 = 0").select("id", F.lit("edited").alias("name"))
     return catalog.active_view(catalog.override(n, edits, "id", ["name"]), ["name"]).drop("is_active")
 
 
-@query("SELECT n_nationkey AS lib_table, CASE WHEN n_nationkey % 4 = 0 THEN false ELSE true END AS is_active, coalesce(r_name, NULL) AS parent FROM nation LEFT JOIN region ON r_regionkey = n_regionkey AND n_nationkey % 4 <> 0 WHERE n_nationkey < 20 OR n_nationkey % 4 <> 0")
+@query("SELECT c_custkey AS lib_table, c_custkey % 4 <> 0 AS is_active, n_name AS parent FROM customer LEFT JOIN nation ON n_nationkey = c_nationkey AND c_custkey % 4 <> 0 WHERE c_custkey % 5 <> 0 OR c_custkey % 4 <> 0")
 def catalog_load(spark, sf):
-    n = table(spark, sf, "nation")
-    old = n.where("n_nationkey < 20").selectExpr("n_nationkey AS lib_table", "n_regionkey AS region", "CAST(NULL AS STRING) AS parent", "true AS is_active")
-    found = n.where("n_nationkey % 4 <> 0").selectExpr("n_nationkey AS lib_table", "n_regionkey AS region")
-    lookup = table(spark, sf, "region").selectExpr("r_regionkey AS region", "r_name AS parent")
-    return catalog.load_level(old, found, ["lib_table"], [(lookup, ["region"])]).drop("region")
+    c = table(spark, sf, "customer")
+    old = c.where("c_custkey % 5 <> 0").selectExpr("c_custkey AS lib_table", "c_nationkey AS nation", "CAST(NULL AS STRING) AS parent", "true AS is_active")
+    found = c.where("c_custkey % 4 <> 0").selectExpr("c_custkey AS lib_table", "c_nationkey AS nation")
+    lookup = table(spark, sf, "nation").selectExpr("n_nationkey AS nation", "n_name AS parent")
+    return catalog.load_level(old, found, ["lib_table"], [(lookup, ["nation"])]).drop("nation")
 
 
 @query(f"WITH {TARGET_SQL}, {SOURCE_SQL} SELECT coalesce(t.k, s.k) AS k, coalesce(s.v, t.v) AS v FROM t FULL JOIN s ON t.k = s.k")
@@ -406,7 +422,7 @@ def catalog_ordered(spark, sf):
     return schema.with_sequence(ordered.select("key", "lib_table", "lib_column", "order_column"), "place").drop("key")
 
 
-@query(f"SELECT DISTINCT * FROM ({_EQUAL})")
+@query(f"SELECT DISTINCT * FROM ({_OMOP})")
 def catalog_references(spark, sf):
     s = catalog.STRATEGIES["omop"]
     refs = s.references(s.keys(s.source(column_catalog(spark, sf))))

@@ -31,21 +31,20 @@ def database(spark, name: str) -> str:
     return db
 
 
-NATION = T.StructType([
-    T.StructField("n_nationkey", T.IntegerType(), False),
-    T.StructField("n_name", T.StringType()),
-    T.StructField("n_regionkey", T.IntegerType()),
-    schema.optional("n_note", T.StringType(), "none"),
-    schema.optional("n_rank", T.IntegerType(), "123", False),
+CUSTOMER = T.StructType([
+    T.StructField("c_custkey", T.LongType(), False),
+    T.StructField("c_name", T.StringType()),
+    T.StructField("c_nationkey", T.IntegerType()),
+    schema.optional("c_note", T.StringType(), "none"),
+    schema.optional("c_rank", T.IntegerType(), "123", False),
 ])
-NATION_SQL = "SELECT n_nationkey, n_name, n_regionkey, 'none' AS n_note, 123 AS n_rank FROM nation"
 
 
-@query(NATION_SQL)
+@query("SELECT c_custkey, c_name, c_nationkey, 'none' AS c_note, 123 AS c_rank FROM customer")
 def csv_typed_read(spark, sf):
     path = folder(spark, "csv")
-    csvio.write_csv(table(spark, sf, "nation").select("n_regionkey", "n_name", "n_nationkey"), path, header=True)
-    return csvio.read_csv(spark, path, NATION)
+    csvio.write_csv(table(spark, sf, "customer").select("c_nationkey", "c_name", "c_custkey"), path, header=True)
+    return csvio.read_csv(spark, path, CUSTOMER)
 
 
 @query("SELECT CAST(c_custkey AS VARCHAR) AS c_custkey, c_name, CAST(c_nationkey AS VARCHAR) AS c_nationkey FROM customer")
@@ -110,14 +109,14 @@ def save_and_validate(spark, sf):
     return tables.save_and_validate(c, f"{folder(spark, 'valid')}/customer", [quality.Field("c_custkey", required=True, unique=True), quality.Field("c_name", pattern="^Customer")])
 
 
-@query("SELECT 'nation' AS tab, n_nationkey AS k, n_name AS v FROM nation UNION ALL SELECT 'region', r_regionkey, r_name FROM region")
+@query("SELECT 'customer' AS tab, c_custkey AS k, c_name AS v FROM customer UNION ALL SELECT 'supplier', s_suppkey, s_name FROM supplier")
 def copy_all_tables(spark, sf):
     a, b = database(spark, "from"), database(spark, "to")
-    for name in ("nation", "region"):
+    for name in ("customer", "supplier"):
         tables.save(table(spark, sf, name), tables.qualified(a, name))
-    tables.save(table(spark, sf, "region"), tables.qualified(a, "tmp_region"))
+    tables.save(table(spark, sf, "supplier"), tables.qualified(a, "tmp_supplier"))
     tables.copy_tables(spark, a, b)
-    parts = [tables.read(spark, b, n).select(F.lit(n).alias("tab"), F.col(f"{n[0]}_{n}key").alias("k"), F.col(f"{n[0]}_name").alias("v")) for n in tables.table_names(spark, b)]
+    parts = [tables.read(spark, b, n).select(F.lit(n).alias("tab"), F.col({"c": "c_custkey", "s": "s_suppkey"}[n[0]]).alias("k"), F.col(f"{n[0]}_name").alias("v")) for n in tables.table_names(spark, b)]
     return parts[0].union(parts[1])
 
 
@@ -358,13 +357,13 @@ def sync_to_documents(spark, sf):
     return csvio.read_documents(spark, f"{path}/out/customer", c.schema)
 
 
-@query("SELECT n_name AS lib_table, n_nationkey % 3 <> 0 AS is_active FROM nation")
+@query("SELECT c_name AS lib_table, c_custkey % 3 <> 0 AS is_active FROM customer")
 def sync_catalog_levels(spark, sf):
     path = folder(spark, "catalog")
-    n = table(spark, sf, "nation")
-    columns = n.select(F.lit("db").alias("lib_database"), F.lit("omop").alias("lib_schema"), F.col("n_name").alias("lib_table"), F.concat(F.lower("n_name"), F.lit("_id")).alias("lib_column"), F.lit(1).alias("order_column"), "n_nationkey")
-    for found in (columns, columns.where("n_nationkey % 3 <> 0")):
-        sync.sync_catalog(spark, [{"name": "nations", "strategy": "omop", "schemas": "omop"}], path, lambda conf, found=found: found.drop("n_nationkey"))
+    c = table(spark, sf, "customer")
+    columns = c.select(F.lit("db").alias("lib_database"), F.lit("omop").alias("lib_schema"), F.col("c_name").alias("lib_table"), F.concat(F.lower("c_name"), F.lit("_id")).alias("lib_column"), F.lit(1).alias("order_column"), "c_custkey")
+    for found in (columns, columns.where("c_custkey % 3 <> 0")):
+        sync.sync_catalog(spark, [{"name": "customers", "strategy": "omop", "schemas": "omop"}], path, lambda conf, found=found: found.drop("c_custkey"))
     return tables.read(spark, path, "meta_table").select("lib_table", "is_active")
 
 

@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tablewright.llm import bloom
-from tablewright.llm.common import mixed, slices, stored, texts_of, window_hashes, without
+from tablewright.llm.common import looked_up, mixed, slices, stored, texts_of, window_hashes, without
 from tablewright.runtime import ship_package
 
 WINDOW = 8
@@ -87,6 +87,19 @@ def coded(text: str) -> np.ndarray:
     return np.fromiter(map(_templates.__getitem__, words), np.int64, len(words))
 
 
+# functions of this module, so that tasks use its one table: a name that a task's own function
+# mentions would travel with it as a copy
+def forget_some() -> None:
+    _templates.forget()
+
+
+def digest_of(text: str) -> bytes:
+    """128 bits of all that windows of the text can tell."""
+    forget_some()
+    codes = coded(text)
+    return xxhash.xxh3_128_digest(_templates.hashes[codes].tobytes() + _templates.plain[codes].tobytes() + slots_of(codes).encode())
+
+
 def slots_of(codes: np.ndarray, names: bool = True) -> str:
     """The slot values of words as JSON text, null where a word is not in a slot."""
     found = (_templates.slots[c] for c in codes)
@@ -109,7 +122,7 @@ def benchmark_windows(benchmark: DataFrame, width: int = WINDOW, share: float =
         for record in records:
             rows = []
             for item, text in zip(record.column("doc_id").to_pylist(), record.column("text").to_pylist(), strict=True):
-                _templates.forget()
+                forget_some()
                 codes = coded(text)
                 own = min(width, len(codes))
                 typed, plain = hashed(codes, own) if own else (codes, codes)
@@ -128,14 +141,42 @@ def benchmark_windows(benchmark: DataFrame, width: int = WINDOW, share: float =
     return ranked.withColumn("lead", F.col("rank") <= F.col("n_windows") - F.ceil(F.col("n_windows") * share) + 1).drop("held", "most", "rank")
 
 
+def item_classes(benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """item_id and class_id, a number for all items with the same words, slots included; and class_id
+    and text, one of each class. Items of a class have the same windows, so one text stands for all;
+    an item_id with several texts is in several classes."""
+
+    def digests(records):
+        for record in (part for r in records for part in slices(r)):
+            out = []
+            for text in record.column("text").to_pylist():
+                out.append(digest_of(text))
+            yield pa.RecordBatch.from_arrays([*record.columns, pa.array(out, pa.binary())], names=["doc_id", "text", "digest"])
+
+    items = texts_of(benchmark.select(F.col("item_id").alias("doc_id"), "text")).where("doc_id is not null")
+    rows = stored(items.mapInArrow(digests, "doc_id long, text string, digest binary"), "benchmark-digests")
+    classes = rows.groupBy("digest").agg(F.first("text").alias("text"), F.count("*").alias("n"))
+    classes = stored(classes.withColumn("class_id", F.monotonically_increasing_id()), "benchmark-classes")
+    members = looked_up(rows.select(F.col("doc_id").alias("item_id"), "digest"), classes.select("digest", "class_id", "n"), "digest", "n")
+    return members.select("item_id", "class_id").distinct(), classes.select("class_id", "text")
+
+
 def matches(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, share: float = 0.5, max_filter_bits: int = 1 << 30) -> DataFrame:
     """doc_id, item_id, n_windows of the item, n_found with consistent slots: contaminated pairs.
 
     ``share`` of an item's windows must be found; ``max_filter_bits`` bounds the broadcast filter.
     """
+    found, members = class_matches(docs, benchmark, width, share, max_filter_bits)
+    return found.join(members, "class_id").select("doc_id", "item_id", "n_windows", "n_found")
+
+
+def class_matches(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, share: float = 0.5, max_filter_bits: int = 1 << 30) -> tuple[DataFrame, DataFrame]:
+    """doc_id, class_id, n_windows and n_found, and the members (item_id) of the classes: rows grow with
+    the documents and the items, however often an item is repeated."""
     spark = docs.sparkSession
     ship_package(spark)
-    items = stored(benchmark_windows(benchmark, width, share), "benchmark-ranked")
+    members, classes = item_classes(benchmark)
+    items = stored(benchmark_windows(classes.withColumnRenamed("class_id", "item_id"), width, share), "benchmark-ranked")
     lengths = sorted(row.width for row in items.select("width").distinct().collect())  # at most ``width`` rows
     bits = bloom.bits_for(items.count(), 16, max_filter_bits)
 
@@ -150,7 +191,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, share: f
     def suspects(records):
         for record in (part for r in records for part in slices(r)):
             rows = []
-            _templates.forget()
+            forget_some()
             found = [coded(text) for text in record.column("text").to_pylist()]
             codes = np.concatenate([np.zeros(0, np.int64), *found])
             ends = np.cumsum([len(f) for f in found])
@@ -184,7 +225,7 @@ def matches(docs: DataFrame, benchmark: DataFrame, width: int = WINDOW, share: f
     broken = slots.join(chosen, [*place, "v"]).where(F.col("w") != F.col("chosen")).select(*hit).distinct()
     counted = pairs.join(broken, hit, "left_anti")
     found = counted.groupBy(*place, "n_windows").agg(F.count_distinct("at").alias("n")).groupBy("doc_id", "item_id", "n_windows").agg(F.max("n").alias("n_found"))
-    return found.where(F.col("n_found") >= share * F.col("n_windows"))
+    return found.where(F.col("n_found") >= share * F.col("n_windows")).withColumnRenamed("item_id", "class_id"), stored(members, "benchmark-members")
 
 
 def contaminated(docs: DataFrame, benchmark: DataFrame, **how) -> DataFrame:

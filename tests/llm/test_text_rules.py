@@ -230,6 +230,18 @@ def test_leaks_against_brute_force(spark):
         assert got == brute_leaks(docs, items, width, share) and len(got) > 50
 
 
+def test_equal_items_are_compared_once(spark):
+    text = "the train from Paris to Lyon takes 120 minutes and leaves at 9 in the morning each day"
+    assert decontaminate.digest_of(text) != decontaminate.digest_of(text.replace("leaves", "stops"))
+    bench = spark.createDataFrame([(i, text) for i in range(100)] + [(100, text.replace("9", "8")), (102, text.replace("leaves", "stops")), (101, prose(30, 900)), (7, prose(30, 900))], "item_id long, text string")
+    docs = {d: f"{prose(20, d)}\n{text}\n{prose(15, 500 + d)}" for d in range(100)} | {300: prose(30, 900)}
+    found, members = decontaminate.class_matches(frame(spark, docs, extra=False), bench)
+    assert found.count() == 201 and members.count() == 104  # each document and two classes of the train
+    assert members.select("class_id").distinct().count() == 4
+    got = {r.doc_id: r.item_ids for r in decontaminate.contaminated(frame(spark, docs, extra=False), bench).collect()}
+    assert got == {d: list(range(101)) for d in range(100)} | {300: [7, 101]}
+
+
 def test_passage_held_twice(spark):
     passage = prose(90, 41)
     docs = {1: passage, 2: f"{passage}\n{prose(60, 42)}\n{edited(passage, 40, 1)}"}

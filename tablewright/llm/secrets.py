@@ -9,8 +9,8 @@ without a mandatory trigram runs over every document.
 Blocks are record batches inside a task, so nothing is shuffled and memory is bounded by a block.
 
 Defined cases: a null or empty text has no secrets; null and repeated doc_ids are scanned row by
-row; equal spans of several kinds are all reported; an empty table gives no rows; other columns
-are not read.
+row; equal spans of several kinds are all reported; a text of any length is scanned whole, a long one
+as a block of its own; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations

@@ -6,7 +6,8 @@ library. Pre-tokens start at a run of spaces or at a line feed, where no vocabul
 across, so the counts add up to the library's count of the whole text.
 
 Defined cases: a null or empty text has no tokens; null and repeated doc_ids are counted row by
-row; an empty table gives no rows; other columns are not read.
+row; a text of any length is counted whole; which of equally frequent pre-tokens are broadcast changes
+no count; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations

@@ -2,7 +2,12 @@
 
 ``run`` stores each stage's result and goes on from the files, as a driver does that writes and
 rereads them. Every stage but the last returns the columns of ``documents``; the
-last returns the packed pieces.
+last returns the packed pieces. Other columns of the caller's are dropped by the first stage.
+
+Defined cases, as the stages' operators have them: null and empty texts have no words and go with the
+base rule of the quality stage; a null lang or source is a group like any other; texts of any length
+are taken whole; of equal documents the one with the smallest doc_id stays; an empty table gives
+no pieces.
 """
 
 from __future__ import annotations

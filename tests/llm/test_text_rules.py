@@ -340,6 +340,26 @@ def test_exact_words_against_brute_force(spark):
     assert got == {i: m for i, m in must.items() if m}
 
 
+def test_edited_passages_whose_parts_others_hold(spark):
+    """40 pairs share 120 words, edited in five places; documents with smaller and larger ids hold
+    every 24 words of them."""
+    docs = {}
+    for n in range(40):
+        passage = words(120, 2000 + n)
+        changed = list(passage)
+        for k in random.Random(n).sample(range(120), 5):
+            changed[k] = f"new{n}x{k}"
+        docs[1000 + 2 * n] = words(30, 3000 + n) + passage + words(20, 4000 + n)
+        docs[1001 + 2 * n] = words(25, 5000 + n) + changed + words(40, 6000 + n)
+        for k in range(0, 97, 8):
+            for base in (0, 5000):
+                docs[base + n * 13 + k // 8] = words(9, 7000 + base + n) + passage[k : k + 24] + words(9, 8000 + base + n)
+    out = {r.doc_id: r.n_words for r in substring_dedup.repeated_passages(frame(spark, {i: " ".join(w) for i, w in docs.items()})).collect()}
+    pairs = set(range(1000, 1080))
+    assert set(out) <= pairs
+    assert len(out) >= 76 and all(n >= 50 for n in out.values())
+
+
 def test_scores(spark):
     texts = odd_documents()
     docs = frame(spark, [*texts.items(), (None, texts[5]), (5, texts[5])])

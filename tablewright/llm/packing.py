@@ -5,11 +5,12 @@ counts pieces by length and salt (a table of fixed size bound), the driver packs
 and Spark deals the pieces into the sequences by their rank within their length.
 
 The packing is a branch and bound: take the largest length left, enumerate the undominated ways
-to fill the sequence around it, keep the one of least waste, use it as often as the counts allow,
-and give up a branch once its waste alone proves that it can't beat the incumbent. Best-fit
-decreasing is the first incumbent, and a lower bound ends the search early. The search is bounded:
-``nodes`` fillings are looked at for a sequence and ``branches`` branches are followed, each of which
-passes over other perfect fillings; where that meets no bound, the best packing seen is used, which
+to fill the sequence around it, branch over them and over how often each is used, depth first, and
+give up a branch once its waste alone proves that it can't beat the incumbent. Best-fit decreasing is
+the first incumbent, and a lower bound ends the search early. Of fillings whose wastes count alike the
+one that takes the largest lengths comes first; how much counts alike is varied, as least waste alone
+would use up the small lengths early. The search is bounded: ``nodes`` fillings are looked at for a
+sequence and ``budget`` in all; where that ends it, the best packing seen is used, which
 least_sequences() tells how far from the optimum it can be at most.
 
 Defined cases: a null or empty text is only the end id; null and repeated doc_ids are packed row
@@ -59,15 +60,17 @@ def token_pieces(docs: DataFrame, capacity: int = 2048, vocab: str = "byte_bpe_5
     return texts_of(docs).mapInArrow(cut, "doc_id long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * with_ids)
 
 
-def completion(left: dict[int, int], sizes: list[int], room: int, nodes: int, skip: int = 0) -> list[int]:
-    """The filling of ``room`` of least waste from the lengths ``left`` (``sizes``: ascending).
+def fillings(left: dict[int, int], sizes: list[int], room: int, most: int, nodes: int, slack: int = 0) -> tuple[list[list[int]], int]:
+    """Up to ``most`` undominated fillings of ``room`` from the lengths ``left`` (``sizes``: ascending),
+    the one of least waste first, and how many nodes were looked at. Wastes up to ``slack`` count alike.
 
-    Larger lengths are tried first, so the first filling is best fit's. A filling in which a
-    larger length could take an item's place is dominated and passed over. ``skip`` passes over
-    as many perfect fillings, for another branch.
+    Larger lengths are tried first, so the first filling found is best fit's, and of fillings that
+    count alike the one that leaves smaller lengths comes first. A filling in which a
+    larger length could take an item's place is dominated and passed over. More than ``nodes`` nodes
+    are looked at only until there is a filling.
     """
-    best: list = [room + 1, None]
-    state = [nodes, skip]
+    found: list[tuple[int, int, dict[int, int]]] = []
+    state = [nodes, 0]  # nodes left, fillings that none can precede
 
     def undominated(taken: dict[int, int], waste: int) -> bool:
         for x in taken:
@@ -89,24 +92,25 @@ def completion(left: dict[int, int], sizes: list[int], room: int, nodes: int, sk
                 fitted = True
                 if fill(rest - copies * x, k, taken | {x: copies}):
                     return True
-                if state[0] <= 0 and best[1] is not None:
+                if state[0] <= 0 and found:
                     return True
-        if not fitted and rest < best[0] and (not taken or rest == 0 or undominated(taken, rest)):
-            if rest == 0 and state[1] > 0:
-                state[1] -= 1
-                return False
-            best[:] = [rest, taken]
-        return best[0] == 0
+        if not fitted and (not taken or rest == 0 or undominated(taken, rest)):
+            found.append((max(rest, slack), len(found), taken))
+            state[1] += rest <= slack
+        return state[1] >= most
 
     fill(room, len(sizes) - 1, {})
-    return [x for x, copies in (best[1] or {}).items() for _ in range(copies)]
+    found.sort(key=lambda f: f[:2])
+    return [[x for x, copies in taken.items() for _ in range(copies)] for _, _, taken in found[:most]], nodes - state[0]
 
 
 def least_sequences(counts: dict[int, int], capacity: int) -> int:
     """A number of sequences that no packing can beat.
 
     For each size k: lengths over capacity - k stand alone, those over half of the capacity never
-    share one, and lengths from k on must fit beside the latter or need more.
+    share one, and lengths from k on must fit beside the latter or need more. And for each k up to
+    50: lengths rounded to k-ths of a sequence, whole (k+1)-ths counted as they are, so that what
+    fits into a sequence still does.
     """
     n, volume = np.zeros(capacity + 2, np.int64), np.zeros(capacity + 2, np.int64)
     for x, c in counts.items():
@@ -118,40 +122,105 @@ def least_sequences(counts: dict[int, int], capacity: int) -> int:
         big, big_volume = int(upto_n[capacity - k] - upto_n[half]), int(upto[capacity - k] - upto[half])
         small = int(upto[half] - upto[k - 1])
         best = max(best, alone + big + max(0, -(-(small - (big * capacity - big_volume)) // capacity)))
+    for k in range(1, 51):
+        rounded = sum(c * (x * k if (k + 1) * x % capacity == 0 else (k + 1) * x // capacity * capacity) for x, c in counts.items())
+        best = max(best, -(-rounded // (k * capacity)))
     return best
 
 
-def pack_histogram(counts: dict[int, int], capacity: int, nodes: int = 1500, branches: int = 4) -> list[tuple[list[int], int]]:
-    """Patterns (lengths in one sequence, how many sequences) that use up ``counts`` exactly."""
+def descend(counts: dict[int, int], capacity: int, best: list, goal: int, allowed: int, nodes: int, budget: list[int], slack: int = 0) -> tuple[list, bool]:
+    """The best packing met by a depth-first search, and whether the search has left nothing out.
+
+    At each depth the largest length left gets one of its undominated fillings, as often as the
+    counts allow, half as often or once. Another choice than the first is a departure; ``allowed``
+    departures are made on a path. A path ends once its waste alone proves that it can't have fewer
+    sequences than ``best``, the incumbent, and the search once ``goal`` sequences are met or the
+    ``budget`` of nodes is used up.
+    """
     volume = sum(n * x for x, n in counts.items())
-    bound = least_sequences(counts, capacity)
-
-    def branch(nodes: int, skip: int, most: float) -> list[tuple[list[int], int]] | None:
-        left = {x: n for x, n in counts.items() if n}
-        patterns, sizes, waste = [], sorted(left), 0
-        while sizes:
-            first = sizes[-1]
-            left[first] -= 1
-            items = [first, *completion(left, sizes, capacity - first, nodes, skip)]
-            left[first] += 1
+    left = {x: n for x, n in counts.items() if n}
+    sizes, spare, whole = sorted(left), (sum(n for _, n in best) - 1) * capacity - volume, True
+    path: list[tuple[list[int], int]] = []  # the patterns chosen, one for each depth
+    wastes, used, open_choices = [0], [0], []
+
+    def choices(departures: int) -> list[tuple[list[int], int, int]]:
+        """(items, times, departures after it), the preferred one last."""
+        nonlocal whole
+        first = sizes[-1]
+        left[first] -= 1
+        looked = nodes if budget[0] > 0 else 1
+        found, spent = fillings(left, sizes, capacity - first, departures + 1, looked, slack)
+        left[first] += 1
+        budget[0] -= spent
+        whole &= len(found) <= departures and spent < looked
+        out = []
+        for rank, filling in enumerate(found):
+            items = [first, *filling]
             times = min(left[x] // items.count(x) for x in set(items))
-            for x in set(items):
-                left[x] -= times * items.count(x)
-            sizes = [x for x in sizes if left[x]]
-            waste += times * (capacity - sum(items)) * bool(sizes)
-            patterns.append((items, times))
-            if waste > most * capacity - volume:
-                return None  # even if all that is left fits without waste
-        return patterns
-
-    best = branch(1, 0, float("inf"))  # one node: best-fit decreasing
-    for skip in range(branches):
-        used = sum(n for _, n in best)
-        if used == bound:
+            for k, often in enumerate(dict.fromkeys((times, (times + 1) // 2, 1))):
+                if rank + k <= departures:
+                    out.append((items, often, departures - rank - k))
+                else:
+                    whole = False
+        return out[::-1]
+
+    def take(items: list[int], times: int) -> None:
+        nonlocal sizes
+        for x in set(items):
+            left[x] -= times * items.count(x)
+        sizes = sorted(x for x, n in left.items() if n)
+
+    if sizes:
+        open_choices.append(choices(allowed))
+    while open_choices:
+        if not open_choices[-1]:
+            open_choices.pop()
+            if path:
+                items, times = path.pop()
+                take(items, -times)
+                wastes.pop(), used.pop()
+            continue
+        items, times, departures = open_choices[-1].pop()
+        waste = wastes[-1] + times * (capacity - sum(items))
+        if waste > spare:
+            continue
+        take(items, times)
+        path.append((items, times))
+        wastes.append(waste), used.append(used[-1] + times)
+        if not sizes:
+            best, spare = list(path), (used[-1] - 1) * capacity - volume
+            if used[-1] <= goal:
+                return best, True
+        if budget[0] <= 0 and len(open_choices) > 1:
+            return best, False
+        open_choices.append(choices(departures) if sizes else [])
+    return best, whole
+
+
+def pack_histogram(counts: dict[int, int], capacity: int, nodes: int = 1500, budget: int = 1_000_000) -> list[tuple[list[int], int]]:
+    """Patterns (lengths in one sequence, how many sequences) that use up ``counts`` exactly.
+
+    Best-fit decreasing is the first incumbent. Paths without departures follow, for different
+    wastes that count alike, and the search then departs more and more often from the best of them,
+    until least_sequences() is met, nothing is left out or ``budget`` nodes have been looked at.
+    """
+    counts = {x: n for x, n in counts.items() if n}
+    goal = least_sequences(counts, capacity)
+    alone = [([x], n) for x, n in sorted(counts.items())]
+    best, _ = descend(counts, capacity, alone, goal, 0, 1, [1 << 62])  # one node: best-fit decreasing
+    effort, allowed, chosen = [budget], 1, (nodes, 0)
+    used = lambda packing: sum(n for _, n in packing)
+    for how in ((m, slack) for slack in (0, *(capacity >> k for k in range(10, 1, -1))) for m in (max(1, nodes // 8), nodes)):
+        if used(best) == goal:
+            return best
+        found, _ = descend(counts, capacity, best, goal, 0, how[0], effort, how[1])
+        if used(found) < used(best):
+            best, chosen = found, how
+    while used(best) > goal and effort[0] > 0:
+        best, whole = descend(counts, capacity, best, goal, allowed, chosen[0], effort, chosen[1])
+        if whole:
             break
-        found = branch(nodes, skip, used - 1)
-        if found and sum(n for _, n in found) < used:
-            best = found
+        allowed += 1
     return best
 
 

@@ -1,3 +1,4 @@
+import random
 import zlib
 
 import numpy as np
@@ -114,6 +115,55 @@ def test_bin_completion_beats_best_fit():
     assert used == packing.least_sequences(counts, 100) == -(-sum(x * n for x, n in counts.items()) // 100)
 
 
+def fewest(items: list[int], capacity: int) -> int:
+    """By trying every place for every item, largest first."""
+    best, rooms = [len(items)], []
+
+    def place(i: int) -> None:
+        if len(rooms) >= best[0]:
+            return
+        if i == len(items):
+            best[0] = len(rooms)
+            return
+        for room in set(rooms):
+            if room >= items[i]:
+                b = rooms.index(room)
+                rooms[b] -= items[i]
+                place(i + 1)
+                rooms[b] += items[i]
+        rooms.append(capacity - items[i])
+        place(i + 1)
+        rooms.pop()
+
+    place(0)
+    return best[0]
+
+
+def test_small_histograms_are_packed_optimally():
+    r = random.Random(9)
+    for _ in range(150):
+        items = sorted((r.randint(4, 60) for _ in range(r.randint(1, 11))), reverse=True)
+        counts = {x: items.count(x) for x in items}
+        want = fewest(items, 100)
+        assert sum(n for _, n in packing.pack_histogram(counts, 100)) == want >= packing.least_sequences(counts, 100)
+
+
+@pytest.mark.parametrize("low,high", [(300, 1100), (400, 1000)])
+def test_branching_beats_best_fit(low, high):
+    for seed in range(2):
+        r = random.Random(seed)
+        counts = {x: r.randint(1, 5) for x in r.sample(range(low, high + 1), 300)}
+        alone = [([x], n) for x, n in counts.items()]
+        best_fit, _ = packing.descend(counts, 2048, alone, 0, 0, 1, [1 << 62])
+        patterns, left = packing.pack_histogram(counts, 2048), dict(counts)
+        for items, times in patterns:
+            assert sum(items) <= 2048 and times > 0
+            for x in items:
+                left[x] -= times
+        assert not any(left.values())
+        assert packing.least_sequences(counts, 2048) <= sum(n for _, n in patterns) < sum(n for _, n in best_fit)
+
+
 def test_many_tiny_pieces():
     """More pieces of one token in a sequence than Python's stack is deep."""
     for counts in ({1: 9000, 700: 3, 2048: 2}, {1: 100_000, 2: 5}, {3: 40_000, 1000: 1}):

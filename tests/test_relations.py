@@ -109,3 +109,14 @@ def test_events(world):
     assert n(born < Event("1993-01-01")) == 2 and n(born.before("1993-01-01")) == 3 and n(born.after("1993-01-01")) == 3
     assert n(born + "1 year" > "1993-06-01") == 3 and n(born - "1 year" >= "1993-01-01") == 2
     assert n(born < Event.now()) == 5 and n(born > None) == 0
+
+
+def test_join_on_leaf_meets_every_supplier_of_the_nation(spark):
+    from tablewright import suite, suite_relations
+
+    sf = "/root/testdata/sf0.001"
+    of_nation = lambda name, key: {r[0]: r[1] for r in suite.table(spark, sf, name).groupBy(key).count().collect()}
+    customers, suppliers = of_nation("customer", "c_nationkey"), of_nation("supplier", "s_nationkey")
+    found = suite_relations.join_on_leaf(spark, sf)
+    assert found.columns == ["c_custkey", "s_suppkey"]
+    assert found.count() == sum(n * suppliers.get(k, 0) for k, n in customers.items())

@@ -3,8 +3,9 @@
 Equal texts collapse into one before anything else; their copies are a passage from end to end.
 Seeds are hashes of eight consecutive words, thinned by winnowing: of any fifteen words in a row
 that two documents share, they share a seed. A twice-seen Bloom filter keeps seeds of a single
-document from being shuffled. Every holder of a seed is compared with the seed's first and last
-holder only, so a passage that a million documents hold costs two million rows, not pairs. Between
+document from being shuffled. The holders of a seed are compared with each other where they are
+``MEET`` at most, and otherwise with its first and last holder, so a passage that a million
+documents hold costs two million rows, not pairs. Between
 two documents, seeds on one diagonal merge into fragments, fragments are chained with gap costs
 through a Fenwick tree of prefix maxima, and chains with gaps or close to the limit are aligned on
 the words in their gaps and around their ends.
@@ -13,9 +14,11 @@ Exact passages do not depend on who holds their parts: every run of the shortest
 are all suspect is a key of its own, at every position, met by its first and last holder. A chain
 of one long fragment without a gap is such a passage and gets its ends from the runs.
 
-Edited passages hardly depend on it either: two seeds ``NEAR`` to ``FAR`` words apart are a key too,
-whatever stands between them, where other documents come first and last for one of the seeds. Who
-holds a short part of a passage has no such key of it, so the holders of the whole meet by these.
+Edited passages do not depend on it either: two frequent seeds ``NEAR`` to ``FAR`` words apart are a
+key too, and who holds a short part of a passage has no such key of it. Holders of a key who have the
+same words between its seeds share a run there, not an edit; all others are compared where they are
+few. Of a key with many holders each is compared with the first and the last, and where no passage
+that was found holds the key, with every other one.
 
 Defined cases: a null or empty text, or one below eight words, has no seeds; rows that share a
 doc_id are one document, and repeats inside one document are no finding, but each copy of what
@@ -41,8 +44,11 @@ K, WINNOW = 8, 8
 INVERSE = np.uint64(pow(int(RATIO), -1, 1 << 64))
 GAP_COST = 0.5  # for each word of a gap on either side
 AROUND = 64  # words around a chain over which its ends may grow
-#: Words between the starts of the two seeds of a pair key; a key's words are fewer than a run's.
-NEAR, FAR = 28, 41
+#: Words between the starts of the two seeds of a pair key: from what a chain must span up to what the
+#: gap costs let it leave out behind fewer words.
+NEAR, FAR = 28, 72
+#: A seed or a pair key with more holders than these is a frequent one.
+MEET = 8
 _words = WordHashes()
 
 
@@ -67,11 +73,16 @@ def seeds(text: str) -> tuple[np.ndarray, np.ndarray]:
     return seeds_of(_words.of(words_of(text)))
 
 
+def prefix_sums(words: np.ndarray) -> np.ndarray:
+    """Polynomials of the words before each position: their differences tell runs of any width apart."""
+    powers = np.cumprod(np.full(len(words), RATIO, np.uint64))
+    return np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * powers)])
+
+
 def runs_of(words: np.ndarray, width: int) -> np.ndarray:
     """One hash for each run of ``width`` words, by prefix sums (any width costs the same)."""
-    powers = np.cumprod(np.full(len(words), RATIO, np.uint64))
+    sums = prefix_sums(words)
     back = np.cumprod(np.full(len(words), INVERSE, np.uint64))
-    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(words * powers)])
     return mixed((sums[width:] - sums[:-width]) * back[: len(words) - width + 1])
 
 
@@ -306,8 +317,8 @@ def twice_seen(text: DataFrame, max_filter_bits: int):
 
 
 def suspects(text: DataFrame, twice, least: int) -> DataFrame:
-    """(run, hash, doc_id, pos) of the seeds in the filter, and of the runs of ``least`` words whose
-    seeds are all in it (run: true)."""
+    """(run, hash, doc_id, pos, before) of the seeds in the filter, with their prefix_sums(), and of the
+    runs of ``least`` words whose seeds are all in it (run: true)."""
 
     def found(records):
         for record in (part for r in records for part in slices(r)):
@@ -317,13 +328,14 @@ def suspects(text: DataFrame, twice, least: int) -> DataFrame:
                 hashes, at = seeds_of(words)
                 hit = bloom.holds(twice.value, hashes) if len(hashes) else np.zeros(0, bool)
                 if hit.any():
-                    own += [(doc, False, hashes[hit], at[hit]), (doc, True, *suspect_runs(words, at, hit, least))]
+                    runs, since = suspect_runs(words, at, hit, least)
+                    own += [(doc, False, hashes[hit], at[hit], prefix_sums(words)[at[hit]]), (doc, True, runs, since, np.zeros(len(runs), np.uint64))]
             if own:
-                ids, runs = (np.repeat([o[i] for o in own], [len(o[2]) for o in own]) for i in (0, 1))
-                hashes, at = (np.concatenate([o[i] for o in own]) for i in (2, 3))
-                yield pa.RecordBatch.from_arrays([pa.array(runs), pa.array(hashes.view(np.int64)), pa.array(ids.astype(np.int64)), pa.array(at.astype(np.int32))], names=["run", "hash", "doc_id", "pos"])
+                ids, kinds = (np.repeat([o[i] for o in own], [len(o[2]) for o in own]) for i in (0, 1))
+                hashes, at, before = (np.concatenate([o[i] for o in own]) for i in (2, 3, 4))
+                yield pa.RecordBatch.from_arrays([pa.array(kinds), pa.array(hashes.view(np.int64)), pa.array(ids.astype(np.int64)), pa.array(at.astype(np.int32)), pa.array(before.view(np.int64))], names=["run", "hash", "doc_id", "pos", "before"])
 
-    return stored(text.mapInArrow(found, "run boolean, hash long, doc_id long, pos int"), "passage-suspects")
+    return stored(text.mapInArrow(found, "run boolean, hash long, doc_id long, pos int, before long"), "passage-suspects")
 
 
 def exact_passages(runs: DataFrame, least: int) -> DataFrame:
@@ -348,13 +360,14 @@ def exact_passages(runs: DataFrame, least: int) -> DataFrame:
 
 
 def pair_keys(hot: DataFrame, inner: DataFrame) -> DataFrame:
-    """(key, doc_id, pos, far): two seeds NEAR to FAR words apart in a document, one of which meets
-    other documents only (middle), from hot seeds (hash, doc_id, pos, middle). Pairs within a span
-    (doc_id, start, end) of ``inner`` are left to the first holder of the same words."""
+    """(key, doc_id, pos, far, between): two seeds NEAR to FAR words apart in a document, one of which
+    meets other documents only (middle), from frequent seeds (hash, doc_id, pos, before, middle);
+    between: a hash of the words from one to the other. Pairs within a span (doc_id, start, end) of
+    ``inner`` are left to the first holder of the same words."""
 
     def paired(records):
         for table in by_document(records, "doc_id"):
-            doc, pos, end, hashes, middle = (table.column(c).to_numpy() for c in ("doc_id", "pos", "end", "hash", "middle"))
+            doc, pos, end, hashes, before, middle = (table.column(c).to_numpy() for c in ("doc_id", "pos", "end", "hash", "before", "middle"))
             place = np.cumsum(np.concatenate([[0], np.diff(doc) != 0])).astype(np.int64) << 40  # documents lie far apart
             span, seed = np.flatnonzero(end > 0), np.flatnonzero(end == 0)
             at = place[seed] + pos[seed]
@@ -368,34 +381,83 @@ def pair_keys(hot: DataFrame, inner: DataFrame) -> DataFrame:
             wanted = (middle[i] | middle[j]).astype(bool)
             i, j = i[wanted], j[wanted]
             keys = mixed(mixed(hashes[i].view(np.uint64)) * RATIO + hashes[j].view(np.uint64))
-            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (keys.view(np.int64), doc[i], pos[i], pos[j])], names=["key", "doc_id", "pos", "far"])
-
-    none = F.lit(0).cast("int")
-    rows = hot.select("doc_id", F.col("pos").cast("int").alias("pos"), none.alias("end"), "hash", F.col("middle").cast("int").alias("middle"))
-    rows = rows.union(inner.select("doc_id", F.col("start").cast("int"), F.col("end").cast("int"), F.lit(0).cast("long"), none))
-    return rows.repartition("doc_id").sortWithinPartitions("doc_id", "pos").mapInArrow(paired, "key long, doc_id long, pos int, far int")
-
-
-def fuzzy_passages(found: DataFrame, exact: DataFrame, text: DataFrame, least: int, identity: float) -> DataFrame:
-    """PASSAGE rows from seeds (hash, doc_id, pos) and exact_passages(): words start .. end - 1 of
-    doc_id also stand, perhaps edited, in ref, the first or the last holder of its seeds or of its
-    pair_keys()."""
-    at = F.struct("doc_id", "pos")
-    ends = found.groupBy("hash").agg(F.min(at).alias("first"), F.max(F.struct("doc_id", -F.col("pos"))).alias("last"), F.count("*").alias("held")).where("first.doc_id < last.doc_id")
-    ends = ends.select("hash", F.array(F.struct("first.doc_id", "first.pos"), F.struct("last.doc_id", (-F.col("last.col2")).alias("pos"))).alias("refs"), (F.col("held") > 2).alias("hot"))
-    ends = stored(ends, "passage-ends")
-    sides = found.join(ends, "hash").select("doc_id", "pos", F.explode("refs").alias("r")).where("doc_id <> r.doc_id")
-    sides = sides.select("doc_id", "pos", F.col("r.doc_id").alias("ref"), F.col("r.pos").alias("ref_pos"))
-
-    hot = found.join(ends.where("hot"), "hash").select("hash", "doc_id", "pos", F.expr("doc_id <> refs[0].doc_id and doc_id <> refs[1].doc_id").alias("middle"))
-    keys = stored(pair_keys(hot, exact.where("inner").select("doc_id", "start", "end")), "passage-keys")
-    both = keys.groupBy("key").agg(F.min(F.struct("doc_id", "pos", "far")).alias("first"), F.max(F.struct("doc_id", (-F.col("pos")).alias("pos"), (-F.col("far")).alias("far"))).alias("last")).where("first.doc_id < last.doc_id")
-    both = both.select("key", F.array("first", F.struct("last.doc_id", (-F.col("last.pos")).alias("pos"), (-F.col("last.far")).alias("far"))).alias("refs"))
-    met = keys.join(stored(both, "passage-key-ends"), "key").select("doc_id", "pos", "far", F.explode("refs").alias("r")).where("doc_id <> r.doc_id")
-    met = met.select("doc_id", F.col("r.doc_id").alias("ref"), F.explode(F.array(F.struct("pos", F.col("r.pos").alias("ref_pos")), F.struct(F.col("far").alias("pos"), F.col("r.far").alias("ref_pos")))).alias("s"))
-    pairs = sides.union(met.select("doc_id", "s.pos", "ref", "s.ref_pos"))
+            between = mixed((before[j].view(np.uint64) - before[i].view(np.uint64)) * np.power(INVERSE, pos[i].astype(np.uint64)))
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (keys.view(np.int64), doc[i], pos[i], pos[j], between.view(np.int64))], names=["key", "doc_id", "pos", "far", "between"])
+
+    none, zero = F.lit(0).cast("int"), F.lit(0).cast("long")
+    rows = hot.select("doc_id", F.col("pos").cast("int").alias("pos"), none.alias("end"), "hash", "before", F.col("middle").cast("int").alias("middle"))
+    rows = rows.union(inner.select("doc_id", F.col("start").cast("int"), F.col("end").cast("int"), zero, zero, none))
+    return rows.repartition("doc_id").sortWithinPartitions("doc_id", "pos").mapInArrow(paired, "key long, doc_id long, pos int, far int, between long")
+
+
+def outside(keys: DataFrame, spans: DataFrame) -> DataFrame:
+    """The rows (key, doc_id, pos, far, between) whose words are in no span (doc_id, start, end)."""
+
+    def kept(records):
+        for table in by_document(records, "doc_id"):
+            doc, pos, far, end = (table.column(c).to_numpy() for c in ("doc_id", "pos", "far", "end"))
+            place = np.cumsum(np.concatenate([[0], np.diff(doc) != 0])).astype(np.int64) << 40  # documents lie far apart
+            reach = np.maximum.accumulate(np.where(end > 0, place + end, 0))  # of the spans that start before
+            yield from table.filter(pa.array((end == 0) & (reach < place + far + K))).select(["key", "doc_id", "pos", "far", "between"]).to_batches()
+
+    none, zero = F.lit(0).cast("int"), F.lit(0).cast("long")
+    rows = keys.select("key", "doc_id", "pos", "far", "between", none.alias("end"))
+    rows = rows.union(spans.select(zero, "doc_id", F.col("start").cast("int"), none, zero, F.col("end").cast("int")))
+    return rows.repartition("doc_id").sortWithinPartitions("doc_id", "pos", F.desc("end")).mapInArrow(kept, "key long, doc_id long, pos int, far int, between long")
+
+
+def compared(pairs: DataFrame, text: DataFrame, least: int, identity: float) -> DataFrame:
+    """PASSAGE rows of pairs (doc_id, pos, ref, ref_pos)."""
     chains = stored(chained(pairs, least), "passage-chains")
-    return chains.where("sure").select(*PASSAGE).union(aligned(chains.where("not sure"), text, least, identity)).distinct()
+    return stored(chains.where("sure").select(*PASSAGE).union(aligned(chains.where("not sure"), text, least, identity)).distinct(), "passage-compared")
+
+
+def fuzzy_passages(found: DataFrame, exact: DataFrame, text: DataFrame, least: int, identity: float, meet: int = MEET) -> DataFrame:
+    """PASSAGE rows from seeds (hash, doc_id, pos, before) and exact_passages(): words start .. end - 1
+    of doc_id also stand, perhaps edited, in ref.
+
+    Documents are compared that share a seed of ``meet`` holders at most, or one of pair_keys() with
+    different words between its seeds: by all holders of a key where these are ``meet`` at most, else by
+    its first and last one, and by all where no passage found so far holds the key in one of the two.
+    """
+    places = stored(found.groupBy("hash", "doc_id").agg(F.min("pos").alias("low"), F.max("pos").alias("high")), "passage-places")
+    ends = places.groupBy("hash").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("held")).where("held > 1")
+    ends = stored(ends.select("hash", "first", "last", (F.col("held") > meet).alias("hot")), "passage-ends")
+    known = stored(places.join(ends, "hash"), "passage-holders")
+    # each seed's first and last place in a document stand for all of its places there
+    theirs = known.withColumn("ref_pos", F.explode(F.array_distinct(F.array("low", "high"))))
+    meets = theirs.where("not hot or doc_id in (first, last)").select("hash", F.col("doc_id").alias("ref"), "ref_pos")
+    sides = found.join(meets, "hash").where("doc_id <> ref").select("doc_id", "pos", "ref", "ref_pos")
+
+    hot = found.join(ends.where("hot"), "hash").select("hash", "doc_id", "pos", "before", F.expr("doc_id <> first and doc_id <> last").alias("middle"))
+    keys = stored(pair_keys(hot, exact.where("inner").select("doc_id", "start", "end")), "passage-keys")
+    holders = keys.select("key", "doc_id", "between").distinct()
+    sizes = holders.groupBy("key").agg(F.count("*").alias("held"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.min("between").alias("low"), F.max("between").alias("high"))
+    sizes = stored(sizes.where("first < last and low <> high").withColumn("many", F.col("held") > meet), "passage-key-ends")
+
+    def met(own: DataFrame, others: DataFrame) -> DataFrame:
+        """Pairs (doc_id, ref) of different texts between the seeds of a key, once each."""
+        other = others.select("key", F.col("doc_id").alias("ref"), F.col("between").alias("theirs"))
+        return own.join(other, "key").where("doc_id <> ref and between <> theirs").select("doc_id", "ref").distinct()
+
+    def seeds_of_pairs(pairs: DataFrame) -> DataFrame:
+        """All seeds that both documents of a pair hold."""
+        other = theirs.select("hash", F.col("doc_id").alias("ref"), "ref_pos")
+        return pairs.join(found.select("hash", "doc_id", "pos"), "doc_id").join(other, ["hash", "ref"]).select("doc_id", "pos", "ref", "ref_pos")
+
+    few = holders.join(sizes.where("not many").select("key"), "key")
+    many = stored(holders.join(sizes.where("many").select("key", "first", "last"), "key"), "passage-frequent-keys")
+    at_ends = many.select("key", "doc_id", F.explode(F.array("first", "last")).alias("ref")).where("doc_id <> ref").select("doc_id", "ref")
+    pairs = met(few, few).union(at_ends).distinct()
+    out = compared(sides.union(seeds_of_pairs(pairs)), text, least, identity)
+    if many.isEmpty():
+        return out
+    spans = out.select("doc_id", "start", "end").union(out.select("ref", "ref_start", "ref_end")).distinct()
+    left = outside(keys.join(many.select("key").distinct(), "key"), spans)
+    rest = stored(met(left.select("key", "doc_id", "between").distinct(), many), "passage-rest")
+    if rest.isEmpty():
+        return out
+    return out.union(compared(seeds_of_pairs(rest), text, least, identity)).distinct()
 
 
 def repeated_passages(docs: DataFrame, least: int = 50, identity: float = 0.8, max_filter_bits: int = 1 << 30) -> DataFrame:

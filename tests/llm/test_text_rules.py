@@ -439,3 +439,25 @@ def test_gradient():
     for _ in range(30):
         net.step(context, target, 0.1)
     assert loss() < before - 1
+
+
+def test_every_pair_of_edited_passages_is_compared(spark, monkeypatch):
+    """Pairs of documents share 120 words edited every 25 or so, parts of which many documents hold that
+    come before and after them; with any bound of holders both documents of each pair are found."""
+    docs = {}
+    for n in range(20):
+        passage = words(120, 2000 + n)
+        changed = list(passage)
+        for k in (20, 47, 71, 98):
+            changed[k] = f"new{n}x{k}"
+        docs[1000 + 2 * n] = words(30, 3000 + n) + passage + words(20, 4000 + n)
+        docs[1001 + 2 * n] = words(25, 5000 + n) + changed + words(40, 6000 + n)
+        for k in range(0, 79, 6):
+            for base in (0, 5000):
+                docs[base + n * 14 + k // 6] = words(9, 7000 + base + n * 14 + k) + passage[k : k + 42] + words(9, 9000 + base + n * 14 + k)
+    rows = frame(spark, {i: " ".join(w) for i, w in docs.items()}).cache()
+    pairs = set(range(1000, 1040))
+    for meet in (32, 4, 1):
+        monkeypatch.setattr(substring_dedup.fuzzy_passages, "__defaults__", (meet,))
+        out = {r.doc_id: r.n_words for r in substring_dedup.repeated_passages(rows).collect()}
+        assert set(out) == pairs and all(n >= 50 for n in out.values())

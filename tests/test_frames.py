@@ -210,3 +210,11 @@ def test_missing_fields_and_key_kinds():
     for wrong in "xt":
         with pytest.raises(ValueError, match="can't split a read"):
             jdbc.key_kind(kinds, wrong)
+
+
+def test_archive_reads_each_table_once(spark):
+    """Null keys stay, repeats within a table too; the plan grows with the tables, not with their square."""
+    years = [spark.createDataFrame(rows, "a int, b int, v string") for rows in ([(1, 1, "new"), (1, 1, "twin"), (None, 1, "n0")], [(1, 1, "old"), (2, 1, "x"), (None, 1, "n1")], [(2, 1, "y"), (3, 3, "z"), (2, None, "n2")])]
+    kept = versioning.archived(["a", "b"], *years)
+    assert sorted(r.v for r in kept.collect()) == ["n0", "n1", "n2", "new", "twin", "x", "z"]
+    assert kept._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 3

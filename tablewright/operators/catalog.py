@@ -79,16 +79,24 @@ def keys_by_name(primary: str | Callable[[], Column], foreign: str | Callable[[]
     return add
 
 
+#: How many columns of one name a task joins.
+TOGETHER = 100_000
 REFERENCE = ("lib_database", "lib_schema", "lib_table", "lib_column")
 
 
 def inferred(df: DataFrame, normal: Callable[[Column], Column], target: Callable[[Column], Column] | None = None, same: tuple[str, ...] = ("lib_schema",), sources: Column | None = None) -> DataFrame:
     """References from foreign to primary keys whose normalised names are equal, between different
-    tables that agree in the columns ``same``. An equi-join: the catalog may be large."""
+    tables that agree in the columns ``same``. An equi-join: the catalog may be large, and so may the
+    number of columns of one name, which are dealt out by ``TOGETHER``, each part with the keys it meets."""
     s = df.where(F.col("is_fk")) if sources is None else df.where(F.col("is_fk") & sources)
-    s = s.withColumn("_k", normal(F.col("lib_column"))).alias("s")
-    t = df.where(F.col("is_pk")).withColumn("_k", (target or normal)(F.col("lib_column"))).alias("t")
-    on = (F.col("s._k") == F.col("t._k")) & (F.col("s.lib_table") != F.col("t.lib_table"))
+    s = s.withColumn("_k", normal(F.col("lib_column")))
+    t = df.where(F.col("is_pk")).withColumn("_k", (target or normal)(F.col("lib_column")))
+    # at most a row for every TOGETHER columns
+    parts = s.groupBy("_k", *same).count().where(F.col("count") > TOGETHER).select("_k", *same, F.expr(f"1 + count div {TOGETHER}").alias("_parts"))
+    n_parts = F.coalesce("_parts", F.lit(1))
+    s = s.join(F.broadcast(parts), ["_k", *same], "left").withColumn("_part", F.pmod(F.xxhash64(*REFERENCE), n_parts)).alias("s")
+    t = t.join(F.broadcast(parts), ["_k", *same], "left").withColumn("_part", F.explode(F.sequence(F.lit(0).cast("long"), n_parts - 1))).alias("t")
+    on = (F.col("s._k") == F.col("t._k")) & (F.col("s._part") == F.col("t._part")) & (F.col("s.lib_table") != F.col("t.lib_table"))
     for c in same:
         on = on & (F.col(f"s.{c}") == F.col(f"t.{c}"))
     return s.join(t, on).select(*(F.col(f"s.{c}").alias(f"{c}_source") for c in REFERENCE), *(F.col(f"t.{c}").alias(f"{c}_target") for c in REFERENCE), F.lit("FK").alias("lib_reference"))

@@ -218,3 +218,13 @@ def test_archive_reads_each_table_once(spark):
     kept = versioning.archived(["a", "b"], *years)
     assert sorted(r.v for r in kept.collect()) == ["n0", "n1", "n2", "new", "twin", "x", "z"]
     assert kept._jdf.queryExecution().optimizedPlan().toString().count("LogicalRDD") == 3
+
+
+def test_references_of_a_frequent_name_are_dealt_out(spark, monkeypatch):
+    rows_ = [("db", "omop", "concept", "concept_id", True, False)] + [("db", "omop", f"t{i}", "concept_id", False, True) for i in range(400)]
+    df = spark.createDataFrame([*rows_, ("db", "omop", "alone", None, False, True)], "lib_database string, lib_schema string, lib_table string, lib_column string, is_pk boolean, is_fk boolean")
+    whole = sorted(catalog.equal_references(df).collect())
+    monkeypatch.setattr(catalog, "TOGETHER", 20)
+    dealt = catalog.equal_references(df)
+    assert sorted(dealt.collect()) == whole and len(whole) == 400
+    assert "_part" in dealt._jdf.queryExecution().optimizedPlan().toString()

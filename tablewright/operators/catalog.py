@@ -185,7 +185,9 @@ def assemble(columns: DataFrame, strategy: Strategy | str = "default", schemas:
     strategy = STRATEGIES[strategy] if isinstance(strategy, str) else strategy
     chosen = columns.where(F.col("lib_schema").rlike(schemas)) if schemas else columns
     full = stored(strategy.keys(strategy.source(chosen)), "catalog-columns")
-    return Catalog(databases(full), schemas_of(full), tables_of(full), columns_of(full), strategy.references(full))
+    # grouping texts sorts them, so a task gets a part of the rows first, however dense the files are
+    dealt = full.repartition(*TABLE_KEY)
+    return Catalog(databases(full), schemas_of(full), tables_of(dealt), columns_of(dealt), strategy.references(full))
 
 
 def databases(df: DataFrame) -> DataFrame:

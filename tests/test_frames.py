@@ -228,3 +228,11 @@ def test_references_of_a_frequent_name_are_dealt_out(spark, monkeypatch):
     dealt = catalog.equal_references(df)
     assert sorted(dealt.collect()) == whole and len(whole) == 400
     assert "_part" in dealt._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_catalog_tables_are_grouped_after_dealing_out(spark):
+    df = spark.createDataFrame([("db", "omop", f"t{i % 7}", f"c{i}", 1 + i // 7) for i in range(21)], "lib_database string, lib_schema string, lib_table string, lib_column string, order_column int")
+    made = catalog.assemble(df, "omop")
+    assert made.table.count() == 7 and made.column.count() == 21
+    for part in (made.table, made.column):
+        assert "RepartitionByExpression" in part._jdf.queryExecution().optimizedPlan().toString()

@@ -16,9 +16,9 @@ of one long fragment without a gap is such a passage and gets its ends from the
 
 Edited passages do not depend on it either: two frequent seeds ``NEAR`` to ``FAR`` words apart are a
 key too, and who holds a short part of a passage has no such key of it. Holders of a key who have the
-same words between its seeds share a run there, not an edit; all others are compared where they are
-few. Of a key with many holders each is compared with the first and the last, and where no passage
-that was found holds the key, with every other one.
+same words between its seeds share a run there, not an edit; the others are compared in growing
+numbers: who holds a key where no passage found has it meets some of its other holders, then
+``WIDER`` times as many, and in the end every other one.
 
 Defined cases: a null or empty text, or one below eight words, has no seeds; rows that share a
 doc_id are one document, and repeats inside one document are no finding, but each copy of what
@@ -49,6 +49,8 @@ AROUND = 64  # words around a chain over which its ends may grow
 NEAR, FAR = 28, 72
 #: A seed or a pair key with more holders than these is a frequent one.
 MEET = 8
+#: By how much the number of holders grows that a key in no passage is compared with.
+WIDER = 8
 _words = WordHashes()
 
 
@@ -275,7 +277,7 @@ def aligned(found: DataFrame, text: DataFrame, least: int, identity: float) -> D
             yield key, _words.of(words_of(text)).view(np.int64).tolist(), rows
 
     def cut(records):
-        for record in records:
+        for record in (part for r in records for part in slices(r, 200_000)):  # few rows as Python lists at once
             out: list[tuple] = []
             for doc, words, rows in rows_of(record):
                 # another row with this doc_id may be too short
@@ -284,7 +286,7 @@ def aligned(found: DataFrame, text: DataFrame, least: int, identity: float) -> D
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), lists, lists))], names=["doc_id", "ref", "parts", "gaps"])
 
     def align_all(records):
-        for record in records:
+        for record in (part for r in records for part in slices(r, 200_000)):
             out = []
             for ref, words, rows in rows_of(record):
                 for r in rows:
@@ -391,19 +393,19 @@ def pair_keys(hot: DataFrame, inner: DataFrame) -> DataFrame:
 
 
 def outside(keys: DataFrame, spans: DataFrame) -> DataFrame:
-    """The rows (key, doc_id, pos, far, between) whose words are in no span (doc_id, start, end)."""
+    """The rows (key, doc_id, pos, far, between, held) whose words are in no span (doc_id, start, end)."""
 
     def kept(records):
         for table in by_document(records, "doc_id"):
             doc, pos, far, end = (table.column(c).to_numpy() for c in ("doc_id", "pos", "far", "end"))
             place = np.cumsum(np.concatenate([[0], np.diff(doc) != 0])).astype(np.int64) << 40  # documents lie far apart
             reach = np.maximum.accumulate(np.where(end > 0, place + end, 0))  # of the spans that start before
-            yield from table.filter(pa.array((end == 0) & (reach < place + far + K))).select(["key", "doc_id", "pos", "far", "between"]).to_batches()
+            yield from table.filter(pa.array((end == 0) & (reach < place + far + K))).select(["key", "doc_id", "pos", "far", "between", "held"]).to_batches()
 
     none, zero = F.lit(0).cast("int"), F.lit(0).cast("long")
-    rows = keys.select("key", "doc_id", "pos", "far", "between", none.alias("end"))
-    rows = rows.union(spans.select(zero, "doc_id", F.col("start").cast("int"), none, zero, F.col("end").cast("int")))
-    return rows.repartition("doc_id").sortWithinPartitions("doc_id", "pos", F.desc("end")).mapInArrow(kept, "key long, doc_id long, pos int, far int, between long")
+    rows = keys.select("key", "doc_id", "pos", "far", "between", "held", none.alias("end"))
+    rows = rows.union(spans.select(zero, "doc_id", F.col("start").cast("int"), none, zero, zero, F.col("end").cast("int")))
+    return rows.repartition("doc_id").sortWithinPartitions("doc_id", "pos", F.desc("end")).mapInArrow(kept, "key long, doc_id long, pos int, far int, between long, held long")
 
 
 def compared(pairs: DataFrame, text: DataFrame, least: int, identity: float) -> DataFrame:
@@ -416,9 +418,10 @@ def fuzzy_passages(found: DataFrame, exact: DataFrame, text: DataFrame, least: i
     """PASSAGE rows from seeds (hash, doc_id, pos, before) and exact_passages(): words start .. end - 1
     of doc_id also stand, perhaps edited, in ref.
 
-    Documents are compared that share a seed of ``meet`` holders at most, or one of pair_keys() with
-    different words between its seeds: by all holders of a key where these are ``meet`` at most, else by
-    its first and last one, and by all where no passage found so far holds the key in one of the two.
+    Documents are compared that share a seed of ``meet`` holders at most; of other seeds each holder is
+    compared with the first and last one. Then come pair_keys() with different words between their
+    seeds: who holds one where no passage found so far has it is compared with some ``meet`` of the
+    key's holders, if that finds none with ``WIDER`` times as many, and at last with all.
     """
     places = stored(found.groupBy("hash", "doc_id").agg(F.min("pos").alias("low"), F.max("pos").alias("high")), "passage-places")
     ends = places.groupBy("hash").agg(F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.count("*").alias("held")).where("held > 1")
@@ -428,36 +431,42 @@ def fuzzy_passages(found: DataFrame, exact: DataFrame, text: DataFrame, least: i
     theirs = known.withColumn("ref_pos", F.explode(F.array_distinct(F.array("low", "high"))))
     meets = theirs.where("not hot or doc_id in (first, last)").select("hash", F.col("doc_id").alias("ref"), "ref_pos")
     sides = found.join(meets, "hash").where("doc_id <> ref").select("doc_id", "pos", "ref", "ref_pos")
+    out = compared(sides, text, least, identity)
 
     hot = found.join(ends.where("hot"), "hash").select("hash", "doc_id", "pos", "before", F.expr("doc_id <> first and doc_id <> last").alias("middle"))
     keys = stored(pair_keys(hot, exact.where("inner").select("doc_id", "start", "end")), "passage-keys")
-    holders = keys.select("key", "doc_id", "between").distinct()
-    sizes = holders.groupBy("key").agg(F.count("*").alias("held"), F.min("doc_id").alias("first"), F.max("doc_id").alias("last"), F.min("between").alias("low"), F.max("between").alias("high"))
-    sizes = stored(sizes.where("first < last and low <> high").withColumn("many", F.col("held") > meet), "passage-key-ends")
+    sizes = keys.groupBy("key", "doc_id").agg(F.min("between").alias("low"), F.max("between").alias("high")).groupBy("key").agg(F.count("*").alias("held"), F.min("low").alias("low"), F.max("high").alias("high"))
+    sizes = sizes.where("held > 1 and low <> high").select("key", "held")
+    left = holders = stored(keys.join(sizes, "key"), "passage-key-holders")
 
-    def met(own: DataFrame, others: DataFrame) -> DataFrame:
-        """Pairs (doc_id, ref) of different texts between the seeds of a key, once each."""
-        other = others.select("key", F.col("doc_id").alias("ref"), F.col("between").alias("theirs"))
-        return own.join(other, "key").where("doc_id <> ref and between <> theirs").select("doc_id", "ref").distinct()
+    def bucket(width: int):
+        """Documents in one order for all keys, dealt into 2^n buckets of a key, of about ``width`` holders at most."""
+        split = F.greatest(F.lit(0), F.ceil(F.log2(F.col("held") / width))).cast("int")
+        return F.call_function("shiftright", F.pmod(F.xxhash64("doc_id"), F.lit(1 << 40)), 40 - split)
+
+    def of(rows: DataFrame, width: int) -> DataFrame:
+        """A row for each key of a document, with the least and largest of its texts between the seeds."""
+        return rows.groupBy("key", "doc_id", bucket(width).alias("bucket")).agg(F.min("between").alias("low"), F.max("between").alias("high"))
 
     def seeds_of_pairs(pairs: DataFrame) -> DataFrame:
         """All seeds that both documents of a pair hold."""
         other = theirs.select("hash", F.col("doc_id").alias("ref"), "ref_pos")
         return pairs.join(found.select("hash", "doc_id", "pos"), "doc_id").join(other, ["hash", "ref"]).select("doc_id", "pos", "ref", "ref_pos")
 
-    few = holders.join(sizes.where("not many").select("key"), "key")
-    many = stored(holders.join(sizes.where("many").select("key", "first", "last"), "key"), "passage-frequent-keys")
-    at_ends = many.select("key", "doc_id", F.explode(F.array("first", "last")).alias("ref")).where("doc_id <> ref").select("doc_id", "ref")
-    pairs = met(few, few).union(at_ends).distinct()
-    out = compared(sides.union(seeds_of_pairs(pairs)), text, least, identity)
-    if many.isEmpty():
-        return out
-    spans = out.select("doc_id", "start", "end").union(out.select("ref", "ref_start", "ref_end")).distinct()
-    left = outside(keys.join(many.select("key").distinct(), "key"), spans)
-    rest = stored(met(left.select("key", "doc_id", "between").distinct(), many), "passage-rest")
-    if rest.isEmpty():
-        return out
-    return out.union(compared(seeds_of_pairs(rest), text, least, identity)).distinct()
+    new, tried, width = out.select(*PASSAGE).union(exact.select("doc_id", "ref", "start", "end", *[F.lit(None).cast("long")] * 2)), None, meet
+    while True:
+        spans = new.select("doc_id", "start", "end").union(new.select("ref", "ref_start", "ref_end").where("ref_start is not null")).distinct()
+        left = stored(outside(left, spans), "passage-left")
+        if left.isEmpty():
+            return out
+        others = of(holders, width).select("key", "bucket", F.col("doc_id").alias("ref"), F.col("low").alias("least"), F.col("high").alias("most"))
+        pairs = of(left, width).join(others, ["key", "bucket"]).where("doc_id <> ref and not (low = most and high = least)").select("doc_id", "ref").distinct()
+        pairs = stored(pairs if tried is None else pairs.join(tried, ["doc_id", "ref"], "left_anti"), "passage-pairs")
+        tried = pairs if tried is None else tried.union(pairs)
+        new = compared(seeds_of_pairs(pairs), text, least, identity)
+        out = out.union(new)
+        left = left.where(F.col("held") > width)  # the others have met all
+        width *= WIDER
 
 
 def repeated_passages(docs: DataFrame, least: int = 50, identity: float = 0.8, max_filter_bits: int = 1 << 30) -> DataFrame:

@@ -89,10 +89,12 @@ def write_each_row(df: DataFrame, name: str, content: str, path: str) -> None:
     """A file ``{name}.txt`` per row, in a folder per name: ``path/{name}.txt/part-...``.
 
     Spark's writer deals rows out to the folders, so nothing passes through the driver and the
-    files may be in any store.
+    files may be in any store. Rows are dealt out over all tasks first: a small input is one task's, and
+    files are what costs here.
     """
     out = df.select(col(content).cast("string").alias("value"), F.concat(col(name).cast("string"), F.lit(".txt")).alias("file"))
-    out.write.partitionBy("file").mode("overwrite").text(path)
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    out.repartition(4 * cores, "file").write.partitionBy("file").mode("overwrite").text(path)
 
 
 def load_csv_folder(spark: SparkSession, path: str, pattern: str, schema: T.StructType, delimiter: str = ",") -> DataFrame:

@@ -218,3 +218,13 @@ def test_statements_are_one_transaction(spark):
     jdbc.swap_table(three.limit(0), db, "t")
     assert jdbc.read_query(spark, db, "SELECT * FROM t").count() == 0
     assert not jdbc.table_exists(spark, db, "t_tw_old")
+
+
+def test_files_of_rows_are_written_by_many_tasks(spark, tmp_path):
+    """Also where the rows come in one partition."""
+    rows = spark.range(40).coalesce(1).selectExpr("'n' || id AS name", "'row ' || id AS body")
+    csvio.write_each_row(rows, "name", "body", str(tmp_path / "rows"))
+    files = [f for f in (tmp_path / "rows").rglob("part-*")]
+    assert len(files) == 40 and len({f.name.split("-")[1] for f in files}) > 4
+    back = spark.read.schema("value string, file string").text(str(tmp_path / "rows"))
+    assert {(r.file, r.value) for r in back.collect()} == {(f"n{i}.txt", f"row {i}") for i in range(40)}

@@ -117,9 +117,10 @@ def batch(columns: dict, schema: pa.Schema) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[f.name], f.type) for f in schema], schema=schema)
 
 
-def slices(record: pa.RecordBatch, chars: int = 1_500_000):
-    """A batch as smaller ones of about so many characters of ``text``, one row at least."""
-    sizes = np.diff(np.frombuffer(record.column("text").buffers()[1], np.int32 if record.schema.field("text").type == pa.string() else np.int64)[record.column("text").offset :][: record.num_rows + 1]) if record.num_rows else []
+def slices(record: pa.RecordBatch, chars: int = 1_500_000, column: str = "text"):
+    """A batch as smaller ones of about so many bytes of ``column``, one row at least."""
+    own = record.column(column)
+    sizes = np.diff(np.frombuffer(own.buffers()[1], np.int32 if own.type in (pa.string(), pa.binary()) else np.int64)[own.offset :][: record.num_rows + 1]) if record.num_rows else []
     start, held = 0, 0
     for i, size in enumerate(sizes):
         if held and held + size > chars:

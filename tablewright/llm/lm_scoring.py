@@ -35,6 +35,8 @@ CLASSES, OWN = 128, 96
 #: The number of buckets lies between these; at the most, 128 MB of counts reach the driver.
 FEWEST, MOST = 1 << 16, 1 << 23
 REACH, HIDDEN, MASKED = 2, 24, 7
+#: Bytes of hashed() words that are looked at together.
+SLICE = 4_000_000
 OFFSETS = (-2, -1, 1, 2)
 _words = WordHashes()
 
@@ -49,19 +51,33 @@ def bucket_number(docs: DataFrame) -> int:
     return min(MOST, max(FEWEST, 1 << math.ceil(math.log2(11 * math.sqrt(chars) + 1))))
 
 
-def count_buckets(docs: DataFrame) -> np.ndarray:
-    """How often each bucket occurs in the whole corpus; the driver gets MOST numbers at most."""
-    size = bucket_number(docs)
+def hashed(docs: DataFrame, size: int) -> DataFrame:
+    """doc_id, buckets (four bytes for each word) of texts, or rows that have them already."""
+    if "buckets" in docs.columns:
+        return docs
+
+    def found(records):
+        for record in (part for r in records for part in slices(r)):
+            own = [buckets_of(t, size).astype(np.int32).tobytes() for t in record.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([record.column("doc_id"), pa.array(own, pa.binary())], names=["doc_id", "buckets"])
+
+    return docs.mapInArrow(found, "doc_id long, buckets binary")
+
+
+def count_buckets(docs: DataFrame, size: int = 0) -> np.ndarray:
+    """How often each bucket occurs in the whole corpus of texts, or of hashed() ones into ``size``
+    buckets; the driver gets MOST numbers at most."""
+    size = size or bucket_number(docs)
 
     def counts(records):
         total = np.zeros(size, np.int64)
-        for record in (part for r in records for part in slices(r)):
-            total += np.bincount(np.concatenate([np.zeros(0, np.int64), *(buckets_of(t, size) for t in record.column("text").to_pylist())]), minlength=size)
+        for record in (part for r in records for part in slices(r, SLICE, "buckets")):
+            total += np.bincount(np.frombuffer(b"".join(record.column("buckets").to_pylist()), np.int32), minlength=size)
         own = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(own), pa.array(total[own])], names=["bucket", "n"])
 
     out = np.zeros(size, np.int64)
-    summed = docs.select("text").mapInArrow(counts, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
+    summed = hashed(docs, size).select("buckets").mapInArrow(counts, "bucket long, n long").groupBy("bucket").agg(F.sum("n").alias("n"))
     got = summed.toArrow()
     out[got.column("bucket").to_numpy()] = got.column("n").to_numpy()
     return out
@@ -91,6 +107,8 @@ class Network:
             self.parts.append(flat[start : start + size].astype(kind).reshape(shape).copy())
             start += size
         self.squares = [np.full(s, 1e-3, np.float32) for s in self.SHAPES]
+        self.onto = np.zeros((CLASSES + 1, 0), np.float32)  # all zeros between steps
+        self.room: list[np.ndarray] = []
 
     @classmethod
     def start(cls, prior: np.ndarray) -> np.ndarray:
@@ -104,13 +122,25 @@ class Network:
         return np.concatenate([p.ravel() for p in self.parts])
 
     def logits(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Hidden values and logits of all classes, 0 at most; context: a row for each position."""
+        """Hidden values and logits of all classes, 0 at most; context: a row for each position. Both
+        stand in memory that the next call uses again."""
         embed, bias, out, prior = self.parts
-        total = bias + embed[0][context[:, 0]]
+        if not self.room or len(self.room[0]) < len(context):
+            self.room = [np.empty((len(context), width), out.dtype) for width in (HIDDEN, HIDDEN, CLASSES)]
+        hidden, more, logits = (r[: len(context)] for r in self.room)
+        np.take(embed[0], context[:, 0], axis=0, out=hidden, mode="clip")
+        hidden += bias
         for k in range(1, len(OFFSETS)):
-            total += embed[k][context[:, k]]
-        hidden = np.tanh(total, out=total)
-        logits = hidden @ out
+            hidden += np.take(embed[k], context[:, k], axis=0, out=more, mode="clip")
+        if out.dtype == np.float64:  # tanh as 1 - 2 / (exp(2x) + 1): numpy's own takes thrice as long there
+            hidden *= 2
+            np.exp(np.minimum(hidden, 80, out=hidden), out=hidden)
+            hidden += 1
+            np.divide(-2, hidden, out=hidden)
+            hidden += 1
+        else:
+            np.tanh(hidden, out=hidden)
+        np.matmul(hidden, out, out=logits)
         logits += prior
         logits -= logits.max(axis=1, keepdims=True)
         return hidden, logits
@@ -118,7 +148,7 @@ class Network:
     def forward(self, context: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Hidden values and log probabilities of all classes."""
         hidden, logits = self.logits(context)
-        return hidden, logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
+        return hidden.copy(), logits - np.log(np.exp(logits).sum(axis=1, keepdims=True))
 
     def target_logs(self, context: np.ndarray, target: np.ndarray) -> np.ndarray:
         """The log probability of one class at each position."""
@@ -134,7 +164,9 @@ class Network:
         error /= len(target)
         inner = (error @ self.parts[2].T) * (1 - hidden**2)
         embed = np.zeros_like(self.parts[0])
-        onto = np.zeros((CLASSES + 1, len(target)), np.float32)
+        if self.onto.shape[1] < len(target):
+            self.onto = np.zeros((CLASSES + 1, len(target)), np.float32)
+        onto = self.onto[:, : len(target)]
         for k in range(len(OFFSETS)):
             ones = (context[:, k], np.arange(len(target)))
             onto[ones] = 1
@@ -157,17 +189,18 @@ def context_at(flat: np.ndarray, at: np.ndarray) -> np.ndarray:
 
 
 def encode(docs: DataFrame, kind: np.ndarray, within: np.ndarray) -> DataFrame:
-    """doc_id, n_tokens, classes (a byte for each word), within (sum of log p(bucket | class))."""
+    """doc_id, n_tokens, classes (a byte for each word), within (sum of log p(bucket | class)), of texts
+    or hashed() ones."""
     sent = docs.sparkSession.sparkContext.broadcast((kind, within))
 
     def encoded(records):
         kind, within = sent.value
-        for record in (part for r in records for part in slices(r)):
-            own = [buckets_of(t, len(kind)) for t in record.column("text").to_pylist()]
+        for record in (part for r in records for part in slices(r, SLICE, "buckets")):
+            own = [np.frombuffer(b, np.int32) for b in record.column("buckets").to_pylist()]
             columns = [pa.array([len(b) for b in own], pa.int64()), pa.array([kind[b].tobytes() for b in own], pa.binary()), pa.array([float(within[b].sum(dtype=np.float64)) for b in own], pa.float64())]
             yield pa.RecordBatch.from_arrays([record.column("doc_id"), *columns], names=["doc_id", "n_tokens", "classes", "within"])
 
-    return docs.mapInArrow(encoded, "doc_id long, n_tokens long, classes binary, within double")
+    return hashed(docs, len(kind)).mapInArrow(encoded, "doc_id long, n_tokens long, classes binary, within double")
 
 
 def trained(tokens: DataFrame, flat: np.ndarray, round_no: int, rate: float, batch: int = 2048) -> np.ndarray:
@@ -201,8 +234,10 @@ def score_documents(docs: DataFrame, rounds: int = MASKED, rate: float = 0.1) ->
     """doc_id, n_tokens, log_likelihood (summed), mean_log_likelihood (per token)."""
     ship_package(docs.sparkSession)
     docs = texts_of(docs)
-    kind, within, prior = classes_of(count_buckets(docs))
-    tokens = stored(encode(docs, kind, within), "lm-tokens")
+    size = bucket_number(docs)
+    words = stored(hashed(docs, size), "lm-words")
+    kind, within, prior = classes_of(count_buckets(words, size))
+    tokens = stored(encode(words, kind, within), "lm-tokens")
     flat = Network.start(prior)
     for k in range(rounds):
         flat = trained(tokens, flat, k, rate / (1 + k / 2))
@@ -216,9 +251,9 @@ def score_documents(docs: DataFrame, rounds: int = MASKED, rate: float = 0.1) ->
             own = record.column("classes").to_pylist()
             flat, at = laid_out(own)
             logp = np.empty(len(at), np.int64)
-            for start in range(0, len(at), 4096):
-                some = at[start : start + 4096]
-                logp[start : start + 4096] = np.rint(1e6 * net.target_logs(context_at(flat, some), flat[some]))
+            for start in range(0, len(at), 1024):  # few enough for the processor's cache
+                some = at[start : start + 1024]
+                logp[start : start + 1024] = np.rint(1e6 * net.target_logs(context_at(flat, some), flat[some]))
             ends = np.concatenate([[0], np.concatenate([[0], np.cumsum(logp)])[np.cumsum([len(o) for o in own])]]) if own else np.zeros(1)
             yield pa.RecordBatch.from_arrays([record.column("doc_id"), record.column("n_tokens"), pa.array(np.diff(ends) / 1e6 + record.column("within").to_numpy())], names=["doc_id", "n_tokens", "log_likelihood"])
 

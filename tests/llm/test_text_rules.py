@@ -373,6 +373,26 @@ def test_scores(spark):
     assert lm_scoring.score_documents(docs.limit(0)).count() == 0
 
 
+def test_words_are_hashed_once(spark, tmp_path, monkeypatch):
+    buckets_of, log = lm_scoring.buckets_of, str(tmp_path / "calls")
+
+    def logged(text, size):
+        with open(log, "a") as f:
+            f.write("x")
+        return buckets_of(text, size)
+
+    monkeypatch.setattr(lm_scoring, "buckets_of", logged)
+    from pyspark import cloudpickle
+
+    cloudpickle.register_pickle_by_value(lm_scoring)  # so that tasks have the log, too
+    try:
+        lm_scoring.score_documents(frame(spark, [(i, f"some words of text {i}") for i in range(40)]).coalesce(2)).collect()
+    finally:
+        cloudpickle.unregister_pickle_by_value(lm_scoring)
+    with open(log) as f:
+        assert len(f.read()) == 40
+
+
 def test_scores_follow_from_the_parameters(spark, monkeypatch):
     """Every score again, word by word, from the trained network's parameters."""
     last = []

@@ -50,17 +50,24 @@ def _ordered(kind: T.DataType) -> bool:
     return not isinstance(kind, (T.ArrayType, T.MapType, T.StructType, T.BinaryType, T.BooleanType))
 
 
-def _of_rows(df: DataFrame, columns: list[str]) -> DataFrame:
-    """folder, column_name and figures, from rows with their ``_folder``; one pass."""
-    aggs = [F.count("*").alias("n")]
+def _of_rows(df: DataFrame, columns: list[str], path: str) -> DataFrame:
+    """folder, column_name and figures of a table's rows, in one pass: figures of each file first, whose
+    name then gives the folder, so no row has its folder worked out."""
+    by_file, by_folder, nested = [F.count("*").alias("n")], [F.sum("n").alias("n")], (T.MapType, T.StructType, T.ArrayType)
     for i, c in enumerate(columns):
         kind = df.schema[c].dataType
-        sketch = _sketched(F.to_json(F.struct(col(c))) if isinstance(kind, (T.MapType, T.StructType, T.ArrayType)) else col(c), T.StringType() if isinstance(kind, (T.MapType, T.StructType, T.ArrayType)) else kind)
-        low, high = (F.min(col(c)), F.max(col(c))) if _ordered(kind) else (F.lit(None), F.lit(None))
-        aggs += [F.count(col(c)).alias(f"c{i}"), sketch.alias(f"s{i}"), low.cast("string").alias(f"a{i}"), high.cast("string").alias(f"z{i}")]
-    sums = df.groupBy("_folder").agg(*aggs)
+        sketch = _sketched(F.to_json(F.struct(col(c))), T.StringType()) if isinstance(kind, nested) else _sketched(col(c), kind)
+        by_file += [F.count(col(c)).alias(f"c{i}"), sketch.alias(f"s{i}")]
+        by_folder += [F.sum(f"c{i}").alias(f"c{i}"), F.hll_union_agg(f"s{i}").alias(f"s{i}")]
+        if _ordered(kind):
+            by_file += [F.min(col(c)).alias(f"a{i}"), F.max(col(c)).alias(f"z{i}")]
+        low, high = (F.min(f"a{i}"), F.max(f"z{i}")) if _ordered(kind) else (F.lit(None), F.lit(None))
+        by_folder += [low.cast("string").alias(f"a{i}"), high.cast("string").alias(f"z{i}")]
+    files = df.groupBy(F.col("_metadata.file_path").alias("_file")).agg(*by_file)
+    file = F.url_decode(F.replace("_file", F.lit("+"), F.lit("%2B")))  # there, a URI
+    sums = files.groupBy(_within(file, path).alias("folder")).agg(*by_folder)
     rows = [F.struct(F.lit(c).alias("column_name"), F.col("n").alias("n_rows"), (F.col("n") - F.col(f"c{i}")).alias("n_null"), F.col(f"a{i}").alias("min_value"), F.col(f"z{i}").alias("max_value"), F.col(f"s{i}").alias("sketch")) for i, c in enumerate(columns)]
-    return sums.select(F.col("_folder").alias("folder"), F.inline(F.array(*rows)))
+    return sums.select("folder", F.inline(F.array(*rows)))
 
 
 def update(spark: SparkSession, path: str, fmt: str = "parquet") -> list[str]:
@@ -80,9 +87,9 @@ def update(spark: SparkSession, path: str, fmt: str = "parquet") -> list[str]:
     new = None
     if changed:
         read = spark.read.format(fmt).option("basePath", path).load([f"{path}/{f}" if f else path for f in changed]) if changed != [""] else df
-        file = F.url_decode(F.replace("_metadata.file_path", F.lit("+"), F.lit("%2B")))  # there, a URI
-        folder = _within(file, path)
-        new = _of_rows(read.withColumn("_folder", folder), columns).join(F.broadcast(now.where(F.col("folder").isin(changed))), "folder")
+        marks = now.where(F.col("folder").isin(changed)).withColumnRenamed("folder", "_name")
+        # null-safe: else Spark asks of each row, below the aggregates, whether its folder is null
+        new = _of_rows(read, columns, path).join(F.broadcast(marks), F.col("folder").eqNullSafe(F.col("_name"))).select("folder", "column_name", "n_rows", "n_null", "min_value", "max_value", "sketch", "mark")
     kept = old.join(now, ["folder", "mark"], "left_semi").where(~F.col("folder").isin(changed)) if old is not None else None
     swap_in(new.unionByName(kept) if new is not None and kept is not None else new if new is not None else kept, where)
     return changed

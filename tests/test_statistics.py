@@ -52,3 +52,16 @@ def test_a_table_without_partitions(spark, tmp_path):
     data(spark, 50, 60).drop("p").write.mode("append").parquet(path)
     assert statistics.update(spark, path) == [""]
     agrees(spark, path)
+
+
+def test_folders_are_worked_out_by_file(spark, tmp_path, monkeypatch):
+    plans, swap_in = [], statistics.swap_in
+    monkeypatch.setattr(statistics, "swap_in", lambda df, where: (plans.append(df._jdf.queryExecution().optimizedPlan().toString()), swap_in(df, where)))
+    path = f"{tmp_path}/a+b %41"
+    data(spark, 0, 2000).repartition(3).write.partitionBy("p").parquet(path)  # three files a folder
+    assert statistics.update(spark, path) == ["p=0", "p=1", "p=2", "p=3"]
+    agrees(spark, path)
+    lines = plans[0].splitlines()
+    scan = next(i for i, line in enumerate(lines) if line.rstrip().endswith("parquet"))
+    first = max(i for i in range(scan) if "Aggregate" in lines[i])  # of rows
+    assert not [line for line in lines[first : scan + 1] if "regexp_replace" in line]

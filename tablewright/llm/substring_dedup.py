@@ -29,6 +29,8 @@ no rows; other columns are not read.
 
 from __future__ import annotations
 
+from bisect import bisect_right
+
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
@@ -51,7 +53,7 @@ NEAR, FAR = 28, 72
 MEET = 8
 #: By how much the number of holders grows that a key in no passage is compared with.
 WIDER = 8
-_words = WordHashes()
+_words = WordHashes(200_000)
 
 
 def words_of(text: str) -> list[bytes]:
@@ -154,8 +156,8 @@ def chains(parts: list[tuple[int, int, int]]) -> list[list[tuple[int, int, int]]
             a, b, m = parts[j]
             tree.put(rank[b + m], (score[j] + GAP_COST * (a + m + b + m), j))
             done += 1
-        k = np.searchsorted(ends, y + K - 1, "right") - 1  # fragments may overlap by less than a seed
-        value, j = tree.best(int(k)) if k >= 0 else (float("-inf"), -1)
+        k = bisect_right(ends, y + K - 1) - 1  # fragments may overlap by less than a seed
+        value, j = tree.best(k) if k >= 0 else (float("-inf"), -1)
         gain = value - GAP_COST * (x + y)
         score[i], before[i] = (n + gain, j) if gain > 0 and j >= 0 and parts[j][1] < y else (float(n), -1)
     out, used = [], set()
@@ -277,7 +279,7 @@ def aligned(found: DataFrame, text: DataFrame, least: int, identity: float) -> D
             yield key, _words.of(words_of(text)).view(np.int64).tolist(), rows
 
     def cut(records):
-        for record in (part for r in records for part in slices(r, 200_000)):  # few rows as Python lists at once
+        for record in (part for r in records for part in slices(r, 50_000)):  # few rows as Python lists at once
             out: list[tuple] = []
             for doc, words, rows in rows_of(record):
                 # another row with this doc_id may be too short
@@ -286,7 +288,7 @@ def aligned(found: DataFrame, text: DataFrame, least: int, identity: float) -> D
             yield pa.RecordBatch.from_arrays([pa.array([r[i] for r in out], t) for i, t in enumerate((pa.int64(), pa.int64(), lists, lists))], names=["doc_id", "ref", "parts", "gaps"])
 
     def align_all(records):
-        for record in (part for r in records for part in slices(r, 200_000)):
+        for record in (part for r in records for part in slices(r, 50_000)):
             out = []
             for ref, words, rows in rows_of(record):
                 for r in rows:

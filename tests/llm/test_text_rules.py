@@ -1,6 +1,7 @@
 import hashlib
 import random
 import re
+import time
 from collections import Counter
 
 import numpy as np
@@ -481,3 +482,13 @@ def test_every_pair_of_edited_passages_is_compared(spark, monkeypatch):
         monkeypatch.setattr(substring_dedup.fuzzy_passages, "__defaults__", (meet,))
         out = {r.doc_id: r.n_words for r in substring_dedup.repeated_passages(rows).collect()}
         assert set(out) == pairs and all(n >= 50 for n in out.values())
+
+
+def test_chains_of_many_fragments_take_time_in_proportion():
+    def seconds(n):
+        parts = [(20 * i, 20 * i + 7 * (i % 3), 9) for i in range(n)]
+        began = time.process_time()
+        substring_dedup.chains(parts)
+        return time.process_time() - began
+
+    assert seconds(16_000) < 80 * max(seconds(1000), seconds(1000))  # 256 times as long where it is quadratic

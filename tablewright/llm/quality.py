@@ -98,19 +98,19 @@ def moments() -> list[Column]:
 def estimate(sums: DataFrame, *keys: str) -> DataFrame:
     """Mean m_i and Cholesky factor l_i_j of each group's covariance, and logdet; sums: moments()."""
     mean = [F.col(f"s{i}") / F.col("n") for i in range(P)]
-    out = sums.select(*keys, *(m.alias(f"m{i}") for i, m in enumerate(mean)), *(((F.col(f"s{i}_{j}") / F.col("n") - mean[i] * mean[j]) + (F.lit(FLOOR[i] ** 2) if i == j else F.lit(0.0))).alias(f"c{i}_{j}") for i in range(P) for j in range(i + 1)))
-    for j in range(P):  # one column of the factor after the other
-        diagonal = F.sqrt(F.col(f"c{j}_{j}") - sum((F.col(f"l{j}_{k}") ** 2 for k in range(j)), F.lit(0.0)))
-        out = out.withColumn(f"l{j}_{j}", diagonal)
-        out = out.withColumns({f"l{i}_{j}": (F.col(f"c{i}_{j}") - sum((F.col(f"l{i}_{k}") * F.col(f"l{j}_{k}") for k in range(j)), F.lit(0.0))) / F.col(f"l{j}_{j}") for i in range(j + 1, P)}) if j + 1 < P else out
-    return out.select(*keys, *(f"m{i}" for i in range(P)), *(f"l{i}_{j}" for i in range(P) for j in range(i + 1)), sum((F.log(F.col(f"l{i}_{i}")) for i in range(P)), F.lit(0.0)).alias("logdet"))
+    sums = sums.select(*keys, *(m.alias(f"m{i}") for i, m in enumerate(mean)), *(((F.col(f"s{i}_{j}") / F.col("n") - mean[i] * mean[j]) + (F.lit(FLOOR[i] ** 2) if i == j else F.lit(0.0))).alias(f"c{i}_{j}") for i in range(P) for j in range(i + 1)))
+    factor: list[Column] = []
+    for j in range(P):  # one column of the factor after the other; each names the ones before it
+        factor.append(F.sqrt(F.col(f"c{j}_{j}") - sum((F.col(f"l{j}_{k}") ** 2 for k in range(j)), F.lit(0.0))).alias(f"l{j}_{j}"))
+        factor += [((F.col(f"c{i}_{j}") - sum((F.col(f"l{i}_{k}") * F.col(f"l{j}_{k}") for k in range(j)), F.lit(0.0))) / F.col(f"l{j}_{j}")).alias(f"l{i}_{j}") for i in range(j + 1, P)]
+    mean = [F.col(f"m{i}") for i in range(P)]
+    return sums.select(*keys, *mean, *factor, sum((F.log(F.col(f"l{i}_{i}")) for i in range(P)), F.lit(0.0)).alias("logdet"))
 
 
 def with_distance(rows: DataFrame) -> DataFrame:
     """rows (x_i, m_i, l_i_j) with d2, the squared Mahalanobis distance by forward substitution."""
-    for i in range(P):
-        rows = rows.withColumn(f"z{i}", (F.col(f"x{i}") - F.col(f"m{i}") - sum((F.col(f"l{i}_{k}") * F.col(f"z{k}") for k in range(i)), F.lit(0.0))) / F.col(f"l{i}_{i}"))
-    return rows.withColumn("d2", sum((F.col(f"z{i}") ** 2 for i in range(P)), F.lit(0.0)))
+    z = [((F.col(f"x{i}") - F.col(f"m{i}") - sum((F.col(f"l{i}_{k}") * F.col(f"z{k}") for k in range(i)), F.lit(0.0))) / F.col(f"l{i}_{i}")).alias(f"z{i}") for i in range(P)]
+    return rows.select("*", *z, sum((F.col(f"z{i}") ** 2 for i in range(P)), F.lit(0.0)).alias("d2"))  # one select, analysed once
 
 
 def level() -> Column:

@@ -492,3 +492,20 @@ def test_chains_of_many_fragments_take_time_in_proportion():
         return time.process_time() - began
 
     assert seconds(16_000) < 80 * max(seconds(1000), seconds(1000))  # 256 times as long where it is quadratic
+
+
+def test_estimates_are_analysed_at_once(spark, monkeypatch):
+    def one_more(*_):
+        raise AssertionError("a column at a time")
+
+    monkeypatch.setattr(type(spark.range(1)), "withColumn", one_more)
+    monkeypatch.setattr(type(spark.range(1)), "withColumns", one_more)
+    rng = np.random.default_rng(1)
+    points = [tuple(map(int, row)) for row in rng.integers(-300, 300, (50, quality.P))]
+    rows = spark.createDataFrame(points, ", ".join(f"x{i} long" for i in range(quality.P)))
+    fit = quality.estimate(rows.agg(*quality.moments()))
+    found = [r.d2 for r in quality.with_distance(rows.crossJoin(fit)).select("d2").collect()]
+    x = np.array(points, float)
+    spread = np.cov(x.T, bias=True) + np.diag(np.array(quality.FLOOR) ** 2)
+    apart = x - x.mean(axis=0)
+    assert np.allclose(sorted(found), sorted(np.einsum("ij,jk,ik->i", apart, np.linalg.inv(spread), apart)))

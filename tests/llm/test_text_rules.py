@@ -5,6 +5,7 @@ import time
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -494,6 +495,37 @@ def test_chains_of_many_fragments_take_time_in_proportion():
     assert seconds(16_000) < 80 * max(seconds(1000), seconds(1000))  # 256 times as long where it is quadratic
 
 
+def test_repeated_words_make_few_pair_keys(spark):
+    """A document that repeats one word has a row for each place of a key, not one for each two of its places."""
+    hot = spark.range(300).selectExpr("7L AS hash", "1L AS doc_id", "cast(id AS int) AS pos", "id AS before", "true AS middle")
+    inner = spark.createDataFrame([], "doc_id long, start long, end long")
+    assert 200 < substring_dedup.pair_keys(hot, inner).count() <= 300
+
+
+def test_words_of_many_texts_are_hashed_at_once(monkeypatch):
+    monkeypatch.setattr(substring_dedup, "AT_ONCE", 16)
+    texts = ["", " \t ", "Ab c", prose(40, 5), "x" * 50, "c AB", f"{prose(9, 6)}\x0b{prose(30, 7)} "]
+    hashes, bounds = substring_dedup.words_in(pa.array(["left out", *texts])[1:])
+    held = [substring_dedup.words_of(t) for t in texts]
+    assert np.diff(bounds).tolist() == [len(w) for w in held]
+    assert len(set(hashes.tolist())) == len({w for own in held for w in own}) == len(set(zip(sum(held, []), hashes.tolist(), strict=True)))
+    found = [(b + at, h) for b, own in zip(bounds, np.split(hashes, bounds[1:-1]), strict=False) for h, at in zip(*substring_dedup.seeds_of(own), strict=True)]
+    assert [*zip(*substring_dedup.seeds_in(hashes, bounds)[::-1], strict=True)] == found
+
+
+def test_pairs_are_ruled_out_by_their_places_only_if_no_chain_is_long():
+    r = random.Random(3)
+    ruled_out = 0
+    for _ in range(3000):
+        x, y = (np.sort([r.randrange(60) for _ in range(r.randint(2, 8))]) for _ in range(2))
+        places = np.array([(a, b) for a in dict.fromkeys(x.tolist()) for b in dict.fromkeys(y.tolist()) if r.random() < 0.7] or [(0, 0)])
+        longest = max(c[-1][0] + c[-1][2] - c[0][0] for c in substring_dedup.chains(substring_dedup.fragments(places[:, 0], places[:, 1])))
+        reach = substring_dedup.can_reach(places[:, 1], 36)
+        assert reach or longest < 36
+        ruled_out += not reach
+    assert ruled_out > 100
+
+
 def test_estimates_are_analysed_at_once(spark, monkeypatch):
     def one_more(*_):
         raise AssertionError("a column at a time")

@@ -4,6 +4,7 @@ import pytest
 from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
+from tablewright import suite
 from tablewright.plans.predicate import EMPTY, FALSE, TRUE, Event, Every, Is, every, predicate, some
 from tablewright.plans.relation import JoinError, Relation, count_all, count_distinct_required
 
@@ -120,3 +121,14 @@ def test_join_on_leaf_meets_every_supplier_of_the_nation(spark):
     found = suite_relations.join_on_leaf(spark, sf)
     assert found.columns == ["c_custkey", "s_suppkey"]
     assert found.count() == sum(n * suppliers.get(k, 0) for k, n in customers.items())
+
+
+def test_join_on_leaf_keeps_a_supplier_for_many_rows(spark, tmp_path):
+    """All pairs of a nation, a customer without a key included, in an order that files keep in little space."""
+    spark.range(6400).selectExpr("nullif(id, 7L) AS c_custkey", "int(id % 2) AS c_nationkey").write.parquet(f"{tmp_path}/customer.parquet")
+    spark.range(40).selectExpr("id AS s_suppkey", "int(id % 4) AS s_nationkey").write.parquet(f"{tmp_path}/supplier.parquet")
+    spark.range(3).selectExpr("int(id) AS n_nationkey", "'x' AS n_name", "1 AS n_regionkey").write.parquet(f"{tmp_path}/nation.parquet")
+    rows = [(r.c_custkey, r.s_suppkey) for r in suite.load()[0]["join_on_leaf"](spark, str(tmp_path)).collect()]
+    assert len(rows) == 6400 * 10
+    assert set(rows) == {(None if c == 7 else c, s) for c in range(6400) for s in range(40) if s % 4 == c % 2}
+    assert sum(a[1] != b[1] for a, b in zip(rows, rows[1:], strict=False)) < len(rows) / 20
